@@ -1,27 +1,20 @@
 """New-entity share and month-over-month volume of providers or members.
 
-Both compare a batch with a history table. For many runs at once, ``spine`` has one
-row per run: its ``keys``, the ``history_keys`` naming the history it reads (several
-runs share one history) and ``as_of``. History is rolled up to days before it meets
-the runs. Day bounds make that exact: every window starts at midnight.
+Both compare a batch with a history table. For many runs at once, the spine has one
+row per run: its keys, the lookup columns naming the history it reads (several runs
+share one history) and ``as_of``. History is rolled up to days before it meets the
+runs. Day bounds make that exact: every window starts at midnight.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from claimgauge.functions.expressions import days_before
-from claimgauge.operators.joins import (
-    SALTS,
-    broadcast_if,
-    is_small,
-    over_runs,
-    salted_anti,
-)
+from claimgauge.operators.joins import salt_copies, salted, salted_anti
+from claimgauge.operators.spine import Spine, over_runs
 
 
 def _entity_rows(frame: DataFrame, entity: str, *columns: str) -> DataFrame:
@@ -65,8 +58,13 @@ def _new_pct() -> Column:
     return F.coalesce(share, F.lit(0.0)).alias("new_pct")
 
 
-def new_entity_pct_by_run(spine: DataFrame, batch: DataFrame, history: DataFrame, entity: str,
-                          keys: Sequence[str], history_keys: Sequence[str],
+def _runs_since(spine: Spine, days: int, name: str) -> DataFrame:
+    """The runs with their day bound, for joining to data."""
+    columns = dict.fromkeys([*spine.keys, *spine.lookup])
+    return spine.links.select(*columns, days_before(F.col("as_of"), days).alias(name))
+
+
+def new_entity_pct_by_run(spine: Spine, batch: DataFrame, history: DataFrame, entity: str,
                           item: str = "item_id", created: str = "created_at",
                           days: int = 90) -> DataFrame:
     """:func:`new_entity_pct` for every run of the spine.
@@ -76,17 +74,16 @@ def new_entity_pct_by_run(spine: DataFrame, batch: DataFrame, history: DataFrame
     of history per entity and day, the second from the batch items alone, so no
     history row is copied per run.
     """
-    keys, history_keys = list(keys), list(history_keys)
-    small = is_small(spine)
-    runs = spine.select(*dict.fromkeys([*keys, *history_keys]), days_before(F.col("as_of"), days).alias("_from"))
-    links = broadcast_if(runs, small)
+    keys, history_keys = list(spine.keys), list(spine.lookup)
+    links = _runs_since(spine, days, "_from")
 
     entities = _entity_rows(batch, entity, *keys).distinct()
     items = batch.where(F.col(item).isNotNull()).select(*keys, item).distinct()
-    day = F.to_date(created)
-    earliest = runs.agg(F.min("_from").alias("d")).scalar()
-    recent = history.where(F.col(created) >= earliest).where(F.col(entity).isNotNull()).select(
-        *history_keys, item, F.col(entity).alias("_entity"), day.alias("_day")
+    recent = (
+        history.where(F.col(created) >= days_before(spine.first, days))
+        .where(F.col(entity).isNotNull())
+        .select(*history_keys, item, F.col(entity).alias("_entity"),
+                F.to_date(created).alias("_day"))
     )
 
     seen = recent.groupBy(*history_keys, "_entity", "_day").agg(F.count(F.lit(1)).alias("_n"))
@@ -97,12 +94,9 @@ def new_entity_pct_by_run(spine: DataFrame, batch: DataFrame, history: DataFrame
         .groupBy(*keys, "_entity").agg(F.sum("_n").alias("_n"))
     )
     # a hot item is cut by salting: the few batch items are copied, history is not
-    batch_items = items.join(links, keys).withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    )
     own_rows = (
-        recent.withColumn("_salt", F.pmod(F.xxhash64("_entity", "_day"), F.lit(SALTS)).cast("int"))
-        .join(batch_items, [*history_keys, item, "_salt"])
+        salted(recent, ["_entity", "_day"])
+        .join(salt_copies(items.join(links, keys)), [*history_keys, item, "_salt"])
         .where(F.col("_day") >= F.col("_from"))
         .groupBy(*keys, "_entity").agg((-F.count(F.lit(1))).alias("_n"))
     )
@@ -119,7 +113,7 @@ def new_entity_pct_by_run(spine: DataFrame, batch: DataFrame, history: DataFrame
         F.count(F.lit(1)).alias("total_entities"),
         F.count_if(F.col("_n") <= 0).alias("new_entities"),
     )
-    return over_runs(spine.select(*keys), counts, keys).select(
+    return over_runs(spine.index, counts, keys).select(
         *keys,
         F.coalesce("total_entities", F.lit(0)).alias("total_entities"),
         F.coalesce("new_entities", F.lit(0)).alias("new_entities"),
@@ -162,8 +156,7 @@ def volume_ratio(batch: DataFrame, history: DataFrame | None, entity: str, as_of
     ).select("latest_count", "previous_count", _volume())
 
 
-def volume_ratio_by_run(spine: DataFrame, batch: DataFrame, history: DataFrame, entity: str,
-                        keys: Sequence[str], history_keys: Sequence[str],
+def volume_ratio_by_run(spine: Spine, batch: DataFrame, history: DataFrame, entity: str,
                         created: str = "created_at", days: int = 30) -> DataFrame:
     """:func:`volume_ratio` for every run of the spine.
 
@@ -173,14 +166,11 @@ def volume_ratio_by_run(spine: DataFrame, batch: DataFrame, history: DataFrame,
     number of distinct entities in the window. Runs only read that small table: the
     cost does not grow with the number of runs.
     """
-    keys, history_keys = list(keys), list(history_keys)
-    small = is_small(spine)
-    runs = spine.select(*dict.fromkeys([*keys, *history_keys]), days_before(F.col("as_of"), days).alias("_cut"))
-    links = broadcast_if(runs, small)
+    keys, history_keys = list(spine.keys), list(spine.lookup)
+    links = _runs_since(spine, days, "_cut")
 
-    earliest = runs.agg(F.date_sub(F.min("_cut"), days).alias("d")).scalar()
     active = (
-        history.where(F.col(created) >= earliest).where(F.col(entity).isNotNull())
+        history.where(F.col(created) >= days_before(spine.first, 2 * days)).where(F.col(entity).isNotNull())
         .select(*history_keys, F.col(entity).alias("_entity"), F.to_date(created).alias("_day"))
         .distinct()
         .withColumn("_next", F.lead("_day").over(
@@ -221,7 +211,7 @@ def volume_ratio_by_run(spine: DataFrame, batch: DataFrame, history: DataFrame,
         .groupBy(*keys).agg(F.sum("_latest").alias("latest_count"),
                             F.sum("_previous").alias("previous_count"))
     )
-    return over_runs(spine.select(*keys), counts, keys).select(
+    return over_runs(spine.index, counts, keys).select(
         *keys,
         F.coalesce("latest_count", F.lit(0)).alias("latest_count"),
         F.coalesce("previous_count", F.lit(0)).alias("previous_count"),

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimgauge.functions.expressions import or_zero
-from claimgauge.operators.joins import in_windows, is_small, over_runs
+from claimgauge.operators.spine import over_runs
+from claimgauge.operators.windows import Windows
 from claimgauge.schemas import EXPIRED
 
 INGESTED_DAYS = 2
@@ -36,22 +37,20 @@ def expired_validation_total(validation: DataFrame, as_of: Column, days: int = I
     )
 
 
-def expired_validation_total_by_run(spine: DataFrame, validation: DataFrame,
+def expired_validation_total_by_run(runs: DataFrame, validation: DataFrame,
                                     keys: Sequence[str], lookup: Sequence[str],
                                     days: int = INGESTED_DAYS,
                                     minutes: int = UPDATED_MINUTES) -> DataFrame:
     """:func:`expired_validation_total` of every run; ``lookup`` names its tables."""
-    small = is_small(spine)
-    windows = spine.select(
-        *keys, "as_of", F.col("as_of").alias("hi"),
-        (F.col("as_of") - F.make_dt_interval(days=F.lit(days))).alias("lo"),
-    )
+    start = F.col("as_of") - F.make_dt_interval(days=F.lit(days))
+    windows = Windows.of(
+        runs.select(*dict.fromkeys([*keys, *lookup]), "as_of", start.alias("lo"),
+                    F.col("as_of").alias("hi")), keys, lookup, days)
     expired = validation.where(F.col("status") == EXPIRED).select(
         *lookup, "saving_value", "ingested_at", "updated_at")
-    rows = in_windows(expired, windows, "ingested_at", keys, lookup, days, small)
     sums = (
-        rows.where(_updated_just_before(F.col("as_of"), minutes))
+        windows.of_rows(expired).where(_updated_just_before(F.col("as_of"), minutes))
         .groupBy(*keys).agg(F.sum("saving_value").alias("_sum"))
     )
-    return over_runs(spine.select(*keys), sums, keys).select(
+    return over_runs(windows.runs(validation), sums, keys).select(
         *keys, or_zero(F.col("_sum")).alias("expired_saving"))

@@ -1,58 +1,45 @@
-"""Join shapes the metrics share: window joins, hot-key-proof semi joins, spines."""
+"""Join shapes the metrics share: hot-key-proof semi joins and per-run lookups."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows up to which a run spine is broadcast. A spine row is a few keys and times,
-# well under 200 bytes, so this bounds the broadcast at about 20 MB.
-BROADCAST_ROWS = 100_000
 # Pieces a hot join key is cut into.
 SALTS = 16
 
 
-def is_small(frame: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``frame`` has at most ``rows`` rows; counts no further than that."""
-    return frame.limit(rows + 1).count() <= rows
+def salted(frame: DataFrame, spread: Sequence[str], salts: int = SALTS) -> DataFrame:
+    """Give each row one of ``salts`` numbers, by columns that vary within a hot key."""
+    return frame.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
 
 
-def broadcast_if(frame: DataFrame, small: bool) -> DataFrame:
-    """Broadcast after a passed size check; else Spark picks a shuffle join."""
-    return F.broadcast(frame) if small else frame
+def salt_copies(frame: DataFrame, salts: int = SALTS) -> DataFrame:
+    """The other side of a salted join: every row under every salt."""
+    return frame.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
 
 
-def _salted(left: DataFrame, right: DataFrame, on: Sequence[str], spread: Sequence[str],
-            salts: int, how: str) -> DataFrame:
-    cut = left.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
-    copies = right.select(*on, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
-    return cut.join(copies, [*on, "_salt"], how).drop("_salt")
+def _salted_filter(left: DataFrame, right: DataFrame, on: Sequence[str], spread: Sequence[str],
+                   how: str) -> DataFrame:
+    copies = salt_copies(right.select(*on))
+    return salted(left, spread).join(copies, [*on, "_salt"], how).drop("_salt")
 
 
-def salted_semi(left: DataFrame, right: DataFrame, on: Sequence[str], spread: Sequence[str],
-                salts: int = SALTS) -> DataFrame:
-    """Left semi join in which the rows of one ``on`` key go to ``salts`` tasks.
+def salted_semi(left: DataFrame, right: DataFrame, on: Sequence[str],
+                spread: Sequence[str]) -> DataFrame:
+    """Left semi join in which the rows of one ``on`` key go to many tasks.
 
-    ``spread`` names left columns that vary within a hot key; ``right`` holds
-    distinct keys and is copied ``salts`` times. NULL keys match nothing and are
-    spread as well.
+    ``right`` holds distinct keys. NULL keys match nothing and are spread as well.
     """
-    return _salted(left, right, on, spread, salts, "left_semi")
+    return _salted_filter(left, right, on, spread, "left_semi")
 
 
-def salted_anti(left: DataFrame, right: DataFrame, on: Sequence[str], spread: Sequence[str],
-                salts: int = SALTS) -> DataFrame:
+def salted_anti(left: DataFrame, right: DataFrame, on: Sequence[str],
+                spread: Sequence[str]) -> DataFrame:
     """Left anti counterpart of :func:`salted_semi`; rows with NULL keys stay."""
-    return _salted(left, right, on, spread, salts, "left_anti")
-
-
-def over_runs(spine: DataFrame | None, values: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per run of the spine, with the values of runs that have any."""
-    if not keys or spine is None:
-        return values
-    return spine.join(values, list(keys), "left")
+    return _salted_filter(left, right, on, spread, "left_anti")
 
 
 def attach(frame: DataFrame, values: DataFrame, keys: Sequence[str],
@@ -66,37 +53,3 @@ def attach(frame: DataFrame, values: DataFrame, keys: Sequence[str],
     one = values.select(F.struct(*columns)).scalar()
     return (frame.withColumn("_one", one)
             .select(*frame.columns, *[F.col("_one")[c].alias(c) for c in columns]))
-
-
-def _bucket(ts: Column, width_days: int) -> Column:
-    return F.floor(F.unix_date(F.to_date(ts)) / F.lit(width_days)).cast("int")
-
-
-def in_windows(rows: DataFrame, windows: DataFrame, ts: str, keys: Sequence[str],
-               lookup: Sequence[str], width_days: int, small: bool = False) -> DataFrame:
-    """Rows whose ``ts`` lies in the closed window ``[lo, hi]`` of a run.
-
-    ``windows`` has the run ``keys`` and ``lo``/``hi``; ``lookup`` are the keys that
-    also name the rows' table. A row comes back once per run whose window holds it,
-    with the run's other columns.
-    Windows are cut into buckets of their own width, so a row only meets the runs
-    close to it and the join is an equi-join; the outer bounds of all windows reach
-    the scan as scalar subqueries. Without keys there is one window and those bounds
-    are the whole answer.
-    """
-    lo = windows.agg(F.min("lo").alias("lo")).scalar()
-    hi = windows.agg(F.max("hi").alias("hi")).scalar()
-    bounded = rows.where((F.col(ts) >= lo) & (F.col(ts) <= hi))
-    if not keys:
-        return bounded
-    cut = windows.withColumn(
-        "_bucket",
-        F.explode(F.sequence(_bucket(F.col("lo"), width_days),
-                             _bucket(F.col("hi"), width_days))),
-    )
-    return (
-        bounded.withColumn("_bucket", _bucket(F.col(ts), width_days))
-        .join(broadcast_if(cut, small), [*lookup, "_bucket"])
-        .where(F.col(ts).between(F.col("lo"), F.col("hi")))
-        .drop("_bucket", "lo", "hi")
-    )

@@ -1,7 +1,7 @@
 """What was received, accepted or validated against what was submitted.
 
-Every function takes the ``windows`` of the runs (``operators.windows``). ``keys`` name
-a run, ``lookup`` (a part of them) the tables it reads; both are empty for a single run.
+Every function takes the :class:`Windows` of one run or of many; its keys name a run,
+its lookup columns the tables the run reads.
 Values are added up per item before items meet submissions, so neither an item with
 many rows nor one submitted many times is multiplied out.
 """
@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimgauge.functions.expressions import or_zero, ratio
-from claimgauge.operators.joins import attach, in_windows, salted_anti, salted_semi
-from claimgauge.operators.windows import LOOKBACK_DAYS
+from claimgauge.operators.joins import attach, salted_anti, salted_semi
+from claimgauge.operators.windows import Windows
 from claimgauge.schemas import (
     APPROVED,
     NOT_SENT,
@@ -25,20 +25,6 @@ from claimgauge.schemas import (
 )
 
 
-def _runs(windows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The run spine; for a single run a one-row relation without columns."""
-    if keys:
-        return windows.select(*keys)
-    return windows.sparkSession.range(1).select()
-
-
-def windowed_validation(validation: DataFrame, windows: DataFrame, keys: Sequence[str] = (),
-                        lookup: Sequence[str] = (), width_days: int = LOOKBACK_DAYS,
-                        small: bool = False) -> DataFrame:
-    """Validation rows in the window of each run."""
-    return in_windows(validation, windows, "ingested_at", keys, lookup, width_days, small)
-
-
 def pending_invoices(in_window: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Invoices with an item still out for validation."""
     waiting = in_window.where(F.col("status") == PENDING).where(F.col("invoice_id").isNotNull())
@@ -53,37 +39,30 @@ def non_sendable_items(in_window: DataFrame, keys: Sequence[str] = ()) -> DataFr
     return held.select(*keys, "item_id").distinct()
 
 
-def received_in_window(received: DataFrame, windows: DataFrame, keys: Sequence[str] = (),
-                       lookup: Sequence[str] = (), width_days: int = LOOKBACK_DAYS,
-                       small: bool = False) -> DataFrame:
+def received_in_window(received: DataFrame, windows: Windows) -> DataFrame:
     """Received claim rows in the window, equal (item, paid, reported) rows once."""
-    rows = received.select(*lookup, "item_id", "paid_value", "reported_value", "ingested_at")
-    rows = in_windows(rows, windows, "ingested_at", keys, lookup, width_days, small)
-    return rows.select(*keys, "item_id", "paid_value", "reported_value").distinct()
+    values = ["item_id", "paid_value", "reported_value"]
+    rows = windows.of_rows(received.select(*windows.lookup, *values, "ingested_at"))
+    return rows.select(*windows.keys, *values).distinct()
 
 
-def sendable_items(received: DataFrame, validation: DataFrame, windows: DataFrame,
-                   keys: Sequence[str] = (), lookup: Sequence[str] = (),
-                   width_days: int = LOOKBACK_DAYS, small: bool = False) -> DataFrame:
+def sendable_items(received: DataFrame, validation: DataFrame, windows: Windows) -> DataFrame:
     """Received items that no pending invoice holds back, one row per item with its
     summed ``paid_value`` and ``reported_value``."""
-    rows = received_in_window(received, windows, keys, lookup, width_days, small)
-    items = rows.groupBy(*keys, "item_id").agg(
+    keys = windows.keys
+    items = received_in_window(received, windows).groupBy(*keys, "item_id").agg(
         F.sum("paid_value").alias("paid_value"), F.sum("reported_value").alias("reported_value")
     )
-    columns = [*lookup, "item_id", "invoice_id", "status", "ingested_at"]
-    in_window = windowed_validation(validation.select(*columns), windows, keys, lookup,
-                                    width_days, small)
+    in_window = windows.of_rows(validation.select(
+        *windows.lookup, "item_id", "invoice_id", "status", "ingested_at"))
     return items.join(non_sendable_items(in_window, keys), [*keys, "item_id"], "left_anti")
 
 
-def _per_status(windows: DataFrame, sums: DataFrame, keys: Sequence[str],
-                columns: Sequence[str]) -> DataFrame:
+def _per_status(windows: Windows, sums: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The observed statuses of each run, and SUBMITTED_SUCCESS in any case."""
-    required = _runs(windows, keys).withColumn("status", F.lit(SUBMITTED_OK))
-    return sums.unionByName(required, allowMissingColumns=True).groupBy(*keys, "status").agg(
-        *[F.sum(c).alias(c) for c in columns]
-    )
+    required = windows.runs(sums).withColumn("status", F.lit(SUBMITTED_OK))
+    return sums.unionByName(required, allowMissingColumns=True).groupBy(
+        *windows.keys, "status").agg(*[F.sum(c).alias(c) for c in columns])
 
 
 def _unless_null_status(value: Column) -> Column:
@@ -92,14 +71,14 @@ def _unless_null_status(value: Column) -> Column:
 
 
 def sent_over_received(received: DataFrame, validation: DataFrame, submitted: DataFrame,
-                       windows: DataFrame, keys: Sequence[str] = (), lookup: Sequence[str] = (),
-                       width_days: int = LOOKBACK_DAYS, small: bool = False) -> DataFrame:
+                       windows: Windows) -> DataFrame:
     """Per submission status, the part of the sendable paid and reported value sent.
 
     Each submitted row of a sendable item counts, of any run and time. With nothing to
     send, every status reads 1.
     """
-    sendable = sendable_items(received, validation, windows, keys, lookup, width_days, small)
+    keys, lookup = windows.keys, windows.lookup
+    sendable = sendable_items(received, validation, windows)
     totals = sendable.groupBy(*keys).agg(
         F.sum("paid_value").alias("_all_paid"), F.sum("reported_value").alias("_all_reported")
     )
@@ -108,7 +87,7 @@ def sent_over_received(received: DataFrame, validation: DataFrame, submitted: Da
         F.sum(F.col("paid_value") * F.col("_times")).alias("_paid"),
         F.sum(F.col("reported_value") * F.col("_times")).alias("_reported"),
     )
-    rows = attach(_per_status(windows, sent, keys, ["_paid", "_reported"]), totals, keys,
+    rows = attach(_per_status(windows, sent, ["_paid", "_reported"]), totals, keys,
                   ["_all_paid", "_all_reported"])
 
     def share(part: str, whole: str) -> Column:
@@ -119,24 +98,17 @@ def sent_over_received(received: DataFrame, validation: DataFrame, submitted: Da
                        share("_reported", "_all_reported").alias("reported_share"))
 
 
-def _sent_savings(items: DataFrame, submitted: DataFrame, keys: Sequence[str],
-                  lookup: Sequence[str], by: Sequence[str]) -> DataFrame:
-    """Submitted saving of the given items, per run (and status)."""
-    per_item = submitted.groupBy(*lookup, "item_id", *by).agg(F.sum("saving_value").alias("_sent"))
-    return items.join(per_item, [*lookup, "item_id"]).groupBy(*keys, *by).agg(
-        F.sum("_sent").alias("_sent"))
-
-
 def _by_item(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rows.groupBy(*keys, "item_id").agg(F.sum("saving_value").alias("saving_value"))
 
 
-def _share_by_status(rows: DataFrame, submitted: DataFrame, windows: DataFrame,
-                     keys: Sequence[str], lookup: Sequence[str]) -> DataFrame:
-    items = _by_item(rows, keys)
-    total = items.groupBy(*keys).agg(F.sum("saving_value").alias("_total"))
-    sent = _sent_savings(items, submitted, keys, lookup, ["status"])
-    return ratio_with_empty_rule(_per_status(windows, sent, keys, ["_sent"]), total, keys)
+def _sent_savings(items: DataFrame, submitted: DataFrame, windows: Windows,
+                  by: Sequence[str]) -> DataFrame:
+    """Submitted saving of the given items, per run (and status)."""
+    on = [*windows.lookup, "item_id"]
+    per_item = submitted.groupBy(*on, *by).agg(F.sum("saving_value").alias("_sent"))
+    return items.join(per_item, on).groupBy(*windows.keys, *by).agg(
+        F.sum("_sent").alias("_sent"))
 
 
 def ratio_with_empty_rule(by_status: DataFrame, total: DataFrame,
@@ -154,64 +126,58 @@ def ratio_with_empty_rule(by_status: DataFrame, total: DataFrame,
         *keys, "status", share.alias("share"))
 
 
-_SAVING_COLUMNS = ["item_id", "saving_value", "ingested_at"]
+def _share_by_status(rows: DataFrame, submitted: DataFrame, windows: Windows) -> DataFrame:
+    keys = windows.keys
+    items = _by_item(rows, keys)
+    total = items.groupBy(*keys).agg(F.sum("saving_value").alias("_total"))
+    sent = _sent_savings(items, submitted, windows, ["status"])
+    return ratio_with_empty_rule(_per_status(windows, sent, ["_sent"]), total, keys)
+
+
+_SAVING = ["item_id", "saving_value"]
 
 
-def accepted_savings(selected: DataFrame, validation: DataFrame, windows: DataFrame,
-                     keys: Sequence[str] = (), lookup: Sequence[str] = (),
-                     width_days: int = LOOKBACK_DAYS, small: bool = False) -> DataFrame:
+def accepted_savings(selected: DataFrame, validation: DataFrame, windows: Windows) -> DataFrame:
     """Selected savings, and approved or sent validation rows on settled invoices."""
-    chosen = in_windows(selected.select(*lookup, *_SAVING_COLUMNS), windows, "ingested_at",
-                        keys, lookup, width_days, small)
-    in_window = windowed_validation(
-        validation.select(*lookup, *_SAVING_COLUMNS, "invoice_id", "status"),
-        windows, keys, lookup, width_days, small)
+    keys, lookup = windows.keys, windows.lookup
+    chosen = windows.of_rows(selected.select(*lookup, *_SAVING, "ingested_at"))
+    in_window = windows.of_rows(
+        validation.select(*lookup, *_SAVING, "invoice_id", "status", "ingested_at"))
     settled = salted_anti(
         in_window.where(F.col("status").isin(SUBMITTED_OK, APPROVED)),
         pending_invoices(in_window, keys), [*keys, "invoice_id"], ["item_id"])
-    columns = [*keys, "item_id", "saving_value"]
-    return chosen.select(*columns).unionByName(settled.select(*columns))
+    return chosen.select(*keys, *_SAVING).unionByName(settled.select(*keys, *_SAVING))
 
 
 def sent_over_accepted(selected: DataFrame, validation: DataFrame, submitted: DataFrame,
-                       windows: DataFrame, keys: Sequence[str] = (), lookup: Sequence[str] = (),
-                       width_days: int = LOOKBACK_DAYS, small: bool = False) -> DataFrame:
+                       windows: Windows) -> DataFrame:
     """Per status, submitted saving of accepted items over the accepted saving."""
-    accepted = accepted_savings(selected, validation, windows, keys, lookup, width_days, small)
-    return _share_by_status(accepted, submitted, windows, keys, lookup)
+    return _share_by_status(accepted_savings(selected, validation, windows), submitted, windows)
 
 
-def analysed_savings(validation: DataFrame, windows: DataFrame, keys: Sequence[str] = (),
-                     lookup: Sequence[str] = (), width_days: int = LOOKBACK_DAYS,
-                     small: bool = False) -> DataFrame:
+def analysed_savings(validation: DataFrame, windows: Windows) -> DataFrame:
     """Validation rows that were looked at and not held for a shared invoice."""
     rows = validation.where(~F.col("status").isin(PENDING, NOT_SENT)).where(
         ~F.col("filtered_reason").eqNullSafe(F.lit(SHARED_INVOICE)))
-    return windowed_validation(rows.select(*lookup, *_SAVING_COLUMNS), windows, keys, lookup,
-                               width_days, small)
+    return windows.of_rows(rows.select(*windows.lookup, *_SAVING, "ingested_at"))
 
 
-def sent_over_validation(validation: DataFrame, submitted: DataFrame, windows: DataFrame,
-                         keys: Sequence[str] = (), lookup: Sequence[str] = (),
-                         width_days: int = LOOKBACK_DAYS, small: bool = False) -> DataFrame:
+def sent_over_validation(validation: DataFrame, submitted: DataFrame,
+                         windows: Windows) -> DataFrame:
     """Per status, submitted saving of analysed items over the analysed saving."""
-    analysed = analysed_savings(validation, windows, keys, lookup, width_days, small)
-    return _share_by_status(analysed, submitted, windows, keys, lookup)
+    return _share_by_status(analysed_savings(validation, windows), submitted, windows)
 
 
-def shared_invoice_completeness(validation: DataFrame, submitted: DataFrame, windows: DataFrame,
-                                keys: Sequence[str] = (), lookup: Sequence[str] = (),
-                                width_days: int = LOOKBACK_DAYS,
-                                small: bool = False) -> DataFrame:
+def shared_invoice_completeness(validation: DataFrame, submitted: DataFrame,
+                                windows: Windows) -> DataFrame:
     """Submitted over known saving of items held for a shared invoice; 1 without any."""
+    keys = windows.keys
     rows = validation.where(F.col("filtered_reason") == SHARED_INVOICE).where(
         F.col("status") != PENDING)
-    shared = windowed_validation(rows.select(*lookup, *_SAVING_COLUMNS), windows, keys, lookup,
-                                 width_days, small)
-    items = _by_item(shared, keys)
+    items = _by_item(windows.of_rows(rows.select(*windows.lookup, *_SAVING, "ingested_at")), keys)
     total = items.groupBy(*keys).agg(F.sum("saving_value").alias("_total"))
-    sent = _sent_savings(items, submitted, keys, lookup, [])
-    runs = attach(attach(_runs(windows, keys), total, keys, ["_total"]), sent, keys, ["_sent"])
+    sent = _sent_savings(items, submitted, windows, [])
+    runs = attach(attach(windows.runs(items), total, keys, ["_total"]), sent, keys, ["_sent"])
     whole = or_zero(F.col("_total"))
     share = F.when(whole > 0, ratio(or_zero(F.col("_sent")), whole)).otherwise(F.lit(1.0))
     return runs.select(*keys, share.alias("share"))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimgauge.functions.expressions import or_zero, ratio
-from claimgauge.operators.joins import over_runs
+from claimgauge.operators.spine import over_runs
 
 
 class MissingTableError(ValueError):

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimgauge.operators import agents, entities, expiry, reconcile, shares, windows
-from claimgauge.operators.joins import is_small
+from claimgauge.operators.spine import Spine
+from claimgauge.operators.windows import Windows
 from claimgauge.sources import standin
 
 NOT_A_RUN = "none"
@@ -110,14 +111,14 @@ def _monthly_batch(rows: DataFrame) -> DataFrame:
 
 def _entity_by_partner(operator, spark, sf_dir, entity: str) -> DataFrame:
     rows = standin.claims(spark, sf_dir, partner=True)
-    return operator(_spine(spark, sf_dir), standin.batch(rows), rows, entity,
-                    ["partner"], ["partner"])
+    spine = Spine.of(_spine(spark, sf_dir), ["partner"], ["partner"])
+    return operator(spine, standin.batch(rows), rows, entity)
 
 
 def _entity_by_run(operator, spark, sf_dir, entity: str) -> DataFrame:
     rows = standin.claims(spark, sf_dir, partner=True)
-    return operator(_monthly_runs(spark, sf_dir), _monthly_batch(rows), rows, entity,
-                    ["partner", "run_id"], ["partner"])
+    spine = Spine.of(_monthly_runs(spark, sf_dir), ["partner", "run_id"], ["partner"])
+    return operator(spine, _monthly_batch(rows), rows, entity)
 
 
 # ---- submissions -----------------------------------------------------------------
@@ -157,76 +158,47 @@ def submission_windows_by_run(spark, sf_dir) -> DataFrame:
 def _single(spark, sf_dir):
     rows = standin.claims(spark, sf_dir, orders=True)
     sent = standin.submitted(rows)
-    return rows, standin.validation(rows), sent, _window(sent)
+    return rows, standin.validation(rows), sent, Windows.single(_window(sent), _DAYS)
 
 
 def pending_invoices(spark, sf_dir) -> DataFrame:
     _, checked, _, window = _single(spark, sf_dir)
-    return reconcile.pending_invoices(
-        reconcile.windowed_validation(checked, window, width_days=_DAYS))
+    return reconcile.pending_invoices(window.of_rows(checked))
 
 
 def non_sendable_items(spark, sf_dir) -> DataFrame:
     _, checked, _, window = _single(spark, sf_dir)
-    return reconcile.non_sendable_items(
-        reconcile.windowed_validation(checked, window, width_days=_DAYS))
+    return reconcile.non_sendable_items(window.of_rows(checked))
 
 
 def sendable_items(spark, sf_dir) -> DataFrame:
     rows, checked, _, window = _single(spark, sf_dir)
-    items = reconcile.sendable_items(rows, checked, window, width_days=_DAYS)
+    items = reconcile.sendable_items(rows, checked, window)
     return items.select("item_id", F.col("paid_value").cast("double").alias("paid_value"),
                         F.col("reported_value").cast("double").alias("reported_value"))
 
 
-def sent_over_received(spark, sf_dir) -> DataFrame:
-    rows, checked, sent, window = _single(spark, sf_dir)
-    return reconcile.sent_over_received(rows, checked, sent, window, width_days=_DAYS)
-
-
-def sent_over_accepted(spark, sf_dir) -> DataFrame:
-    rows, checked, sent, window = _single(spark, sf_dir)
-    return reconcile.sent_over_accepted(standin.selected(rows), checked, sent, window,
-                                        width_days=_DAYS)
-
-
-def sent_over_validation(spark, sf_dir) -> DataFrame:
-    _, checked, sent, window = _single(spark, sf_dir)
-    return reconcile.sent_over_validation(checked, sent, window, width_days=_DAYS)
-
-
-def shared_invoice_completeness(spark, sf_dir) -> DataFrame:
-    _, checked, sent, window = _single(spark, sf_dir)
-    return reconcile.shared_invoice_completeness(checked, sent, window, width_days=_DAYS)
-
-
 def _by_run(spark, sf_dir):
     rows = standin.claims(spark, sf_dir, partner=True)
     sent = standin.submitted(rows)
-    runs = _submission_runs(spark, sf_dir, sent)
-    spans = windows.anchored_windows(runs, sent, _RUN, _DAYS)
-    options = {"keys": _RUN, "lookup": ["partner"], "width_days": _DAYS, "small": is_small(runs)}
-    return rows, standin.validation(rows), sent, spans, options
+    spans = windows.anchored_windows(_submission_runs(spark, sf_dir, sent), sent, _RUN, _DAYS)
+    return rows, standin.validation(rows), sent, Windows.of(spans, _RUN, ["partner"], _DAYS)
 
 
-def sent_over_received_by_run(spark, sf_dir) -> DataFrame:
-    rows, checked, sent, spans, options = _by_run(spark, sf_dir)
-    return reconcile.sent_over_received(rows, checked, sent, spans, **options)
+def _sent_over_received(rows, checked, sent, spans) -> DataFrame:
+    return reconcile.sent_over_received(rows, checked, sent, spans)
 
 
-def sent_over_accepted_by_run(spark, sf_dir) -> DataFrame:
-    rows, checked, sent, spans, options = _by_run(spark, sf_dir)
-    return reconcile.sent_over_accepted(standin.selected(rows), checked, sent, spans, **options)
+def _sent_over_accepted(rows, checked, sent, spans) -> DataFrame:
+    return reconcile.sent_over_accepted(standin.selected(rows), checked, sent, spans)
 
 
-def sent_over_validation_by_run(spark, sf_dir) -> DataFrame:
-    _, checked, sent, spans, options = _by_run(spark, sf_dir)
-    return reconcile.sent_over_validation(checked, sent, spans, **options)
+def _sent_over_validation(rows, checked, sent, spans) -> DataFrame:
+    return reconcile.sent_over_validation(checked, sent, spans)
 
 
-def shared_invoice_completeness_by_run(spark, sf_dir) -> DataFrame:
-    _, checked, sent, spans, options = _by_run(spark, sf_dir)
-    return reconcile.shared_invoice_completeness(checked, sent, spans, **options)
+def _shared_invoice_completeness(rows, checked, sent, spans) -> DataFrame:
+    return reconcile.shared_invoice_completeness(checked, sent, spans)
 
 
 # ---- expiry ----------------------------------------------------------------------
@@ -291,14 +263,14 @@ QUERIES = {
     "pending_invoices": pending_invoices,
     "non_sendable_items": non_sendable_items,
     "sendable_items": sendable_items,
-    "sent_over_received": sent_over_received,
-    "sent_over_received_by_run": sent_over_received_by_run,
-    "sent_over_accepted": sent_over_accepted,
-    "sent_over_accepted_by_run": sent_over_accepted_by_run,
-    "sent_over_validation": sent_over_validation,
-    "sent_over_validation_by_run": sent_over_validation_by_run,
-    "shared_invoice_completeness": shared_invoice_completeness,
-    "shared_invoice_completeness_by_run": shared_invoice_completeness_by_run,
+    "sent_over_received": lambda s, d: _sent_over_received(*_single(s, d)),
+    "sent_over_received_by_run": lambda s, d: _sent_over_received(*_by_run(s, d)),
+    "sent_over_accepted": lambda s, d: _sent_over_accepted(*_single(s, d)),
+    "sent_over_accepted_by_run": lambda s, d: _sent_over_accepted(*_by_run(s, d)),
+    "sent_over_validation": lambda s, d: _sent_over_validation(*_single(s, d)),
+    "sent_over_validation_by_run": lambda s, d: _sent_over_validation(*_by_run(s, d)),
+    "shared_invoice_completeness": lambda s, d: _shared_invoice_completeness(*_single(s, d)),
+    "shared_invoice_completeness_by_run": lambda s, d: _shared_invoice_completeness(*_by_run(s, d)),
     "expired_validation_total": expired_validation_total,
     "expired_validation_total_by_partner": expired_validation_total_by_partner,
     "expired_validation_total_by_run": expired_validation_total_by_run,

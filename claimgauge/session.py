@@ -52,3 +52,12 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError(f"set {CHECKPOINT_CONF} to a folder all executors can reach")
         base = tempfile.mkdtemp(prefix="claimgauge-")
     return os.path.join(base, f"{purpose}-{uuid.uuid4().hex}")
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Let ``DataFrame.checkpoint`` work: the cluster's folder, or in local mode one of
+    our own when none is set."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(spark.conf.get(CHECKPOINT_CONF, None)
+                                 or scratch_dir(spark, "checkpoints"))
