@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +34,13 @@ class Tables:
     submitted: DataFrame
 
 
+_HISTORY = ["history_processable", "history_unprocessable"]
+_VALIDATION = ["internal_validation", "manual_validation"]
+_ENTITY_METRICS = ["new_providers", "new_members", "provider_ratio", "member_ratio"]
+_SUBMISSION_METRICS = ["sent_over_received", "sent_over_accepted", "sent_over_validation",
+                       "shared_invoice"]
+
+
 def _ref(role: str) -> Column:
     return F.filter("refs", lambda r: r["role"] == role)[0]["table_ref"]
 
@@ -148,22 +156,29 @@ class Evaluation:
         return self._points(done, {names.SELECTED_VALUE: "total_saving"},
                             agent_id=label_text(F.col("agent_id")), source="selected_savings")
 
+    @cached_property
+    def _compared(self) -> DataFrame:
+        """Events whose batch is compared with history, once for all four metrics."""
+        runs = self._of(*_ENTITY_METRICS).where(
+            _present(_HISTORY[0]) & _present(_HISTORY[1]))
+        return runs.select("event_id", "as_of", "refs", _set_of(*_HISTORY).alias("history_set")
+                           ).distinct()
+
+    @cached_property
+    def _entity_spine(self) -> Spine:
+        return Spine.of(self._compared.drop("refs"), ["event_id"], ["history_set"])
+
     def _entities(self, metric: str, operator, entity: str, value: str, name: str) -> DataFrame:
         """Events with both history tables are compared; without, all counts as new."""
-        history = ["history_processable", "history_unprocessable"]
-        both = _present(history[0]) & _present(history[1])
-        runs = self._of(metric).withColumn("history_set", _set_of(*history))
-        known = runs.where(both)
-        spine = Spine.of(known.select("event_id", "history_set", "as_of").distinct(),
-                         ["event_id"], ["history_set"])
-        claims = self.tables.claims
-        batch = self._bind(claims, known, "event_id", ["processable", "unprocessable"],
+        claims, compared = self.tables.claims, self._compared
+        batch = self._bind(claims, compared, "event_id", ["processable", "unprocessable"],
                            ["item_id", entity])
-        past = self._bind(claims, known, "history_set", history,
+        past = self._bind(claims, compared, "history_set", _HISTORY,
                           ["item_id", entity, "created_at"])
-        found = known.join(operator(spine, batch, past, entity), "event_id")
-        alone = runs.where(~both).withColumn(value, F.lit(1.0))
-        done = found.unionByName(alone, allowMissingColumns=True)
+        found = operator(self._entity_spine, batch, past, entity).select("event_id", value)
+        both = _present(_HISTORY[0]) & _present(_HISTORY[1])
+        done = self._of(metric).join(found, "event_id", "left").withColumn(
+            value, F.when(both, F.col(value)).otherwise(F.lit(1.0)))
         return self._points(done, {name: value}, approved=F.col("approved"))
 
     def new_providers(self) -> DataFrame:
@@ -184,78 +199,77 @@ class Evaluation:
 
     # ---- submission --------------------------------------------------------------
 
-    def _submission(self, metric: str) -> _SubmissionInputs:
-        runs = self._of(metric)
-        spans = anchored_windows(
-            runs.select("event_id", "as_of", "submission_run_id",
-                        F.md5(F.to_json("refs")).alias("table_set")),
-            self._sent(metric, ["submission_run_id", "ingested_at"]),
-            ["table_set", "submission_run_id"])
-        return _SubmissionInputs(runs, Windows.of(spans.drop("as_of", "submission_run_id"),
-                                                  ["event_id", "table_set"], ["table_set"]))
-
-    def _rows(self, rows: DataFrame, metric: str, roles: list[str],
-              columns: list[str]) -> DataFrame:
-        runs = self._of(metric).withColumn("table_set", F.md5(F.to_json("refs")))
-        return self._bind(rows, runs, "table_set", roles, columns)
-
-    def _sent(self, metric: str, columns: list[str]) -> DataFrame:
-        return self._rows(self.tables.submitted, metric, ["submitted"], columns)
-
-    def _checked(self, metric: str, *columns: str) -> DataFrame:
-        return self._rows(self.tables.validation, metric,
-                          ["internal_validation", "manual_validation"],
-                          ["item_id", "status", "ingested_at", *columns])
+    @cached_property
+    def _submissions(self) -> DataFrame:
+        """Submission events with all tables their metrics read, as one set."""
+        theirs = F.filter("handlers", lambda h: h["metric"].isin(_SUBMISSION_METRICS)
+                          & h["error"].isNull())
+        refs = F.array_distinct(F.flatten(F.transform(theirs, lambda h: h["refs"])))
+        runs = self.routed.where(F.size(theirs) > 0).select(
+            "event_id", "as_of", "submission_run_id", refs.alias("refs"))
+        return runs.withColumn("table_set", F.md5(F.to_json("refs")))
+
+    @cached_property
+    def _windows(self) -> Windows:
+        """Their windows, found once for all four metrics."""
+        spans = anchored_windows(self._submissions.drop("refs"),
+                                 self._sent("submission_run_id", "ingested_at"),
+                                 ["table_set", "submission_run_id"])
+        return Windows.of(spans.select("event_id", "table_set", "lo", "hi"),
+                          ["event_id", "table_set"], ["table_set"])
+
+    def _set_rows(self, rows: DataFrame, roles: list[str], *columns: str) -> DataFrame:
+        return self._bind(rows, self._submissions, "table_set", roles, columns)
+
+    def _sent(self, *columns: str) -> DataFrame:
+        return self._set_rows(self.tables.submitted, ["submitted"], *columns)
+
+    def _checked(self, *columns: str) -> DataFrame:
+        return self._set_rows(self.tables.validation, _VALIDATION, "item_id", "status",
+                              "ingested_at", *columns)
+
+    def _submission_points(self, metric: str, result: DataFrame, values: dict,
+                           **label_columns) -> DataFrame:
+        done = self._of(metric).drop("status").join(result.drop("table_set"), "event_id")
+        return self._points(done, values, **label_columns)
 
     def sent_over_received(self) -> DataFrame:
-        metric = "sent_over_received"
-        given = self._submission(metric)
-        received = self._rows(self.tables.claims, metric, ["processable", "unprocessable"],
-                              ["item_id", "paid_value", "reported_value", "ingested_at"])
+        received = self._set_rows(self.tables.claims, ["processable", "unprocessable"],
+                                  "item_id", "paid_value", "reported_value", "ingested_at")
         result = reconcile.sent_over_received(
-            received, self._checked(metric, "invoice_id"),
-            self._sent(metric, ["item_id", "status"]), given.windows)
-        return self._points(given.runs.drop("status").join(result, "event_id"), {
+            received, self._checked("invoice_id"), self._sent("item_id", "status"), self._windows)
+        return self._submission_points("sent_over_received", result, {
             names.SENT_PAID: "paid_share", names.SENT_REPORTED: "reported_share",
         }, status=label_text(F.col("status")))
 
-    def _shares_by_status(self, given: _SubmissionInputs, result: DataFrame,
-                          name: str) -> DataFrame:
-        return self._points(given.runs.drop("status").join(result, "event_id"),
-                            {name: "share"}, status=label_text(F.col("status")))
-
     def sent_over_accepted(self) -> DataFrame:
-        metric = "sent_over_accepted"
-        given = self._submission(metric)
-        selected = self._rows(self.tables.savings, metric, ["selected"],
-                              ["item_id", "saving_value", "ingested_at"])
+        selected = self._set_rows(self.tables.savings, ["selected"], "item_id", "saving_value",
+                                  "ingested_at")
         result = reconcile.sent_over_accepted(
-            selected, self._checked(metric, "invoice_id", "saving_value"),
-            self._sent(metric, ["item_id", "status", "saving_value"]), given.windows)
-        return self._shares_by_status(given, result, names.SENT_ACCEPTED)
+            selected, self._checked("invoice_id", "saving_value"),
+            self._sent("item_id", "status", "saving_value"), self._windows)
+        return self._submission_points("sent_over_accepted", result, {
+            names.SENT_ACCEPTED: "share"}, status=label_text(F.col("status")))
 
     def sent_over_validation(self) -> DataFrame:
-        metric = "sent_over_validation"
-        given = self._submission(metric)
         result = reconcile.sent_over_validation(
-            self._checked(metric, "saving_value", "filtered_reason"),
-            self._sent(metric, ["item_id", "status", "saving_value"]), given.windows)
-        return self._shares_by_status(given, result, names.SENT_VALIDATION)
+            self._checked("saving_value", "filtered_reason"),
+            self._sent("item_id", "status", "saving_value"), self._windows)
+        return self._submission_points("sent_over_validation", result, {
+            names.SENT_VALIDATION: "share"}, status=label_text(F.col("status")))
 
     def shared_invoice(self) -> DataFrame:
-        metric = "shared_invoice"
-        given = self._submission(metric)
         result = reconcile.shared_invoice_completeness(
-            self._checked(metric, "saving_value", "filtered_reason"),
-            self._sent(metric, ["item_id", "saving_value"]), given.windows)
-        return self._points(given.runs.join(result, "event_id"), {names.SHARED_SENT: "share"})
+            self._checked("saving_value", "filtered_reason"),
+            self._sent("item_id", "saving_value"), self._windows)
+        return self._submission_points("shared_invoice", result, {names.SHARED_SENT: "share"})
 
     def expired(self) -> DataFrame:
-        metric = "expired"
-        runs = self._of(metric).withColumn("table_set", F.md5(F.to_json("refs")))
+        runs = self._of("expired").withColumn("table_set", F.md5(F.to_json("refs")))
+        checked = self._bind(self.tables.validation, runs, "table_set", _VALIDATION,
+                             ["status", "saving_value", "ingested_at", "updated_at"])
         result = expiry.expired_validation_total_by_run(
-            runs.select("event_id", "table_set", "as_of"),
-            self._checked(metric, "saving_value", "updated_at"),
+            runs.select("event_id", "table_set", "as_of"), checked,
             ["event_id", "table_set"], ["table_set"])
         return self._points(runs.join(result.drop("table_set"), "event_id"),
                             {names.EXPIRED_TOTAL: "expired_saving"})
@@ -290,12 +304,6 @@ class Evaluation:
         return result
 
 
-@dataclass(frozen=True)
-class _SubmissionInputs:
-    runs: DataFrame
-    windows: Windows
-
-
 def failure_points(routed: DataFrame, project: str) -> DataFrame:
     """A 1.0 per failed handler, stamped with the time of evaluation."""
     failed = failures(routed).withColumn("as_of", F.current_timestamp())

@@ -14,7 +14,6 @@ from claimgauge.sinks.metrics import log_lines, to_points, write_points
 from claimgauge.sources import standin_events
 from claimgauge.sources.events import decode_events, quarantined
 from claimgauge.sources.standin import table
-from claimgauge.sources.tables import manifest_of
 from claimgauge.streaming.runs import Job, deduplicated, evaluate_batch
 
 PROJECT = "test"
@@ -86,8 +85,7 @@ def _flat(points: DataFrame) -> DataFrame:
 def _evaluation(spark, sf_dir, pipeline: str) -> Evaluation:
     events = standin_events.run_events(spark, sf_dir)
     events = events.where(F.col("which") == standin_events.PIPELINES.index(pipeline))
-    tables = standin_events.run_tables(spark, sf_dir)
-    manifest = manifest_of(tables.claims, tables.savings, tables.validation, tables.submitted)
+    tables, manifest = standin_events.run_tables(spark, sf_dir, pipeline)
     routed = routing.route_events(decode_events(events))
     return Evaluation(routing.check_tables(routed, manifest, "default"), tables, PROJECT)
 
@@ -150,9 +148,8 @@ def stream_savings(spark, sf_dir) -> DataFrame:
     """Events streamed in and evaluated per micro-batch against the claim tables; the
     savings points of evaluation runs are read back."""
     out = scratch_dir(spark, "stream-savings")
-    tables = standin_events.run_tables(spark, sf_dir)
-    job = Job(out, PROJECT, "default", lambda: tables, lambda: manifest_of(
-        tables.claims, tables.savings, tables.validation, tables.submitted))
+    tables, manifest = standin_events.run_tables(spark, sf_dir, routing.EVALUATION)
+    job = Job(out, PROJECT, "default", lambda: tables, lambda: manifest)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         events = standin_events.as_run_events(batch, table(spark, sf_dir, "region"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimgauge.functions.variants import as_text, get, is_missing
+from claimgauge.functions.variants import FALSY_JSON, get
 from claimgauge.schemas import RAW_EVENT
 
 DECODED, UNDECODABLE, BROKEN = "decoded", "undecodable", "broken"
@@ -43,37 +43,38 @@ def decode_events(events: DataFrame, raw: str = "raw") -> DataFrame:
     ``undecodable`` (for a quarantine) or ``broken``: an envelope of the wrong shape,
     such as a null ``message``, which fails rather than being refused.
     """
-    envelope = F.try_parse_json(F.col(raw))
     message, data = F.col("_message"), F.col("_data")
-    direct = get(F.col("_envelope"), "$.payload").isNotNull() & get(
-        F.col("_envelope"), "$.source_timestamp").isNotNull()
-    text = F.when(~is_missing(data), _base64_text(as_text(data)))
     opened = (
-        events.withColumn("_envelope", envelope)
+        events.withColumn("_envelope", F.try_parse_json(F.col(raw)))
         .withColumn("_message", get(F.col("_envelope"), "$.message"))
-        .withColumn("_data", get(F.col("_envelope"), "$.message.data"))
-        .withColumn("_text", text)
+        .withColumn("_data", F.to_json(get(F.col("_envelope"), "$.message.data")))
+        .withColumn("_has_data", data.isNotNull() & ~data.isin(FALSY_JSON))
+        .withColumn("_text", F.when(F.col("_has_data"), _base64_text(
+            F.try_variant_get("_envelope", "$.message.data", "string"))))
         .withColumn("_inner", F.try_parse_json("_text"))
+        .withColumn("_direct", get(F.col("_envelope"), "$.payload").isNotNull()
+                    & get(F.col("_envelope"), "$.source_timestamp").isNotNull())
     )
     wrong_shape = ~_is_object(F.col(raw)) | (
         message.isNotNull() & ~_is_object(F.to_json(message))
-    ) | (~is_missing(data) & ~F.to_json(data).startswith('"'))
-    has_data = ~is_missing(data)
+    ) | (F.col("_has_data") & ~data.startswith('"'))
     readable = F.col("_inner").isNotNull() & ~F.is_variant_null("_inner")
     decoding = (
         F.when(F.col("_envelope").isNull(), UNDECODABLE)
-        .when(F.coalesce(wrong_shape, F.lit(False)), BROKEN)
-        .when(has_data, F.when(readable, DECODED).otherwise(UNDECODABLE))
-        .when(direct, DECODED).otherwise(UNDECODABLE)
+        .when(wrong_shape, BROKEN)
+        .when(F.col("_has_data"), F.when(readable, DECODED).otherwise(UNDECODABLE))
+        .when(F.col("_direct"), DECODED).otherwise(UNDECODABLE)
     )
-    doc = F.when(F.col("decoding") == DECODED,
-                 F.when(has_data, F.col("_inner")).otherwise(F.col("_envelope")))
-    is_object = F.when(has_data, _is_object(F.col("_text"))).otherwise(True)
-    return (
-        opened.withColumn("decoding", decoding).withColumn("doc", doc)
-        .withColumn("doc_is_object", is_object)
-        .drop("_envelope", "_message", "_data", "_text", "_inner")
+    result = F.struct(
+        decoding.alias("decoding"),
+        F.when(F.col("_has_data"), F.col("_inner")).otherwise(F.col("_envelope")).alias("doc"),
+        F.when(F.col("_has_data"), _is_object(F.col("_text"))).otherwise(True)
+        .alias("doc_is_object"),
     )
+    # a generator: later filters on the result stay above it instead of being pushed
+    # down, which would parse the documents once more per use
+    decoded = opened.select(*events.columns, F.inline(F.array(result)))
+    return decoded.withColumn("doc", F.when(F.col("decoding") == DECODED, F.col("doc")))
 
 
 def quarantined(decoded: DataFrame) -> DataFrame:

@@ -17,9 +17,11 @@ from claimgauge.operators.routing import (
     WRANGLING,
 )
 from claimgauge.plans.evaluate import Tables
-from claimgauge.schemas import COMPLETED
+from claimgauge.schemas import CLAIMS, COMPLETED, SAVINGS, SUBMITTED, VALIDATION
+from claimgauge.session import scratch_dir
 from claimgauge.sources import standin
 from claimgauge.sources.standin import table
+from claimgauge.sources.tables import manifest_of
 
 PIPELINES = [APPROVAL, WRANGLING, SELECTION, EVALUATION, SUBMISSION, RELEASE, "other_pipeline"]
 STATUSES = {"purchase": COMPLETED, "view": COMPLETED, "click": "RUNNING", "signup": "INITIAL",
@@ -121,22 +123,42 @@ def as_run_events(events: DataFrame, region: DataFrame) -> DataFrame:
 
     quarter = F.dayofmonth("day") % 26
     run_id = ((F.lit(1995) + F.floor(quarter / 4)) * 10 + quarter % 4 + 1).cast("string")
-    body = None
-    for index, pipeline in enumerate(PIPELINES[:6]):
-        variables = F.to_json(_variables([pipeline], ref, partner=F.col("r_name"),
-                                         submission_run_id=run_id))
-        text = F.concat(F.lit(f'"pipeline_uuid":"{pipeline}","status":"{COMPLETED}","variables":'),
-                        variables)
-        body = F.when(F.col("which") == index, text) if body is None else body.when(
-            F.col("which") == index, text)
+    variables = F.to_json(_variables(PIPELINES, ref, partner=F.col("r_name"),
+                                     submission_run_id=run_id))
+    pipeline = F.element_at(F.array(*[F.lit(p) for p in PIPELINES]), F.col("which") + 1)
     raw = F.concat(F.lit('{"source_timestamp":"'), F.date_format("day", "yyyy-MM-dd"),
-                   F.lit('T00:10:00Z","payload":{'), body, F.lit("}}"))
+                   F.lit('T00:10:00Z","payload":{"pipeline_uuid":"'), pipeline,
+                   F.lit(f'","status":"{COMPLETED}","variables":'), variables, F.lit("}}"))
     return runs.select("event_id", raw.alias("raw"), "which")
 
 
-def run_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    """The stand-in claims as tables by ``table_ref``: batches by day of the month,
-    histories, validation and submissions by partner."""
+# The tables each pipeline's metrics read.
+READS = {
+    APPROVAL: ("claims", "savings"), WRANGLING: ("claims",), SELECTION: ("savings",),
+    EVALUATION: ("savings",), SUBMISSION: ("claims", "savings", "validation", "submitted"),
+    RELEASE: ("validation",),
+}
+
+
+def run_tables(spark: SparkSession, sf_dir: str, pipeline: str) -> tuple[Tables, DataFrame]:
+    """The stand-in claims as tables by ``table_ref``, and the manifest of those one
+    pipeline reads. These are written to the scratch folder first: they are read once
+    per metric, and are tables where the metrics are used in earnest."""
+    views = _run_views(spark, sf_dir)
+    out = scratch_dir(spark, "run-tables")
+    for name in READS[pipeline]:
+        rows = views[name]
+        kept = [c for c in SHAPES[name].names if c in rows.columns]
+        rows.select(*kept).write.parquet(f"{out}/{name}")
+        views[name] = spark.read.parquet(f"{out}/{name}")
+    return Tables(**views), manifest_of(*[views[name] for name in READS[pipeline]])
+
+
+SHAPES = {"claims": CLAIMS, "savings": SAVINGS, "validation": VALIDATION, "submitted": SUBMITTED}
+
+
+def _run_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Batches by day of the month; histories, validation and submissions by partner."""
     rows = standin.claims(spark, sf_dir, partner=True, agent=True)
     rows = rows.withColumn("ingested_at", F.col("ingested_at").cast("timestamp")).withColumn(
         "created_at", F.col("created_at").cast("timestamp"))
@@ -163,4 +185,4 @@ def run_tables(spark: SparkSession, sf_dir: str) -> Tables:
     checked = standin.validation(rows).withColumn(
         "table_ref", F.concat(F.lit("val."), kind, F.lit("_validation_"), partner))
     sent = standin.submitted(rows).withColumn("table_ref", history("submitted"))
-    return Tables(claims, savings, checked, sent)
+    return {"claims": claims, "savings": savings, "validation": checked, "submitted": sent}
