@@ -18,11 +18,19 @@ def as_text(value: Column) -> Column:
     return F.try_variant_get(value, "$", "string")
 
 
-def as_map(value: Column) -> Column:
-    """A JSON object as a map; NULL for anything else."""
-    return F.try_variant_get(value, "$", "map<string,variant>")
-
-
 def is_missing(value: Column) -> Column:
     """Absent, null, or empty/zero/false."""
     return value.isNull() | F.to_json(value).isin(FALSY_JSON)
+
+
+# Texts that may or may not count as given: the string "0" does, the number 0 does not.
+DOUBTFUL_TEXT = [t for t in FALSY_JSON if t != '""'] + [""]
+
+
+def text_at(value: Column, path: str) -> Column:
+    return F.try_variant_get(value, path, "string")
+
+
+def given_text(value: Column, path: str) -> Column:
+    """The value at ``path`` as text, NULL if missing: decided by its JSON type."""
+    return F.when(~is_missing(get(value, path)), text_at(value, path))

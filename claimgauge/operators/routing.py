@@ -6,19 +6,32 @@ shuffle. ``bindings`` then gives one row per event and route for the metrics.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from collections.abc import Callable
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimgauge.functions.expressions import parse_instant
-from claimgauge.functions.variants import as_map, as_text, get, is_missing
+from claimgauge.functions.variants import (
+    DOUBTFUL_TEXT,
+    as_text,
+    get,
+    given_text,
+    is_missing,
+    text_at,
+)
 from claimgauge.schemas import COMPLETED
 from claimgauge.sources.events import DECODED, UNDECODABLE
 
 # What a missing table does to a route (besides being counted as empty).
 TOLERATE, BAD_REQUEST, INTERNAL_ERROR = "tolerate", "bad_request", "internal_error"
-TIME = "@time"
+
+# Checks that are not payload variables; failing one is an internal error.
+TIME = "@source_timestamp"
+SHAPE = "@variables"
+PARENTS = "@nested_variables"
 
 
 @dataclass(frozen=True)
@@ -47,7 +60,7 @@ class Route:
 
     @property
     def checks(self) -> list[str]:
-        return [*self.before, *[r.variable for r in self.roles], *self.then]
+        return [SHAPE, *self.before, *[r.variable for r in self.roles], *self.then]
 
 
 @dataclass(frozen=True)
@@ -61,7 +74,7 @@ class _Names:
     history_unprocessable: str
     history_processable: str
     fails_on_no_payload: bool
-    suffix: str = field(default="")
+    suffix: str
 
 
 # ---- fixed values: pipelines, payload variables ------------------------------------
@@ -137,7 +150,7 @@ ROUTES: list[Route] = [
                 "internal_validation.internal_validation_claims_input_table", INTERNAL_ERROR),
            Role("manual_validation",
                 "manual_validation.manual_validation_claims_input_table", INTERNAL_ERROR)),
-          before=("partner",), then=(TIME,)),
+          before=(PARENTS, "partner"), then=(TIME,)),
 ]
 
 _HANDLER = ("struct<handler:string,metric:string,approved:string,"
@@ -162,45 +175,58 @@ def routes_frame(spark: SparkSession) -> DataFrame:
 
 def _run_count_handler() -> Column:
     return F.from_json(F.lit(
-        f'{{"handler":"{RUN_COUNT_HANDLER}","metric":"run_count","roles":[],"checks":["{TIME}"]}}'
-    ), _HANDLER)
-
-
-def _lookup(variables: Column, path: Column) -> Column:
-    """Value of a (possibly nested) payload variable named by a column."""
-    parts = F.split(path, r"\.")
-    top = F.try_element_at(variables, parts[0])
-    return F.when(F.size(parts) == 1, top).otherwise(F.try_element_at(as_map(top), parts[1]))
-
-
-def _nested_parent_broken(variables: Column, path: Column) -> Column:
-    parts = F.split(path, r"\.")
-    top = F.try_element_at(variables, parts[0])
-    return (F.size(parts) > 1) & top.isNotNull() & as_map(top).isNull()
-
-
-def _handled(handler: Column) -> Column:
-    """A matched handler with its outcome: the first failing check decides."""
-    variables = F.col("_variables")
-    broken = F.col("_variables_broken") | F.exists(
-        handler["roles"], lambda r: _nested_parent_broken(variables, r["variable"]))
-    failing = F.filter(handler["checks"], lambda check: F.when(
-        check == TIME, F.col("as_of").isNull()
-    ).otherwise(is_missing(_lookup(variables, check))))
-    first = F.try_element_at(failing, F.lit(1))
-    error = (
-        F.when(broken, INTERNAL_ERROR).when(first == TIME, INTERNAL_ERROR)
-        .when(first.isNotNull(), BAD_REQUEST)
-    )
-    reason = F.when(broken, F.lit("variables have the wrong shape")).when(
-        first == TIME, F.lit("source_timestamp is missing or not ISO-8601")).when(
-        first.isNotNull(), F.concat(F.lit("missing variable: "), first))
-    refs = F.transform(handler["roles"], lambda r: F.struct(
-        r["name"].alias("role"), as_text(_lookup(variables, r["variable"])).alias("table_ref"),
-        r["on_missing"].alias("on_missing")))
-    return F.struct(handler["handler"].alias("handler"), handler["metric"].alias("metric"),
-                    handler["approved"].alias("approved"), refs.alias("refs"),
-                    error.alias("error"), reason.alias("reason"))
+        f'{{"handler":"{RUN_COUNT_HANDLER}","metric":"run_count","roles":[],'
+        f'"checks":["{SHAPE}","{TIME}"]}}'), _HANDLER)
+
+
+_VARIABLES = sorted({r.variable for route in ROUTES for r in route.roles}
+                    | {"partner", "submission_run_id"})
+_PARENT_NAMES = sorted({v.partition(".")[0] for v in _VARIABLES if "." in v})
+
+
+def _is_json_object(value: Column) -> Column:
+    return F.try_variant_get(value, "$", "struct<x:variant>").isNotNull()
+
+
+def _pairs(read: Callable[[Column, str], Column]) -> Column:
+    """(variable, text) of the payload variables any route reads."""
+    return F.array(*[F.struct(F.lit(name).alias("key"),
+                              read(F.col("_fields.variables"), f"$.{name}").alias("value"))
+                     for name in _VARIABLES])
+
+
+def _given(pairs: Column) -> Column:
+    """What the event gives, as a map from check to text: its variables, and the other
+    checks that hold. Only events with a doubtful text are read by type."""
+    variables = F.col("_fields.variables")
+    parents = [get(variables, f"$.{p}") for p in _PARENT_NAMES]
+    parents_fit = ~reduce(lambda a, b: a | b,
+                          [p.isNotNull() & ~_is_json_object(p) for p in parents])
+    shape_fits = variables.isNull() | _is_json_object(variables)
+    held = F.array(*[F.struct(F.lit(check).alias("key"), F.when(holds, F.lit("")).alias("value"))
+                     for check, holds in ((SHAPE, shape_fits), (PARENTS, parents_fit),
+                                          (TIME, F.col("as_of").isNotNull()))])
+    doubtful = F.exists(pairs, lambda p: p["value"].isin(DOUBTFUL_TEXT))
+    read = F.when(F.coalesce(doubtful, F.lit(False)), _pairs(given_text)).otherwise(pairs)
+    return F.map_from_entries(F.filter(F.concat(read, held), lambda p: p["value"].isNotNull()))
+
+
+def _handled(matched: Column) -> Column:
+    """The matched handlers with their outcome: the first check not met decides."""
+    checks_met = F.map_keys("_given")
+    tried = F.transform(matched, lambda h: F.struct(
+        h.alias("h"),
+        F.try_element_at(F.array_except(h["checks"], checks_met), F.lit(1)).alias("first")))
+    return F.transform(tried, lambda t: F.struct(
+        t["h"]["handler"].alias("handler"), t["h"]["metric"].alias("metric"),
+        t["h"]["approved"].alias("approved"),
+        F.transform(t["h"]["roles"], lambda r: F.struct(
+            r["name"].alias("role"),
+            F.try_element_at(F.col("_given"), r["variable"]).alias("table_ref"),
+            r["on_missing"].alias("on_missing"))).alias("refs"),
+        F.when(t["first"].startswith("@"), INTERNAL_ERROR)
+        .when(t["first"].isNotNull(), BAD_REQUEST).alias("error"),
+        F.concat(F.lit("missing or malformed: "), t["first"]).alias("reason")))
 
 
 def _names(values: list[str]) -> Column:
@@ -221,20 +247,16 @@ def route_events(decoded: DataFrame) -> DataFrame:
         .withColumn("pipeline_uuid", as_text(F.col("_fields.pipeline_uuid")))
         .withColumn("status", as_text(F.col("_fields.status")))
         .withColumn("as_of", parse_instant(as_text(get(doc, "$.source_timestamp"))))
-        .withColumn("_variables", as_map(F.col("_fields.variables")))
-        .withColumn("_variables_broken",
-                    F.col("_fields.variables").isNotNull() & F.col("_variables").isNull())
-        .withColumn("partner", F.when(
-            ~is_missing(F.try_element_at("_variables", F.lit("partner"))),
-            as_text(F.try_element_at("_variables", F.lit("partner")))))
-        .withColumn("submission_run_id",
-                    as_text(F.try_element_at("_variables", F.lit("submission_run_id"))))
+        .withColumn("_pairs", _pairs(text_at))
+        .withColumn("_given", _given(F.col("_pairs")))
+        .withColumn("partner", F.try_element_at("_given", F.lit("partner")))
+        .withColumn("submission_run_id", F.try_element_at("_given", F.lit("submission_run_id")))
     )
     given = F.col("_payload").isNotNull()
     is_object = F.col("_fields").isNotNull()
     has_time = get(doc, "$.source_timestamp").isNotNull()
     # a payload that cannot hold keys: null, a number or a boolean
-    no_container = given & ~F.to_json("_payload").rlike(r'^["\[{]')
+    no_container = given & ~is_object & ~F.to_json("_payload").rlike(r'^["\[]')
     counts_runs = has_time & F.col("_fields.pipeline_uuid").isNotNull() & F.col(
         "_fields.status").isNotNull()
     no_errors = F.array().cast("array<string>")
@@ -254,9 +276,9 @@ def route_events(decoded: DataFrame) -> DataFrame:
         .withColumn("_matched", F.when(usable, F.concat(
             F.when(counts_runs, F.array(_run_count_handler())).otherwise(no_handlers),
             F.coalesce("_routes", no_handlers))).otherwise(no_handlers))
-        .withColumn("handlers", F.transform("_matched", _handled))
-        .drop("_payload", "_fields", "_variables", "_variables_broken", "_routes", "_matched",
-              "doc", "doc_is_object")
+        .withColumn("handlers", _handled(F.col("_matched")))
+        .drop("_payload", "_fields", "_pairs", "_given", "_routes", "_matched", "doc",
+              "doc_is_object")
     )
 
 

@@ -20,6 +20,7 @@ from claimgauge.plans.evaluate import Tables
 from claimgauge.schemas import CLAIMS, COMPLETED, SAVINGS, SUBMITTED, VALIDATION
 from claimgauge.session import scratch_dir
 from claimgauge.sources import standin
+from claimgauge.sources.events import spread
 from claimgauge.sources.standin import table
 from claimgauge.sources.tables import manifest_of
 
@@ -59,7 +60,7 @@ def _by(number: Column, divisor: int) -> Column:
 
 
 def noisy_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_noisy_events(table(spark, sf_dir, "events"))
+    return as_noisy_events(spread(table(spark, sf_dir, "events")))
 
 
 def as_noisy_events(events: DataFrame) -> DataFrame:
