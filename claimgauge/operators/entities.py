@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from claimgauge.functions.expressions import days_before
-from claimgauge.operators.joins import salt_copies, salted, salted_anti
+from claimgauge.operators.joins import few, salted_anti
 from claimgauge.operators.spine import Spine, over_runs
 
 
@@ -44,8 +44,11 @@ def new_entity_pct(batch: DataFrame, history: DataFrame | None, entity: str, as_
     recent = (history.where(F.col(created) >= days_before(as_of, days))
               .where(F.col(entity).isNotNull())
               .select(item, F.col(entity).alias("_entity")))
-    known = (salted_anti(recent, batch_items, [item], ["_entity"])
-             .select("_entity").distinct().withColumn("_known", F.lit(True)))
+    if few(batch.select(item)):
+        others = recent.join(F.broadcast(batch_items), item, "left_anti")
+    else:
+        others = salted_anti(recent, batch_items, [item], ["_entity"])
+    known = (others.select("_entity").distinct().withColumn("_known", F.lit(True)))
     counts = entities.join(known, "_entity", "left").agg(
         F.count(F.lit(1)).alias("total_entities"),
         F.count_if(F.col("_known").isNull()).alias("new_entities"),
@@ -93,12 +96,19 @@ def new_entity_pct_by_run(spine: Spine, batch: DataFrame, history: DataFrame, en
         .where(F.col("_day") >= F.col("_from"))
         .groupBy(*keys, "_entity").agg(F.sum("_n").alias("_n"))
     )
-    # a hot item is cut by salting: the few batch items are copied, history is not
+    # history rows of batch items, counted per day before they meet the runs: an item
+    # with very many rows, in the batch of every run, is not multiplied out
+    batch_items = items.join(links, keys)
+    own = recent
+    if few(batch.select(item)):
+        wanted = batch_items.select(*history_keys, item).distinct()
+        own = own.join(F.broadcast(wanted), [*history_keys, item], "left_semi")
+    touched = own.groupBy(*history_keys, item, "_entity", "_day").agg(
+        F.count(F.lit(1)).alias("_rows"))
     own_rows = (
-        salted(recent, ["_entity", "_day"])
-        .join(salt_copies(items.join(links, keys)), [*history_keys, item, "_salt"])
+        touched.join(batch_items, [*history_keys, item])
         .where(F.col("_day") >= F.col("_from"))
-        .groupBy(*keys, "_entity").agg((-F.count(F.lit(1))).alias("_n"))
+        .groupBy(*keys, "_entity").agg((-F.sum("_rows")).alias("_n"))
     )
     balance = (
         entities.withColumn("_n", F.lit(0).cast("bigint"))

@@ -7,8 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Pieces a hot join key is cut into.
-SALTS = 16
+# Pieces a hot join key is cut into. The other side is copied as often, so this is for
+# joins whose other side is a small part of the data.
+SALTS = 8
+
+
+# Rows up to which keys are broadcast: a key row is well under 100 bytes.
+BROADCAST_KEYS = 500_000
+
+
+def few(frame: DataFrame, rows: int = BROADCAST_KEYS) -> bool:
+    """Whether ``frame`` has at most ``rows`` rows. Reads no more of it than that."""
+    return frame.limit(rows + 1).count() <= rows
 
 
 def salted(frame: DataFrame, spread: Sequence[str], salts: int = SALTS) -> DataFrame:

@@ -13,7 +13,7 @@ def spark():
     session = build_session(
         "claimgauge-tests", "local[4]", spark__sql__shuffle__partitions="4",
         spark__ui__enabled="false", spark__ui__showConsoleProgress="false",
-        spark__driver__memory="4g", spark__sql__codegen__wholeStage="true")
+        spark__driver__memory="4g", spark__sql__maxMetadataStringLength="5000")
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

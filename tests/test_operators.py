@@ -218,3 +218,59 @@ def test_salted_joins_spread_a_hot_key_and_nulls(spark):
     per_salt = joins.salted(left, ["id"]).where("k = 'hot'").groupBy("_salt").count()
     assert per_salt.count() == joins.SALTS
     assert per_salt.agg(F.max("count")).first()[0] < 2 * 1334 / joins.SALTS
+
+
+@pytest.mark.parametrize("limit", [0, 10**6])
+def test_many_and_few_batch_items(spark, data, limit, monkeypatch):
+    frames, _ = data
+    monkeypatch.setattr(entities, "few", lambda frame_: limit > 0)
+    spine = Spine.of(frames["runs"], RUN, ["tenant"])
+    found = keyed(entities.new_entity_pct_by_run(
+        spine, frames["batch"], frames["claims"], "provider_id"))
+    batch = of_tenant(frames, "batch", "a").where("run_id = 'r1'")
+    expected = entities.new_entity_pct(batch, of_tenant(frames, "claims", "a"), "provider_id",
+                                       F.lit(T0))
+    assert found[("a", "r1")] == one(expected)
+
+
+def plan_of(frame_):
+    return frame_._jdf.queryExecution().executedPlan().toString()
+
+
+def test_plans_have_no_nested_loops_and_push_filters(spark, data):
+    frames, _ = data
+    spine = Spine.of(frames["runs"], RUN, ["tenant"])
+    windows = Windows.of(anchored_windows(
+        frames["runs"], frames["sent"].withColumn("run_id", F.col("submission_run_id")), RUN),
+        RUN, ["tenant"])
+    checked, sent = frames["checked"], frames["sent"]
+    for result in (
+        entities.new_entity_pct_by_run(spine, frames["batch"], frames["claims"], "provider_id"),
+        entities.volume_ratio_by_run(spine, frames["batch"], frames["claims"], "provider_id"),
+        reconcile.sent_over_received(frames["claims"], checked, sent, windows),
+        reconcile.sent_over_validation(checked, sent, windows),
+        expiry.expired_validation_total_by_run(frames["runs"], checked, RUN, ["tenant"]),
+    ):
+        plan = plan_of(result)
+        assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_time_bounds_and_columns_reach_the_scan(spark, data, tmp_path):
+    frames, runs = data
+    for name in ("claims", "checked", "sent"):
+        frames[name].write.parquet(str(tmp_path / name))
+    claims, checked, sent = (spark.read.parquet(str(tmp_path / n))
+                             for n in ("claims", "checked", "sent"))
+    as_of = F.lit(runs[0][2])
+    window = Windows.single(anchored_window(sent, "r1", as_of))
+    spine = Spine.of(frames["runs"], RUN, ["tenant"])
+    for result, column in (
+        (entities.new_entity_pct(frames["batch"], claims, "provider_id", as_of), "created_at"),
+        (entities.volume_ratio_by_run(spine, frames["batch"], claims, "provider_id"),
+         "created_at"),
+        (expiry.expired_validation_total(checked, as_of), "updated_at"),
+        (reconcile.sent_over_received(claims, checked, sent, window), "ingested_at"),
+    ):
+        plan = plan_of(result)
+        assert f"GreaterThanOrEqual({column}" in plan, plan
+        assert "agent_id" not in plan and "filtered_reason" not in plan
