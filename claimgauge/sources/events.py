@@ -23,13 +23,13 @@ def stream_events(spark: SparkSession, path: str, file_format: str = "json",
             .option("maxFilesPerTrigger", files_per_batch).load(path))
 
 
-def spread(events: DataFrame) -> DataFrame:
-    """Use all cores on input with fewer splits than cores: parsing, not reading, is the
-    work. Input of many splits stays as it is."""
-    cores = events.sparkSession.sparkContext.defaultParallelism
-    if events.rdd.getNumPartitions() >= cores:
-        return events
-    return events.repartition(cores, "event_id")
+def spread(rows: DataFrame, key: str = "event_id") -> DataFrame:
+    """Use all cores on input with fewer splits than cores, where the work is in the
+    rows rather than in reading them. Input of many splits stays as it is."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() >= cores:
+        return rows
+    return rows.repartition(cores, key)
 
 
 def _base64_text(data: Column) -> Column:

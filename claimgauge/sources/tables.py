@@ -49,6 +49,14 @@ def gather(spark: SparkSession, tables: Iterable[str], schema: T.StructType,
     return rows, manifest
 
 
+def manifest_of_partitions(spark: SparkSession, table: str) -> DataFrame:
+    """The ``table_ref`` values of a catalog table partitioned by ``table_ref`` first: read
+    from its partition list, not its rows."""
+    entry = F.split_part(F.split_part("partition", F.lit("/"), F.lit(1)), F.lit("="), F.lit(2))
+    return spark.sql(f"SHOW PARTITIONS {table}").select(
+        F.url_decode(entry).alias("table_ref")).distinct()
+
+
 def manifest_of(*tables: DataFrame) -> DataFrame:
     """The ``table_ref`` values that have rows, for stores without empty tables."""
     refs = None

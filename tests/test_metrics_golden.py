@@ -329,3 +329,23 @@ def test_expired(spark):
     assert points(run.expired()) == {point(m.EXPIRED_TOTAL, 525, partner="acme")}
     run = evaluation(spark, tables(spark), release, manifest=["v.i", "v.m"])
     assert points(run.expired()) == {point(m.EXPIRED_TOTAL, 0, partner="acme")}
+
+
+def test_many_events_without_broadcasts(spark):
+    """Two runs of two tenants, some sharing history, with every size check failing."""
+    rows = [dict(r, table_ref=t) for t in ("t.un", "t.ok", "u.un", "u.ok")
+            for r in entity_rows([("b1", "1"), ("b2", "2")], [], []) if r["table_ref"] == "t.ok"]
+    rows += entity_rows([], [], [("x", "1", 10), ("y", "9", 40)])
+    other = {**FOUR, "processable_claims_input_table": "u.ok",
+             "unprocessable_claims_input_table": "u.un"}
+    events = [approval(**FOUR), approval(**FOUR),
+              event("pipesv2_approval", {"partner": "zeta", **other})]
+    names = ["t.ok", "t.un", "u.ok", "u.un", "h.ok", "h.un"]
+    runs = [evaluation(spark, tables(spark, rows), *events, manifest=names) for _ in range(2)]
+    runs[1].small = False
+    for family in ("filtered_pre", "new_providers", "member_ratio"):
+        found = [sorted((r.event_id, r.metric_name, r.value, sorted(r.labels.items()))
+                        for r in getattr(run, family)().collect()) for run in runs]
+        assert found[0] == found[1] and len({f[0] for f in found[0]}) == 3
+        if family == "new_providers":
+            assert {f[2] for f in found[0]} == {0.5}

@@ -11,7 +11,14 @@ from claimgauge.plans.evaluate import Evaluation
 from claimgauge.session import require_utc
 from claimgauge.sinks.metrics import log_lines, to_points, with_metric_names, write_log, write_points
 from claimgauge.sources.events import read_events, stream_events
-from claimgauge.sources.tables import conform, gather, manifest_of, qualified_name, table_or_none
+from claimgauge.sources.tables import (
+    conform,
+    gather,
+    manifest_of,
+    manifest_of_partitions,
+    qualified_name,
+    table_or_none,
+)
 from claimgauge.streaming.runs import FamilyFailures, Job, evaluate_batch, start
 from tests.helpers import event, point, points, raw_events, tables
 
@@ -132,6 +139,17 @@ def test_tables(spark):
     assert conform(theirs, m.SAVINGS, names).schema == m.SAVINGS
 
 
+def test_manifest_from_partitions(spark):
+    rows = spark.createDataFrame([("t.a", "1"), ("t b/c", "2"), ("t.a", "3")],
+                                 "table_ref string, item_id string")
+    rows.write.mode("overwrite").partitionBy("table_ref").saveAsTable("parted_claims")
+    try:
+        found = manifest_of_partitions(spark, "parted_claims")
+        assert {r.table_ref for r in found.collect()} == {"t.a", "t b/c"}
+    finally:
+        spark.sql("DROP TABLE parted_claims")
+
+
 def test_other_time_zones_are_refused(spark):
     spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
     try:
