@@ -43,15 +43,16 @@ def require_utc(spark: SparkSession) -> None:
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for written intermediates and stream checkpoints.
 
-    It lies under the folder the cluster names in ``spark.checkpoint.dir``. Only a
-    local session, where driver and tasks share one disk, may go without it.
+    It lies in the folder the session names in ``spark.checkpoint.dir``, or else in the
+    one given to ``SparkContext.setCheckpointDir``. Only a local session, where driver
+    and tasks share one disk, may go without either.
     """
-    base = spark.conf.get(CHECKPOINT_CONF, None)
+    base = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError(f"set {CHECKPOINT_CONF} to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="claimgauge-")
-    return os.path.join(base, f"{purpose}-{uuid.uuid4().hex}")
+        base = os.path.join(tempfile.gettempdir(), f"claimgauge-{spark.sparkContext.applicationId}")
+    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
