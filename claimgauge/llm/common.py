@@ -71,8 +71,9 @@ def let(value: Column, body) -> Column:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, folds: int, fold: int,
                     rows: int, seed: int = 17) -> DataFrame:
-    """At most ``rows`` labelled texts of the learning folds with columns ``text`` and
-    ``label`` (0/1), half of them of either label where there are enough.
+    """At most ``rows`` labelled texts of the learning folds with columns ``text``, ``label``
+    (0/1) and ``weight``, half of them of either label where there are enough; the weight
+    is how many labelled texts of its label a text stands for.
 
     The rows are those of smallest seeded hash of their ids, so the sample does not
     depend on partitioning. Ids labelled twice count once, with the larger label; null
@@ -84,10 +85,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, folds: int,
              .withColumn("__order", F.xxhash64("__id", F.lit(seed))))
     texts = docs.select(F.col("doc_id").cast("bigint").alias("__id"), "text").where(
         F.col("text").isNotNull() & may_learn(F.col("doc_id"), folds, fold))
-    present = known.join(texts.select("__id").distinct(), "__id", "left_semi")
-    chosen = [present.where(F.col("label") == label).orderBy("__order", "__id")
-              .limit(rows // 2) for label in (0, 1)]
-    picked = chosen[0].unionByName(chosen[1]).select("__id", "label")
-    # At most ``rows`` ids of 12 bytes: bounded by the parameter, so it may be broadcast.
-    return (texts.join(F.broadcast(picked), "__id")
-            .groupBy("__id", "label").agg(F.min("text").alias("text")))
+    present = written(known.join(texts.select("__id"), "__id", "left_semi"), "labelled")
+    counts = {r["label"]: r["count"] for r in present.groupBy("label").count().collect()}
+    share = {x: max(rows // 2, rows - counts.get(1 - x, 0)) for x in (0, 1)}
+    chosen = [present.where(F.col("label") == x).orderBy("__order", "__id").limit(share[x])
+              .select("__id", "label", F.lit(max(1.0, counts.get(x, 0) / share[x])).alias("weight"))
+              for x in (0, 1)]
+    # At most ``rows`` ids of some 20 bytes: bounded by the parameter, so it may be broadcast.
+    picked = F.broadcast(chosen[0].unionByName(chosen[1]))
+    return (texts.join(picked, "__id").groupBy("__id", "label", "weight")
+            .agg(F.min("text").alias("text")))

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimgauge.llm import sharding, simhash
-from claimgauge.llm.common import table
+from claimgauge.llm import language, line_quality, sharding, simhash, toxicity
+from claimgauge.llm.common import held_out, table
 
 
 def op1_histogram_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,13 +17,38 @@ def op1_histogram_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op2_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    named = language.with_language(docs, language.train(docs))
+    return named.select("doc_id", held_out(F.col("doc_id"), language.FOLDS, language.FOLD)
+                        .alias("held_out"), "lang_pred", "score")
+
+
+def op5_factorization_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    scored = toxicity.with_toxicity(docs, toxicity.train(docs, labels))
+    return scored.select(
+        "doc_id", held_out(F.col("doc_id"), toxicity.FOLDS, toxicity.FOLD).alias("held_out"),
+        "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op7_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(F.col("__id").alias("doc_id"),
                         simhash.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {query.__name__: query for query in (op1_histogram_sharding, op7_simhash_components)}
+def op10_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    scored = line_quality.with_quality(docs, line_quality.train(docs, labels))
+    return scored.select(
+        "doc_id", held_out(F.col("doc_id"), line_quality.FOLDS, line_quality.FOLD).alias("held_out"),
+        "score", (F.col("score") >= line_quality.THRESHOLD).cast("int").alias("predicted"))
+
+
+QUERIES = {query.__name__: query for query in (
+    op1_histogram_sharding, op2_ppm_language, op5_factorization_toxicity,
+    op7_simhash_components, op10_line_quality)}
 
 #: SQL of the queries above that SQL can express.
 ORACLES: dict[str, str] = {}
