@@ -7,6 +7,8 @@ another and always get the same answer.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,9 +61,8 @@ def may_learn(doc_id: Column, folds: int, fold: int) -> Column:
 
 
 def words_of(text: Column) -> Column:
-    """Array of the words of a text, empty for null or blank texts; no regular expression."""
-    spaced = F.translate(F.coalesce(text, F.lit("")), WHITE, " " * len(WHITE))
-    return F.array_remove(F.split(spaced, " "), "")
+    """Array of the words of a text, empty for null or blank texts."""
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), f"[{WHITE}]+"), "")
 
 
 def let(value: Column, body) -> Column:
@@ -69,29 +70,33 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, folds: int, fold: int,
-                    rows: int, seed: int = 17) -> DataFrame:
-    """At most ``rows`` labelled texts of the learning folds with columns ``text``, ``label``
-    (0/1) and ``weight``, half of them of either label where there are enough; the weight
-    is how many labelled texts of its label a text stands for.
+def labelled_sample(docs: DataFrame, labelled: DataFrame, classes: list, rows: int,
+                    seed: int = 17) -> DataFrame:
+    """At most ``rows`` labelled texts, an equal share of each of ``classes``: columns
+    ``text``, ``label`` and ``weight``, how many labelled texts of its label a text stands for.
 
-    The rows are those of smallest seeded hash of their ids, so the sample does not
-    depend on partitioning. Ids labelled twice count once, with the larger label; null
-    labels, ids and texts are not learned from.
+    ``labelled`` has ``doc_id`` and ``label``. The texts are those of smallest seeded hash of
+    their ids, so the sample does not depend on partitioning. Ids labelled twice count
+    once, with the larger label; null labels, ids and texts are not learned from.
     """
-    known = (labels.where(F.col(target).isin(0, 1) & may_learn(F.col("doc_id"), folds, fold))
-             .groupBy(F.col("doc_id").cast("bigint").alias("__id"))
-             .agg(F.max(target).cast("int").alias("label"))
+    known = (labelled.where(F.col("label").isin(classes) & F.col("doc_id").isNotNull())
+             .groupBy(F.col("doc_id").cast("bigint").alias("__id")).agg(F.max("label").alias("label"))
              .withColumn("__order", F.xxhash64("__id", F.lit(seed))))
     texts = docs.select(F.col("doc_id").cast("bigint").alias("__id"), "text").where(
-        F.col("text").isNotNull() & may_learn(F.col("doc_id"), folds, fold))
+        F.col("text").isNotNull())
     present = written(known.join(texts.select("__id"), "__id", "left_semi"), "labelled")
     counts = {r["label"]: r["count"] for r in present.groupBy("label").count().collect()}
-    share = {x: max(rows // 2, rows - counts.get(1 - x, 0)) for x in (0, 1)}
-    chosen = [present.where(F.col("label") == x).orderBy("__order", "__id").limit(share[x])
-              .select("__id", "label", F.lit(max(1.0, counts.get(x, 0) / share[x])).alias("weight"))
-              for x in (0, 1)]
+    share = rows // len(classes)
+    chosen = [present.where(F.col("label") == x).orderBy("__order", "__id").limit(share)
+              .select("__id", "label", F.lit(max(1.0, counts.get(x, 0) / share)).alias("weight"))
+              for x in classes]
     # At most ``rows`` ids of some 20 bytes: bounded by the parameter, so it may be broadcast.
-    picked = F.broadcast(chosen[0].unionByName(chosen[1]))
+    picked = F.broadcast(reduce(DataFrame.unionByName, chosen))
     return (texts.join(picked, "__id").groupBy("__id", "label", "weight")
             .agg(F.min("text").alias("text")))
+
+
+def fold_labels(labels: DataFrame, target: str, folds: int, fold: int) -> DataFrame:
+    """``doc_id`` and 0/1 ``label`` of the rows that may be learned from."""
+    return labels.where(may_learn(F.col("doc_id"), folds, fold)).select(
+        "doc_id", F.col(target).cast("int").alias("label"))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimgauge.llm.common import labelled_sample, written
+from claimgauge.llm.common import fold_labels, labelled_sample, written
 from claimgauge.llm.training import fit
 
 #: Fold kept from learning: crc32(doc_id) mod 5 = 0.
@@ -156,7 +156,7 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "quality", folds: in
     def flat(texts: pd.Series) -> pd.Series:
         return pd.Series([line_table(t)[0].ravel().astype("float32") for t in texts])
 
-    sample = labelled_sample(docs, labels, target, folds, fold, rows)
+    sample = labelled_sample(docs, fold_labels(labels, target, folds, fold), [0, 1], rows)
     examples = written(sample.select("label", "weight", flat("text").alias("lines")), "quality-lines")
 
     def gradient(values: np.ndarray, frames: Iterator[pd.DataFrame]):

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimgauge.llm import language, line_quality, sharding, simhash, toxicity
+from claimgauge.llm import (decontamination, host_quality, language, line_quality, mixing,
+                            sharding, simhash, surrogates, toxicity, url_rules)
 from claimgauge.llm.common import held_out, table
 
 
@@ -24,6 +25,17 @@ def op2_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
                         .alias("held_out"), "lang_pred", "score")
 
 
+def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, labels = (table(spark, sf_dir, name) for name in ("pages", "labels"))
+    return url_rules.judge_urls(pages, labels).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op4_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return decontamination.contaminated_pairs(docs, benchmark).select(
+        F.col("__id").alias("doc_id"), "item_id", "windows", "matched", "offset", "slots", "changed")
+
+
 def op5_factorization_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
     scored = toxicity.with_toxicity(docs, toxicity.train(docs, labels))
@@ -32,12 +44,33 @@ def op5_factorization_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+#: Stands for the secret a deployment would hand in.
+SURROGATE_KEY = "demonstration key"
+
+
+def op6_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.with_surrogates(docs, SURROGATE_KEY)
+
+
 def op7_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(F.col("__id").alias("doc_id"),
                         simhash.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op8_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return host_quality.judge(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept")
+
+
+def op9_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    found = mixing.mix(docs, mixing.domain_labels(labels))
+    return found.select("doc_id", "tokens", *[f"p_{d}" for d in mixing.TARGETS], "rate", "copies")
+
+
 def op10_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
     scored = line_quality.with_quality(docs, line_quality.train(docs, labels))
@@ -47,8 +80,9 @@ def op10_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {query.__name__: query for query in (
-    op1_histogram_sharding, op2_ppm_language, op5_factorization_toxicity,
-    op7_simhash_components, op10_line_quality)}
+    op1_histogram_sharding, op2_ppm_language, op3_url_rules, op4_template_decontamination,
+    op5_factorization_toxicity, op6_pii_surrogates, op7_simhash_components, op8_host_quality, op9_soft_mixing,
+    op10_line_quality)}
 
 #: SQL of the queries above that SQL can express.
 ORACLES: dict[str, str] = {}

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimgauge.llm.common import labelled_sample, written
+from claimgauge.llm.common import fold_labels, labelled_sample, written
 from claimgauge.llm.training import fit
 
 #: Fold kept from learning: crc32(doc_id) mod 4 = 2.
@@ -125,7 +125,7 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "toxic", folds: int
     """Machine learnt from at most ``rows`` labelled texts. Of the hashes whose share of texts
     differs between the labels (in standard errors) the ``terms`` clearest take part. Without
     examples every text scores 0.5, with one label only close to that label."""
-    sample = labelled_sample(docs, labels, target, folds, fold, rows)
+    sample = labelled_sample(docs, fold_labels(labels, target, folds, fold), [0, 1], rows)
     read = term_reader()
     hashes = F.pandas_udf(lambda texts: pd.Series([read(t) for t in texts]),
                           T.ArrayType(T.IntegerType()))
