@@ -180,8 +180,13 @@ def train(docs: DataFrame, rows: int = SAMPLE_ROWS, folds: int = FOLDS,
     own = docs.select(F.col("doc_id").cast("bigint").alias("id"), "lang", F.xxhash64("text").alias("hash"),
                       "text").where(F.col("lang").isNotNull() & F.col("text").isNotNull()
                                     & may_learn(F.col("doc_id"), folds, fold))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id", F.lit(23)), "id", "hash")
-    ids = (own.select("lang", "id", "hash").withColumn("n", F.row_number().over(order))
+    # Only the rows of low hash, some two times ``rows`` of each language, are ranked: a
+    # language that most texts have is no more work for its task than a rare one.
+    slim, place = own.select("lang", "id", "hash"), F.xxhash64("id", F.lit(23))
+    counts = slim.groupBy("lang").agg(F.count("*").alias("n"))
+    low = F.pmod(place, F.lit(1 << 40)) * F.col("n") < 2.0 * rows * (1 << 40)
+    order = Window.partitionBy("lang").orderBy(place, "id", "hash")
+    ids = (slim.join(counts, "lang").where(low).withColumn("n", F.row_number().over(order))
            .where(F.col("n") <= rows).select("lang", "id", "hash"))
     # ``rows`` ids per language of 40 bytes each: bounded by the parameter.
     picked = own.join(F.broadcast(ids), ["lang", "id", "hash"]).select("lang", "text")
