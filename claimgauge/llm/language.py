@@ -146,6 +146,8 @@ class LanguageModel:
     def code_lengths(self, texts: list[str | None]) -> np.ndarray:
         """Bits of every whole text under every language (texts x languages)."""
         bits = np.zeros((len(texts), len(self.languages)))
+        if not self.languages:
+            return bits
         pieces: list[bytes] = []
         owners: list[int] = []
         held = 0
