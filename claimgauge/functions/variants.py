@@ -18,6 +18,11 @@ def as_text(value: Column) -> Column:
     return F.try_variant_get(value, "$", "string")
 
 
+def is_object(value: Column) -> Column:
+    """Whether the value is a JSON object, however its text was laid out."""
+    return F.try_variant_get(value, "$", "struct<x:variant>").isNotNull()
+
+
 def is_missing(value: Column) -> Column:
     """Absent, null, or empty/zero/false."""
     return value.isNull() | F.to_json(value).isin(FALSY_JSON)

@@ -2,7 +2,8 @@
 
 Both compare a batch with a history table. For many runs at once, the spine has one
 row per run: its keys, the lookup columns naming the history it reads (several runs
-share one history) and ``as_of``. History is rolled up to days before it meets the
+share one history), ``as_of`` and, if days are to be counted in the events' own offsets,
+``as_of_day`` (their local date). History is rolled up to days before it meets the
 runs. Day bounds make that exact: every window starts at midnight.
 """
 
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from claimgauge.functions.expressions import days_before
-from claimgauge.operators.joins import few, salted_anti
+from claimgauge.operators.joins import fits, linked
 from claimgauge.operators.spine import Spine, over_runs
 
 
@@ -27,7 +28,7 @@ def _entity_rows(frame: DataFrame, entity: str, *columns: str) -> DataFrame:
 
 def new_entity_pct(batch: DataFrame, history: DataFrame | None, entity: str, as_of: Column,
                    item: str = "item_id", created: str = "created_at",
-                   days: int = 90) -> DataFrame:
+                   days: int = 90, items_fit: bool | None = None) -> DataFrame:
     """One run: distinct batch entities, how many history does not know, and the share.
 
     History counts from midnight ``days`` before the event, open-ended, without the
@@ -44,10 +45,8 @@ def new_entity_pct(batch: DataFrame, history: DataFrame | None, entity: str, as_
     recent = (history.where(F.col(created) >= days_before(as_of, days))
               .where(F.col(entity).isNotNull())
               .select(item, F.col(entity).alias("_entity")))
-    if few(batch.select(item)):
-        others = recent.join(F.broadcast(batch_items), item, "left_anti")
-    else:
-        others = salted_anti(recent, batch_items, [item], ["_entity"])
+    small = fits(batch_items) if items_fit is None else items_fit
+    others = linked(recent, batch_items, [item], small, "left_anti")
     known = (others.select("_entity").distinct().withColumn("_known", F.lit(True)))
     counts = entities.join(known, "_entity", "left").agg(
         F.count(F.lit(1)).alias("total_entities"),
@@ -56,6 +55,10 @@ def new_entity_pct(batch: DataFrame, history: DataFrame | None, entity: str, as_
     return counts.select("total_entities", "new_entities", _new_pct())
 
 
+def _beyond(columns: list[str], others: list[str]) -> list[str]:
+    return [c for c in columns if c not in others]
+
+
 def _new_pct() -> Column:
     share = F.try_divide(F.col("new_entities").cast("double"), F.col("total_entities"))
     return F.coalesce(share, F.lit(0.0)).alias("new_pct")
@@ -64,56 +67,74 @@ def _new_pct() -> Column:
 def _runs_since(spine: Spine, days: int, name: str) -> DataFrame:
     """The runs with their day bound, for joining to data."""
     columns = dict.fromkeys([*spine.keys, *spine.lookup])
-    return spine.links.select(*columns, days_before(F.col("as_of"), days).alias(name))
+    day = "as_of_day" if "as_of_day" in spine.runs.columns else "as_of"
+    return spine.links.select(*columns, days_before(F.col(day), days).alias(name))
+
+
+def _running(changes: DataFrame, asking: DataFrame, group: list[str],
+             *values: str) -> DataFrame:
+    """``asking`` (``group``, ``_at``) with the sums of ``values`` over the ``changes`` of its
+    group at or before its ``_at``.
+
+    Both lie in one ordered window: a row is read once, however many runs ask, and no
+    row is copied per run.
+    """
+    rows = changes.select(*group, "_at", *values, F.lit(0).alias("_asks")).unionByName(
+        asking.withColumn("_asks", F.lit(1)), allowMissingColumns=True)
+    so_far = (Window.partitionBy(*group).orderBy("_at", "_asks")
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return rows.withColumns({v: F.sum(v).over(so_far) for v in values}).where(
+        F.col("_asks") == 1).drop("_asks")
+
+
+def _days_back(day: Column) -> Column:
+    """Days counted backwards, so that sums up to a day are sums from that day on."""
+    return -F.unix_date(day)
 
 
 def new_entity_pct_by_run(spine: Spine, batch: DataFrame, history: DataFrame, entity: str,
                           item: str = "item_id", created: str = "created_at",
-                          days: int = 90) -> DataFrame:
+                          days: int = 90, items_fit: bool | None = None) -> DataFrame:
     """:func:`new_entity_pct` for every run of the spine.
 
     An entity is known to a run when its history rows in the window outnumber those
-    of them whose item is in the run's batch. The first count comes from a roll-up
-    of history per entity and day, the second from the batch items alone, so no
-    history row is copied per run.
+    of them whose item is in the run's batch. The first count comes from a roll-up of
+    history per entity and day, the second from the history of batch items per item,
+    entity and day; both are running sums that the runs look up. ``items_fit`` says
+    whether the batch items may be broadcast (see ``joins.fits``); it is measured if
+    not given.
     """
     keys, history_keys = list(spine.keys), list(spine.lookup)
-    links = _runs_since(spine, days, "_from")
+    links = _runs_since(spine, days, "_from").withColumn("_at", _days_back(F.col("_from")))
 
     entities = _entity_rows(batch, entity, *keys).distinct()
     items = batch.where(F.col(item).isNotNull()).select(*keys, item).distinct()
     recent = (
-        history.where(F.col(created) >= days_before(spine.first, days))
+        history.where(F.col(created) >= days_before(spine.first, days + 1))
         .where(F.col(entity).isNotNull())
         .select(*history_keys, item, F.col(entity).alias("_entity"),
-                F.to_date(created).alias("_day"))
+                _days_back(F.to_date(created)).alias("_at"))
     )
 
-    seen = recent.groupBy(*history_keys, "_entity", "_day").agg(F.count(F.lit(1)).alias("_n"))
-    in_window = (
-        entities.join(links, keys)
-        .join(seen, [*history_keys, "_entity"])
-        .where(F.col("_day") >= F.col("_from"))
-        .groupBy(*keys, "_entity").agg(F.sum("_n").alias("_n"))
-    )
-    # history rows of batch items, counted per day before they meet the runs: an item
-    # with very many rows, in the batch of every run, is not multiplied out
-    batch_items = items.join(links, keys)
-    own = recent
-    if few(batch.select(item)):
-        wanted = batch_items.select(*history_keys, item).distinct()
-        own = own.join(F.broadcast(wanted), [*history_keys, item], "left_semi")
-    touched = own.groupBy(*history_keys, item, "_entity", "_day").agg(
-        F.count(F.lit(1)).alias("_rows"))
-    own_rows = (
-        touched.join(batch_items, [*history_keys, item])
-        .where(F.col("_day") >= F.col("_from"))
-        .groupBy(*keys, "_entity").agg((-F.sum("_rows")).alias("_n"))
-    )
+    seen = recent.groupBy(*history_keys, "_entity", "_at").agg(F.count(F.lit(1)).alias("_n"))
+    in_window = _running(
+        seen, entities.join(links, keys).select(*keys, *_beyond(history_keys, keys), "_entity", "_at"),
+        [*history_keys, "_entity"], "_n").select(*keys, "_entity", "_n")
+
+    batch_items = items.join(links, keys).select(*keys, *_beyond(history_keys, keys), item, "_at")
+    wanted = batch_items.select(*history_keys, item).distinct()
+    small = fits(wanted) if items_fit is None else items_fit
+    own = linked(recent, wanted, [*history_keys, item], small, "left_semi")
+    touched = own.groupBy(*history_keys, item, "_entity", "_at").agg(
+        F.count(F.lit(1)).alias("_n"))
+    known_as = touched.select(*history_keys, item, "_entity").distinct()
+    own_rows = _running(
+        touched, batch_items.join(known_as, [*history_keys, item]).select(
+            *keys, *_beyond(history_keys, keys), item, "_entity", "_at"),
+        [*history_keys, item, "_entity"], "_n",
+    ).groupBy(*keys, "_entity").agg((-F.sum("_n")).alias("_n"))
     balance = (
-        entities.withColumn("_n", F.lit(0).cast("bigint"))
-        .withColumn("_in_batch", F.lit(1))
-        .unionByName(in_window, allowMissingColumns=True)
+        in_window.withColumn("_in_batch", F.lit(1))
         .unionByName(own_rows, allowMissingColumns=True)
         .groupBy(*keys, "_entity")
         .agg(F.sum("_n").alias("_n"), F.max("_in_batch").alias("_in_batch"))
@@ -121,7 +142,7 @@ def new_entity_pct_by_run(spine: Spine, batch: DataFrame, history: DataFrame, en
     )
     counts = balance.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("total_entities"),
-        F.count_if(F.col("_n") <= 0).alias("new_entities"),
+        F.count_if(F.coalesce("_n", F.lit(0)) <= 0).alias("new_entities"),
     )
     return over_runs(spine.index, counts, keys).select(
         *keys,
@@ -173,14 +194,14 @@ def volume_ratio_by_run(spine: Spine, batch: DataFrame, history: DataFrame, enti
     History shrinks to one row per entity and active day. Such a row is the entity's
     latest day for exactly the cuts between it and the next active day, so summing
     +1 where that stretch begins and -1 where it ends gives, per history and day, the
-    number of distinct entities in the window. Runs only read that small table: the
-    cost does not grow with the number of runs.
+    number of distinct entities in the window: running sums over the days of a history,
+    which each run looks up at its own day. Besides that a run costs its batch.
     """
     keys, history_keys = list(spine.keys), list(spine.lookup)
     links = _runs_since(spine, days, "_cut")
 
     active = (
-        history.where(F.col(created) >= days_before(spine.first, 2 * days)).where(F.col(entity).isNotNull())
+        history.where(F.col(created) >= days_before(spine.first, 2 * days + 1)).where(F.col(entity).isNotNull())
         .select(*history_keys, F.col(entity).alias("_entity"), F.to_date(created).alias("_day"))
         .distinct()
         .withColumn("_next", F.lead("_day").over(
@@ -202,10 +223,16 @@ def volume_ratio_by_run(spine: Spine, batch: DataFrame, history: DataFrame, enti
     ).where(F.col("_at").isNotNull()).groupBy(*history_keys, "_at").agg(
         F.sum("_previous").alias("_previous"), F.sum("_latest").alias("_latest")
     )
-    from_history = links.join(changes, history_keys).groupBy(*keys).agg(
-        F.sum(F.when(F.col("_at") <= F.col("_cut"), F.col("_previous"))).alias("_previous"),
-        F.sum(F.when(F.col("_at") >= F.col("_cut"), F.col("_latest"))).alias("_latest"),
-    )
+    # latest rows count from their day on: they end to matter to cuts after it
+    steps = changes.select(*history_keys, F.col("_at"), F.col("_previous"), F.lit(0).alias("_past")
+                           ).unionByName(changes.select(
+                               *history_keys, F.date_add("_at", 1).alias("_at"),
+                               F.lit(0).alias("_previous"), F.col("_latest").alias("_past")))
+    whole = changes.groupBy(*history_keys).agg(F.sum("_latest").alias("_all"))
+    asking = links.select(*keys, *_beyond(history_keys, keys), F.col("_cut").alias("_at"))
+    from_history = _running(steps, asking, history_keys, "_previous", "_past").join(
+        whole, history_keys).select(
+            *keys, "_previous", (F.col("_all") - F.coalesce("_past", F.lit(0))).alias("_latest"))
 
     # batch entities the latest part of history lacks
     last_day = active.where(F.col("_next").isNull()).select(

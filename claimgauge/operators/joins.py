@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Pieces a hot join key is cut into. The other side is copied as often, so this is for
@@ -12,13 +13,21 @@ from pyspark.sql import functions as F
 SALTS = 8
 
 
-# Rows up to which keys are broadcast: a key row is well under 100 bytes.
-BROADCAST_KEYS = 500_000
+# Bytes up to which keys or links are broadcast.
+BROADCAST_BYTES = 20 << 20
 
 
-def few(frame: DataFrame, rows: int = BROADCAST_KEYS) -> bool:
-    """Whether ``frame`` has at most ``rows`` rows. Reads no more of it than that."""
-    return frame.limit(rows + 1).count() <= rows
+def row_bytes(*columns: str) -> Column:
+    """About what a row of these columns takes in a broadcast."""
+    sizes = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 8 for c in columns]
+    return reduce(lambda a, b: a + b, sizes, F.lit(16).cast("long"))
+
+
+def fits(frame: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
+    """Whether all rows of ``frame`` take at most ``limit`` bytes: a plain sum, one partial
+    row per task. It runs what the frame is made of, so ask once and share the answer."""
+    size = frame.agg(F.sum(row_bytes(*frame.columns))).first()[0]
+    return (size or 0) <= limit
 
 
 def salted(frame: DataFrame, spread: Sequence[str], salts: int = SALTS) -> DataFrame:
@@ -52,6 +61,16 @@ def salted_anti(left: DataFrame, right: DataFrame, on: Sequence[str],
     return _salted_filter(left, right, on, spread, "left_anti")
 
 
+def linked(rows: DataFrame, links: DataFrame, on: Sequence[str], small: bool,
+           how: str = "inner") -> DataFrame:
+    """``rows`` joined to ``links``: broadcast if ``small``, else with the rows of each key
+    spread over several tasks by their other columns."""
+    if small:
+        return rows.join(F.broadcast(links), list(on), how)
+    spread = [c for c in rows.columns if c not in on] or list(on)
+    return salted(rows, spread).join(salt_copies(links), [*on, "_salt"], how).drop("_salt")
+
+
 def attach(frame: DataFrame, values: DataFrame, keys: Sequence[str],
            columns: Sequence[str]) -> DataFrame:
     """Add per-run ``columns`` of ``values`` to the rows of a run.

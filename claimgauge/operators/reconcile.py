@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimgauge.functions.expressions import or_zero, ratio
-from claimgauge.operators.joins import attach, salted_anti, salted_semi
+from claimgauge.operators.joins import attach, fits, linked, salted_anti, salted_semi
 from claimgauge.operators.windows import Windows
 from claimgauge.schemas import (
     APPROVED,
@@ -23,6 +23,7 @@ from claimgauge.schemas import (
     SHARED_INVOICE,
     SUBMITTED_OK,
 )
+from claimgauge.session import ensure_checkpoint_dir
 
 
 def pending_invoices(in_window: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -70,6 +71,20 @@ def _unless_null_status(value: Column) -> Column:
     return F.when(F.col("status").isNotNull(), value)
 
 
+def _settled(items: DataFrame) -> DataFrame:
+    """Items of the windows, written once to the checkpoint folder: they are summed, looked
+    up and joined."""
+    ensure_checkpoint_dir(items.sparkSession)
+    return items.checkpoint()
+
+
+def _submitted_of(items: DataFrame, submitted: DataFrame, on: list[str]) -> DataFrame:
+    """Submitted rows of the given (settled) items, of any run and time. The history of
+    submissions is cut down to the items before anything of it is rolled up."""
+    wanted = items.select(*on).where(F.col("item_id").isNotNull()).distinct()
+    return linked(submitted, wanted, on, fits(wanted), "left_semi")
+
+
 def sent_over_received(received: DataFrame, validation: DataFrame, submitted: DataFrame,
                        windows: Windows) -> DataFrame:
     """Per submission status, the part of the sendable paid and reported value sent.
@@ -78,12 +93,14 @@ def sent_over_received(received: DataFrame, validation: DataFrame, submitted: Da
     send, every status reads 1.
     """
     keys, lookup = windows.keys, windows.lookup
-    sendable = sendable_items(received, validation, windows)
+    sendable = _settled(sendable_items(received, validation, windows))
     totals = sendable.groupBy(*keys).agg(
         F.sum("paid_value").alias("_all_paid"), F.sum("reported_value").alias("_all_reported")
     )
-    times = submitted.groupBy(*lookup, "item_id", "status").agg(F.count(F.lit(1)).alias("_times"))
-    sent = sendable.join(times, [*lookup, "item_id"]).groupBy(*keys, "status").agg(
+    on = [*lookup, "item_id"]
+    times = _submitted_of(sendable, submitted, on).groupBy(*on, "status").agg(
+        F.count(F.lit(1)).alias("_times"))
+    sent = sendable.join(times, on).groupBy(*keys, "status").agg(
         F.sum(F.col("paid_value") * F.col("_times")).alias("_paid"),
         F.sum(F.col("reported_value") * F.col("_times")).alias("_reported"),
     )
@@ -104,9 +121,9 @@ def _by_item(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def _sent_savings(items: DataFrame, submitted: DataFrame, windows: Windows,
                   by: Sequence[str]) -> DataFrame:
-    """Submitted saving of the given items, per run (and status)."""
+    """Submitted saving of the given (settled) items, per run (and status)."""
     on = [*windows.lookup, "item_id"]
-    per_item = submitted.groupBy(*on, *by).agg(F.sum("saving_value").alias("_sent"))
+    per_item = _submitted_of(items, submitted, on).groupBy(*on, *by).agg(F.sum("saving_value").alias("_sent"))
     return items.join(per_item, on).groupBy(*windows.keys, *by).agg(
         F.sum("_sent").alias("_sent"))
 
@@ -128,7 +145,7 @@ def ratio_with_empty_rule(by_status: DataFrame, total: DataFrame,
 
 def _share_by_status(rows: DataFrame, submitted: DataFrame, windows: Windows) -> DataFrame:
     keys = windows.keys
-    items = _by_item(rows, keys)
+    items = _settled(_by_item(rows, keys))
     total = items.groupBy(*keys).agg(F.sum("saving_value").alias("_total"))
     sent = _sent_savings(items, submitted, windows, ["status"])
     return ratio_with_empty_rule(_per_status(windows, sent, ["_sent"]), total, keys)
@@ -174,7 +191,8 @@ def shared_invoice_completeness(validation: DataFrame, submitted: DataFrame,
     keys = windows.keys
     rows = validation.where(F.col("filtered_reason") == SHARED_INVOICE).where(
         F.col("status") != PENDING)
-    items = _by_item(windows.of_rows(rows.select(*windows.lookup, *_SAVING, "ingested_at")), keys)
+    items = _settled(_by_item(
+        windows.of_rows(rows.select(*windows.lookup, *_SAVING, "ingested_at")), keys))
     total = items.groupBy(*keys).agg(F.sum("saving_value").alias("_total"))
     sent = _sent_savings(items, submitted, windows, [])
     runs = attach(attach(windows.runs(items), total, keys, ["_total"]), sent, keys, ["_sent"])

@@ -13,13 +13,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimgauge.functions.expressions import parse_instant
+from claimgauge.functions.expressions import parse_day, parse_instant
 from claimgauge.functions.variants import (
     DOUBTFUL_TEXT,
     as_text,
     get,
     given_text,
     is_missing,
+    is_object,
     text_at,
 )
 from claimgauge.schemas import COMPLETED
@@ -121,7 +122,12 @@ def _submission(metric: str, *roles: Role) -> Route:
     return Route(metric, SUBMISSION, metric, roles, then=_SUBMISSION_THEN)
 
 
-ROUTES: list[Route] = [
+# The order in which handlers are asked; the first refusal is the reply.
+_ASKED = ("filtered_pre", "filtered_post", "processable", "selected_savings", "savings",
+          "new_providers", "new_members", "sent_over_received", "sent_over_validation",
+          "shared_invoice", "sent_over_accepted", "expired", "provider_ratio", "member_ratio")
+
+ROUTES: list[Route] = sorted([
     *[route for names in _CLAIM_TABLES for route in _claim_routes(names)],
     Route("filtered_post/selection", SELECTION, "filtered_post",
           (Role("excluded", "excluded_savings_output_table"),
@@ -151,7 +157,7 @@ ROUTES: list[Route] = [
            Role("manual_validation",
                 "manual_validation.manual_validation_claims_input_table", INTERNAL_ERROR)),
           before=(PARENTS, "partner"), then=(TIME,)),
-]
+], key=lambda route: _ASKED.index(route.metric))
 
 _HANDLER = ("struct<handler:string,metric:string,approved:string,"
             "roles:array<struct<name:string,variable:string,on_missing:string>>,"
@@ -184,10 +190,6 @@ _VARIABLES = sorted({r.variable for route in ROUTES for r in route.roles}
 _PARENT_NAMES = sorted({v.partition(".")[0] for v in _VARIABLES if "." in v})
 
 
-def _is_json_object(value: Column) -> Column:
-    return F.try_variant_get(value, "$", "struct<x:variant>").isNotNull()
-
-
 def _pairs(read: Callable[[Column, str], Column]) -> Column:
     """(variable, text) of the payload variables any route reads."""
     return F.array(*[F.struct(F.lit(name).alias("key"),
@@ -201,8 +203,8 @@ def _given(pairs: Column) -> Column:
     variables = F.col("_fields.variables")
     parents = [get(variables, f"$.{p}") for p in _PARENT_NAMES]
     parents_fit = ~reduce(lambda a, b: a | b,
-                          [p.isNotNull() & ~_is_json_object(p) for p in parents])
-    shape_fits = variables.isNull() | _is_json_object(variables)
+                          [p.isNotNull() & ~is_object(p) for p in parents])
+    shape_fits = variables.isNull() | is_object(variables)
     held = F.array(*[F.struct(F.lit(check).alias("key"), F.when(holds, F.lit("")).alias("value"))
                      for check, holds in ((SHAPE, shape_fits), (PARENTS, parents_fit),
                                           (TIME, F.col("as_of").isNotNull()))])
@@ -246,23 +248,25 @@ def route_events(decoded: DataFrame) -> DataFrame:
         .withColumn("_fields", payload)
         .withColumn("pipeline_uuid", as_text(F.col("_fields.pipeline_uuid")))
         .withColumn("status", as_text(F.col("_fields.status")))
-        .withColumn("as_of", parse_instant(as_text(get(doc, "$.source_timestamp"))))
+        .withColumn("_stamp", as_text(get(doc, "$.source_timestamp")))
+        .withColumn("as_of", parse_instant(F.col("_stamp")))
+        .withColumn("as_of_day", F.when(F.col("as_of").isNotNull(), parse_day(F.col("_stamp"))))
         .withColumn("_pairs", _pairs(text_at))
         .withColumn("_given", _given(F.col("_pairs")))
         .withColumn("partner", F.try_element_at("_given", F.lit("partner")))
         .withColumn("submission_run_id", F.try_element_at("_given", F.lit("submission_run_id")))
     )
     given = F.col("_payload").isNotNull()
-    is_object = F.col("_fields").isNotNull()
+    holds_keys = F.col("_fields").isNotNull()
     has_time = get(doc, "$.source_timestamp").isNotNull()
     # a payload that cannot hold keys: null, a number or a boolean
-    no_container = given & ~is_object & ~F.to_json("_payload").rlike(r'^["\[]')
+    no_container = given & ~holds_keys & ~F.to_json("_payload").rlike(r'^["\[]')
     counts_runs = has_time & F.col("_fields.pipeline_uuid").isNotNull() & F.col(
         "_fields.status").isNotNull()
     no_errors = F.array().cast("array<string>")
     match_errors = (
         F.when(~F.col("doc_is_object"), _names(every))
-        .when(~given | is_object, no_errors)
+        .when(~given | holds_keys, no_errors)
         .when(is_missing(F.col("_payload")), _names(failing)).otherwise(_names(every))
     )
     count_error = F.when(has_time & no_container, _names([RUN_COUNT_HANDLER])).otherwise(no_errors)
@@ -277,7 +281,7 @@ def route_events(decoded: DataFrame) -> DataFrame:
             F.when(counts_runs, F.array(_run_count_handler())).otherwise(no_handlers),
             F.coalesce("_routes", no_handlers))).otherwise(no_handlers))
         .withColumn("handlers", _handled(F.col("_matched")))
-        .drop("_payload", "_fields", "_pairs", "_given", "_routes", "_matched", "doc",
+        .drop("_stamp", "_payload", "_fields", "_pairs", "_given", "_routes", "_matched", "doc",
               "doc_is_object")
     )
 
@@ -319,8 +323,8 @@ def failures(routed: DataFrame) -> DataFrame:
 def bindings(routed: DataFrame) -> DataFrame:
     """One row per event and matched handler: the work list of the metrics."""
     return routed.select(
-        "event_id", "pipeline_uuid", "status", "as_of", "partner", "submission_run_id",
-        F.inline("handlers"))
+        "event_id", "pipeline_uuid", "status", "as_of", "as_of_day", "partner",
+        "submission_run_id", F.inline("handlers"))
 
 
 def qualify(table_ref: Column, default_namespace: str) -> Column:

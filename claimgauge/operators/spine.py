@@ -8,12 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from claimgauge.operators.joins import BROADCAST_BYTES, row_bytes
 from claimgauge.session import ensure_checkpoint_dir
 
-# Rows up to which a run spine is broadcast. A spine row is a few keys and times,
-# well under 200 bytes, so this bounds the broadcast at about 20 MB.
-BROADCAST_ROWS = 100_000
-
 
 @dataclass(frozen=True)
 class Spine:
@@ -36,16 +33,17 @@ class Spine:
            first: str = "as_of", last: str = "as_of") -> Spine:
         """Settle ``runs``: written once to the checkpoint folder, then sized.
 
-        Only run-sized frames come here, never claim rows. One row of counts and
+        Only run-sized frames come here, never claim rows. One row of sizes and
         bounds goes back to the driver.
         """
         ensure_checkpoint_dir(runs.sparkSession)
         settled = runs.checkpoint()
-        found = settled.agg(F.count(F.lit(1)).alias("n"),
+        found = settled.agg(F.sum(row_bytes(*settled.columns)).alias("bytes"),
                             F.min(first).cast("string").alias("first"),
                             F.max(last).cast("string").alias("last")).first()
         types = dict(settled.dtypes)
-        return cls(settled, tuple(keys), tuple(lookup), found["n"] <= BROADCAST_ROWS,
+        return cls(settled, tuple(keys), tuple(lookup),
+                   (found["bytes"] or 0) <= BROADCAST_BYTES,
                    F.lit(found["first"]).cast(types[first]),
                    F.lit(found["last"]).cast(types[last]))
 

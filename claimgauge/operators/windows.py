@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from claimgauge.operators.joins import fits
 from claimgauge.operators.spine import Spine
 
 LOOKBACK_DAYS = 2
@@ -38,9 +39,13 @@ def anchored_windows(runs: DataFrame, submitted: DataFrame, keys: Sequence[str],
                      ingested: str = "ingested_at") -> DataFrame:
     """:func:`anchored_window` of every run.
 
-    ``keys`` are the columns, shared with ``submitted``, that name a run. The maximum
-    is combined before the shuffle, so a run with most of the rows is no hot spot.
+    ``keys`` are the columns, shared with ``submitted``, that name a run. Rows of other runs
+    are dropped first where the runs fit a broadcast. The maximum is combined before the
+    shuffle, so a run with most of the rows is no hot spot.
     """
+    wanted = runs.select(*keys).distinct()
+    if fits(wanted):
+        submitted = submitted.join(F.broadcast(wanted), list(keys), "left_semi")
     last = submitted.groupBy(*keys).agg(F.max(ingested).alias("_last"))
     end = F.coalesce("_last", _back(F.col("as_of"), mins=fallback_minutes))
     return runs.join(last, list(keys), "left").select(

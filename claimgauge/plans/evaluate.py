@@ -18,7 +18,8 @@ from claimgauge import schemas as names
 from claimgauge.functions.expressions import label_text
 from claimgauge.operators import agents, entities, expiry, reconcile, shares
 from claimgauge.operators.routing import RUN_COUNT_HANDLER, bindings, failures
-from claimgauge.operators.spine import BROADCAST_ROWS, Spine
+from claimgauge.operators.joins import BROADCAST_BYTES, fits, linked
+from claimgauge.operators.spine import Spine
 from claimgauge.operators.windows import Windows, anchored_windows
 from claimgauge.session import ensure_checkpoint_dir, require_utc
 from claimgauge.sinks.metrics import to_points
@@ -57,9 +58,9 @@ def _set_of(*roles: str) -> Column:
 class Evaluation:
     """Metrics of one batch of events. Each method gives the points of one family.
 
-    The work list, an event-sized frame, is settled once in the checkpoint folder and
-    its table references are counted: links made from it are broadcast only within
-    the size bound.
+    The work list, an event-sized frame, is settled once in the checkpoint folder and the
+    bytes of its links are summed per role: links of the roles a metric reads are broadcast
+    within the bound, and salted beyond it, as one table may hold most rows.
     """
 
     def __init__(self, checked: DataFrame, tables: Tables, project: str):
@@ -69,31 +70,40 @@ class Evaluation:
         self.tables, self.project = tables, project
         self.routed = checked.checkpoint()
         self.work = bindings(self.routed).where(F.col("error").isNull())
-        size = self.routed.select(F.sum(F.aggregate(
-            "handlers", F.lit(0), lambda n, h: n + F.size(h["refs"]) + 1))).first()[0]
-        self.small = (size or 0) <= BROADCAST_ROWS
+        refs = self.routed.select("event_id", F.explode(F.flatten(F.transform(
+            "handlers", lambda h: h["refs"]))).alias("r"))
+        named = refs.where(F.col("r.table_ref").isNotNull()).select(
+            "event_id", F.col("r.role").alias("role"), F.col("r.table_ref").alias("ref")).distinct()
+        long = F.octet_length("ref") + 64
+        # a row per role comes back, a fixed handful
+        self._bytes = {r["role"]: (r["links"], r["tables"]) for r in named.groupBy("role", "ref").agg(
+            F.sum(F.octet_length("event_id") + long).alias("links")).groupBy("role").agg(
+                F.sum("links").alias("links"), F.sum(long).alias("tables")).collect()}
 
     # ---- linking rows to events --------------------------------------------------
 
     def _of(self, *metrics: str) -> DataFrame:
         return self.work.where(F.col("metric").isin(*metrics))
 
-    def _links(self, frame: DataFrame) -> DataFrame:
-        return F.broadcast(frame) if self.small else frame
+    def _small(self, roles: Iterable[str], per_event: bool) -> bool:
+        """Whether the links of events (or the names) of the tables in these roles may be
+        broadcast."""
+        sizes = [self._bytes.get(role, (0, 0))[0 if per_event else 1] for role in roles]
+        return sum(sizes) <= BROADCAST_BYTES
 
     def _bind(self, rows: DataFrame, runs: DataFrame, key: str, roles: Iterable[str],
               columns: Iterable[str]) -> DataFrame:
         """Rows of the tables in the given roles, with the ``key`` of their runs."""
         links = runs.select(key, F.inline("refs")).where(F.col("role").isin(*roles)).select(
             key, "role", "table_ref").distinct()
-        return rows.select("table_ref", *columns).join(self._links(links), "table_ref").drop(
-            "table_ref", "role")
+        return linked(rows.select("table_ref", *columns), links, ["table_ref"],
+                      self._small(roles, True)).drop("table_ref", "role")
 
     def _per_table(self, rows: DataFrame, runs: DataFrame, roles: Iterable[str]) -> DataFrame:
         """Rows of the tables that any run names in these roles."""
         wanted = runs.select(F.inline("refs")).where(F.col("role").isin(*roles)).select(
             "table_ref").distinct()
-        return rows.join(self._links(wanted), "table_ref", "left_semi")
+        return linked(rows, wanted, ["table_ref"], self._small(roles, False), "left_semi")
 
     def _points(self, frame: DataFrame, values: dict, **label_columns) -> DataFrame:
         return to_points(frame, values, {"partner": F.col("partner"), **label_columns},
@@ -161,21 +171,29 @@ class Evaluation:
         """Events whose batch is compared with history, once for all four metrics."""
         runs = self._of(*_ENTITY_METRICS).where(
             _present(_HISTORY[0]) & _present(_HISTORY[1]))
-        return runs.select("event_id", "as_of", "refs", _set_of(*_HISTORY).alias("history_set")
+        return runs.select("event_id", "as_of", "as_of_day", "refs", _set_of(*_HISTORY).alias("history_set")
                            ).distinct()
 
     @cached_property
     def _entity_spine(self) -> Spine:
         return Spine.of(self._compared.drop("refs"), ["event_id"], ["history_set"])
 
-    def _entities(self, metric: str, operator, entity: str, value: str, name: str) -> DataFrame:
+    @cached_property
+    def _items_fit(self) -> bool:
+        """Whether the items of all batches may be broadcast, asked once."""
+        items = self._bind(self.tables.claims, self._compared, "history_set",
+                           ["processable", "unprocessable"], ["item_id"])
+        return fits(items.where(F.col("item_id").isNotNull()).distinct())
+
+    def _entities(self, metric: str, operator, entity: str, value: str, name: str,
+                  **more) -> DataFrame:
         """Events with both history tables are compared; without, all counts as new."""
         claims, compared = self.tables.claims, self._compared
         batch = self._bind(claims, compared, "event_id", ["processable", "unprocessable"],
                            ["item_id", entity])
         past = self._bind(claims, compared, "history_set", _HISTORY,
                           ["item_id", entity, "created_at"])
-        found = operator(self._entity_spine, batch, past, entity).select("event_id", value)
+        found = operator(self._entity_spine, batch, past, entity, **more).select("event_id", value)
         both = _present(_HISTORY[0]) & _present(_HISTORY[1])
         done = self._of(metric).join(found, "event_id", "left").withColumn(
             value, F.when(both, F.col(value)).otherwise(F.lit(1.0)))
@@ -183,11 +201,11 @@ class Evaluation:
 
     def new_providers(self) -> DataFrame:
         return self._entities("new_providers", entities.new_entity_pct_by_run, "provider_id",
-                              "new_pct", names.NEW_PROVIDERS)
+                              "new_pct", names.NEW_PROVIDERS, items_fit=self._items_fit)
 
     def new_members(self) -> DataFrame:
         return self._entities("new_members", entities.new_entity_pct_by_run, "member_id",
-                              "new_pct", names.NEW_MEMBERS)
+                              "new_pct", names.NEW_MEMBERS, items_fit=self._items_fit)
 
     def provider_ratio(self) -> DataFrame:
         return self._entities("provider_ratio", entities.volume_ratio_by_run, "provider_id",

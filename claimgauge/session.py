@@ -18,6 +18,10 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # of repeated keys of an event's JSON the last counts
+    "spark.sql.variant.allowDuplicateKeys": "true",
+    # checkpoint files go once nothing refers to them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

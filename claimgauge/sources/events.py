@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimgauge.functions.variants import FALSY_JSON, get
+from claimgauge.functions.variants import FALSY_JSON, get, is_object
 from claimgauge.schemas import RAW_EVENT
 
 DECODED, UNDECODABLE, BROKEN = "decoded", "undecodable", "broken"
@@ -23,39 +23,38 @@ def stream_events(spark: SparkSession, path: str, file_format: str = "json",
             .option("maxFilesPerTrigger", files_per_batch).load(path))
 
 
-def spread(rows: DataFrame, key: str = "event_id") -> DataFrame:
-    """Use all cores on input with fewer splits than cores, where the work is in the
-    rows rather than in reading them. Input of many splits stays as it is."""
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    if rows.rdd.getNumPartitions() >= cores:
-        return rows
-    return rows.repartition(cores, key)
-
-
 def _base64_text(data: Column) -> Column:
-    """Decoded UTF-8 text. Characters outside the alphabet are skipped; wrong padding
-    or invalid UTF-8 give NULL."""
-    plain = (F.length(data) % 4 == 0) & ~data.contains(" ") & ~data.contains("\n")
-    clean = F.regexp_replace(data, r"[^A-Za-z0-9+/=]", "")
+    """Decoded UTF-8 text; NULL for wrong padding or invalid UTF-8.
+
+    As lenient as common decoders: characters outside the alphabet are skipped, padding
+    that nothing needs is ignored, and whatever follows the padding that ends the data is
+    not read.
+    """
+    plain = (F.length(data) % 4 == 0) & ~data.rlike(r"[^A-Za-z0-9+/=]|=[^=]|^=")
+    clean = F.regexp_replace(F.regexp_replace(data, r"[^A-Za-z0-9+/=]", ""), "^=+", "")
+    letters = F.regexp_extract(clean, "^[A-Za-z0-9+/]*", 0)
+    extra = F.length(letters) % 4
+    ends = ((extra == 2) & clean.rlike("^[A-Za-z0-9+/]*==")) | (
+        (extra == 3) & clean.rlike("^[A-Za-z0-9+/]*="))
+    mended = F.when(ends, F.concat(letters, F.when(extra == 2, "==").otherwise("="))).otherwise(
+        F.replace(clean, F.lit("="), F.lit("")))
     binary = F.coalesce(
         F.when(plain, F.try_to_binary(data, F.lit("base64"))),
         # only what is not already clean pays for the cleaning
-        F.when(F.length(clean) % 4 == 0, F.try_to_binary(clean, F.lit("base64"))),
+        F.when(F.length(mended) % 4 == 0, F.try_to_binary(mended, F.lit("base64"))),
     )
     return F.try_validate_utf8(binary.cast("string"))
 
 
-def _is_object(text: Column) -> Column:
-    return F.ltrim(text).startswith("{")
-
-
 def decode_events(events: DataFrame, raw: str = "raw") -> DataFrame:
     """Add ``doc`` (the event as VARIANT) and ``decoding`` to raw events.
 
     The event is base64 JSON under ``message.data``, or else the document itself if it
     has both ``payload`` and ``source_timestamp``. ``decoding`` is ``decoded``,
     ``undecodable`` (for a quarantine) or ``broken``: an envelope of the wrong shape,
-    such as a null ``message``, which fails rather than being refused.
+    such as a null ``message``, which fails rather than being refused. Of repeated keys the
+    last counts, if ``spark.sql.variant.allowDuplicateKeys`` is set as in
+    ``session.SETTINGS``; ``NaN`` and ``Infinity`` are no JSON here.
     """
     message, data = F.col("_message"), F.col("_data")
     opened = (
@@ -69,8 +68,8 @@ def decode_events(events: DataFrame, raw: str = "raw") -> DataFrame:
         .withColumn("_direct", get(F.col("_envelope"), "$.payload").isNotNull()
                     & get(F.col("_envelope"), "$.source_timestamp").isNotNull())
     )
-    wrong_shape = ~_is_object(F.col(raw)) | (
-        message.isNotNull() & ~_is_object(F.to_json(message))
+    wrong_shape = ~is_object(F.col("_envelope")) | (
+        message.isNotNull() & ~is_object(message)
     ) | (F.col("_has_data") & ~data.startswith('"'))
     readable = F.col("_inner").isNotNull() & ~F.is_variant_null("_inner")
     decoding = (
@@ -82,7 +81,7 @@ def decode_events(events: DataFrame, raw: str = "raw") -> DataFrame:
     result = F.struct(
         decoding.alias("decoding"),
         F.when(F.col("_has_data"), F.col("_inner")).otherwise(F.col("_envelope")).alias("doc"),
-        F.when(F.col("_has_data"), _is_object(F.col("_text"))).otherwise(True)
+        F.when(F.col("_has_data"), is_object(F.col("_inner"))).otherwise(True)
         .alias("doc_is_object"),
     )
     # a generator: later filters on the result stay above it instead of being pushed

@@ -223,7 +223,7 @@ def test_salted_joins_spread_a_hot_key_and_nulls(spark):
 @pytest.mark.parametrize("limit", [0, 10**6])
 def test_many_and_few_batch_items(spark, data, limit, monkeypatch):
     frames, _ = data
-    monkeypatch.setattr(entities, "few", lambda frame_: limit > 0)
+    monkeypatch.setattr(entities, "fits", lambda frame_: limit > 0)
     spine = Spine.of(frames["runs"], RUN, ["tenant"])
     found = keyed(entities.new_entity_pct_by_run(
         spine, frames["batch"], frames["claims"], "provider_id"))
