@@ -59,7 +59,9 @@ def _by(number: Column, divisor: int) -> Column:
 
 
 def noisy_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_noisy_events(table(spark, sf_dir, "events"))
+    # the test table is one small file, and the work is in making and parsing the texts
+    events = table(spark, sf_dir, "events")
+    return as_noisy_events(events.repartition(spark.sparkContext.defaultParallelism, "event_id"))
 
 
 def as_noisy_events(events: DataFrame) -> DataFrame:
