@@ -84,5 +84,47 @@ QUERIES = {query.__name__: query for query in (
     op5_factorization_toxicity, op6_pii_surrogates, op7_simhash_components, op8_host_quality, op9_soft_mixing,
     op10_line_quality)}
 
-#: SQL of the queries above that SQL can express.
-ORACLES: dict[str, str] = {}
+#: SQL of the queries above that SQL can express. The others rest on trained models, XXH64
+#: or iterated graphs; tests/llm holds them against brute force or held-out labels.
+ORACLES: dict[str, str] = {"op8_host_quality": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS text FROM documents),
+w AS (
+  SELECT rid, doc_id, source, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM d),
+win AS (
+  SELECT rid, i, words[i:i + 4] AS win
+  FROM (SELECT rid, words, unnest(range(1, len(words) - 3)) AS i FROM w WHERE len(words) >= 5)),
+dup AS (
+  SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, win) AS n FROM win) WHERE n > 1),
+cov AS (
+  SELECT rid, count(DISTINCT i + k) AS n FROM (SELECT rid, i, unnest(range(0, 5)) AS k FROM dup)
+  GROUP BY rid),
+c AS (
+  SELECT w.rid, doc_id, source, len(words)::BIGINT AS n_words,
+    length(array_to_string(words, ''))::BIGINT AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
+    len(lines) AS n_lines, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+    coalesce(cov.n, 0)::BIGINT AS n_repeat_words
+  FROM w LEFT JOIN cov USING (rid)),
+f AS (
+  SELECT *, (n_words < 10)::INT AS f1, (100 * n_repeat_words > 20 * n_words)::INT AS f2,
+    (10 * n_symbols > word_chars)::INT AS f3, (100 * n_dup_lines > 30 * n_lines)::INT AS f4 FROM c),
+h AS (
+  SELECT source, count(*) AS n, unnest([1, 2, 3, 4]) AS rule,
+    unnest([sum(f1), sum(f2), sum(f3), sum(f4)]) AS failed FROM f GROUP BY source),
+m AS (
+  SELECT rule, sum(failed) / sum(n) AS mean, coalesce(var_samp(failed / n), 0) AS spread
+  FROM h GROUP BY rule),
+p AS (
+  SELECT rule, mean, CASE WHEN spread > 0
+    THEN least(greatest(mean * (1 - mean) / spread - 1, 1.0), 1000.0) ELSE 1000.0 END AS weight FROM m),
+bad AS (
+  SELECT source FROM h JOIN p USING (rule) GROUP BY source
+  HAVING max((failed + mean * weight) / (n + weight)) > 0.5)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  f1 + f2 > 0 AS base_failed,
+  f1 + f2 = 0 AND NOT EXISTS (
+    SELECT 1 FROM bad WHERE bad.source IS NOT DISTINCT FROM f.source) AS kept
+FROM f"""}

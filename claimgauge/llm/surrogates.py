@@ -63,11 +63,11 @@ _HINT = r"[0-9@]|[=:] ?[\"']?[A-Za-z_+/-]{8}|" + "|".join(
 
 def type_of(mention: Column) -> Column:
     """Type of a found mention by its own form; what has none of the others' is a secret.
-    Names have no digit and begin with a capital."""
-    kind = F.lit("secret")
+    Names have letters only and begin with a capital."""
+    kind = F.when(mention.rlike(rf"^{_WORD}(?: {_WORD})?$"), "name").otherwise("secret")
     for name in ("phone", "card", "ssn", "ip", "access_key", "iban", "email"):
         kind = F.when(mention.rlike(f"^(?:{PATTERNS[name]})$"), name).otherwise(kind)
-    return F.when(mention.rlike(rf"^{_WORD}(?: {_WORD})?$"), "name").otherwise(kind)
+    return kind
 
 
 def canonical(kind: Column, mention: Column) -> Column:
