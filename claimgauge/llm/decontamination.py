@@ -22,7 +22,7 @@ COVERAGE = 0.5
 BROADCAST_WINDOWS = 1_000_000
 #: Placeholders: single characters that texts do not otherwise have.
 NUMBER, NAME, UNIT = "\u0001", "\u0002", "\u0003"
-_PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+_PUNCTUATION = r"[!-/:-@\[-`{-~]+"
 
 #: Units of measure that count as slots behind a number.
 UNITS = ("mm cm m km in ft yd mi miles mile meters metres kilometers kilometres inches feet "
@@ -34,30 +34,42 @@ UNITS = ("mm cm m km in ft yd mi miles mile meters metres kilometers kilometres
 # A token that is a number, perhaps signed, grouped, in brackets, with a currency or percent.
 _NUMBER = r"(?<![^\s])[(\"'$€£+\-]*[0-9][0-9.,:/]*%?[)\"'.,;:!?]*(?![^\s])"
 _UNIT = rf"(?<={NUMBER}[ \t\n])(?:{'|'.join(UNITS)})(?=[.,;:!?)]*(?:\s|$))"
-# A capitalised word behind a word that ends no sentence.
-_NAME = r"(?<=[\p{Ll}0-9,;] )\p{Lu}[\p{Ll}]+(?=[\p{Punct}\s]|$)"
+# A space and a capitalised word behind a word that ends no sentence.
+_NAME = r" (?<=[\p{Ll}0-9,;] )\p{Lu}[\p{Ll}]+(?=[\p{Punct}\s]|$)"
+
+
+# Only a text that this matches can have a slot.
+_SLOT_HINT = rf"[0-9]|{_NAME}"
 
 
 def raw_tokens(text: Column) -> Column:
     """Words without ASCII punctuation, as they are written."""
-    return words_of(F.translate(F.coalesce(text, F.lit("")), _PUNCTUATION, ""))
+    own = F.regexp_replace(F.coalesce(text, F.lit("")), f"[{NUMBER}{NAME}{UNIT}]", "")
+    return words_of(F.regexp_replace(own, _PUNCTUATION, ""))
 
 
 def template_tokens(text: Column) -> Column:
     """Template of a text, token by token in step with ``raw_tokens``. Placeholder
     characters of the text itself are taken out first."""
-    own = F.translate(F.coalesce(text, F.lit("")), NUMBER + NAME + UNIT, "")
-    marked = F.regexp_replace(own, _NAME, NAME)
+    own = F.coalesce(text, F.lit(""))
+    own = F.when(own.rlike(f"[{NUMBER}{NAME}{UNIT}]"), F.translate(own, NUMBER + NAME + UNIT, "")).otherwise(own)
+    marked = F.regexp_replace(own, _NAME, " " + NAME)
     marked = F.when(marked.rlike("[0-9]"), F.regexp_replace(
         F.regexp_replace(marked, _NUMBER, NUMBER), f"(?i){_UNIT}", UNIT)).otherwise(marked)
-    return words_of(F.translate(F.lower(marked), _PUNCTUATION, ""))
+    return words_of(F.regexp_replace(F.lower(marked), _PUNCTUATION, ""))
 
 
-def window_hashes(tokens: Column, window: int = WINDOW) -> Column:
+def windows_of(tokens: Column, raw: Column, window: int = WINDOW) -> Column:
+    """Windows of template tokens in order: ``hash``, and ``said``, their words as written,
+    for windows with a slot (else null). ``raw`` may be null for a text without slots."""
     count = F.size(tokens)
+    part = lambda words, i: F.slice(words, i, window)
+    said = lambda i: F.when(raw.isNotNull() & F.exists(
+        part(tokens, i), lambda x: x.isin(NUMBER, NAME, UNIT)), part(raw, i))
     return F.when(count >= window, F.transform(
         F.sequence(F.lit(1), F.greatest(count - (window - 1), F.lit(1))),
-        lambda i: F.xxhash64(F.slice(tokens, i, window)))).otherwise(F.array().cast("array<bigint>"))
+        lambda i: F.struct(F.xxhash64(part(tokens, i)).alias("hash"), said(i).alias("said")))
+    ).otherwise(F.array().cast("array<struct<hash: bigint, said: array<string>>>"))
 
 
 def _item_templates(benchmark: DataFrame, window: int) -> DataFrame:
@@ -85,48 +97,48 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     still count. Rows alike in id and text give one pair. Empty tables give none.
     """
     items = _item_templates(benchmark, window)
-    places = items.select("item_id", "item_hash", F.posexplode(
-        window_hashes(F.col("item_tokens"), window)).alias("item_at", "hash"))
-    keyed = with_row_key(docs).select(*ROW_KEY, "text")
-    tokens = keyed.select(*ROW_KEY, template_tokens(F.col("text")).alias("tokens"))
-    windows = tokens.select(*ROW_KEY, F.posexplode(
-        window_hashes(F.col("tokens"), window)).alias("at", "hash"))
-    # Up to the bound (some 50 bytes a window) the items' windows are broadcast; beyond it
+    places = items.select("item_id", "item_hash", "item_tokens", F.posexplode(windows_of(
+        F.col("item_tokens"), F.col("item_raw"), window)).alias("item_at", "one")).select(
+            "item_id", "item_hash", "item_at", "one.hash",
+            F.slice("item_tokens", F.col("item_at") + 1, window).alias("form"),
+            F.col("one.said").alias("item_said"))
+    tokens = with_row_key(docs).select(*ROW_KEY, template_tokens(F.col("text")).alias("tokens"), F.when(
+        F.col("text").rlike(_SLOT_HINT), raw_tokens(F.col("text"))).alias("raw"))
+    # Windows of a document take their values along, so its text is not needed again.
+    found = tokens.select(*ROW_KEY, F.posexplode(windows_of(
+        F.col("tokens"), F.col("raw"), window)).alias("at", "one")).select(
+            *ROW_KEY, "at", "one.hash", "one.said")
+    # Up to the bound (some 100 bytes a window) the items' windows are broadcast; beyond it
     # both sides are shuffled by hash, and frequent windows are split at run time.
     if (items.agg(F.sum("windows")).first()[0] or 0) <= BROADCAST_WINDOWS:
         places = F.broadcast(places)
-    met = written(windows.join(places, "hash").select(
-        *ROW_KEY, "item_id", "item_hash", "item_at", (F.col("at") - F.col("item_at")).alias("offset"))
-        .distinct(), "window-matches")
+    values = F.filter(
+        F.transform(F.col("form"), lambda x, i: F.when(x.isin(NUMBER, NAME, UNIT), F.struct(
+            (F.col("item_at") + i).alias("place"), F.lower(F.get("item_said", i)).alias("item"),
+            F.lower(F.get("said", i)).alias("doc")))), lambda s: s.isNotNull())
+    met = written(found.join(places, "hash").select(
+        *ROW_KEY, "item_id", "item_hash", "item_at", (F.col("at") - F.col("item_at")).alias("offset"),
+        F.when(F.col("said").isNotNull(), values).alias("values")).distinct(), "window-matches")
     pair = [*ROW_KEY, "item_id", "item_hash"]
     enough = (met.select(*pair, "item_at").distinct().groupBy(*pair)
               .agg(F.count("*").alias("matched")))
-    lines = met.groupBy(*pair, "offset").agg(F.count("*").alias("n"))
-    best = lines.groupBy(*pair).agg(F.max_by("offset", F.struct("n", -F.col("offset"))).alias("offset"))
+    lines = met.groupBy(*pair, "offset").agg(F.count("*").alias("n"), F.array_distinct(
+        F.flatten(F.collect_list("values"))).alias("slots"))
+    best = lines.groupBy(*pair).agg(F.max(F.struct(
+        "n", (-F.col("offset")).alias("back"), "slots")).alias("best"))
     same_pair = lambda a, b: (same_row(a, b) & a["item_id"].eqNullSafe(b["item_id"])
                               & (a["item_hash"] == b["item_hash"]))
     aligned = enough.join(best, same_pair(enough, best)).select(
-        *[enough[c] for c in pair], "matched", "offset")
+        *[enough[c] for c in pair], "matched", "best")
     known = aligned.join(items, aligned["item_id"].eqNullSafe(items["item_id"])
                          & (aligned["item_hash"] == items["item_hash"])).select(
-        *[aligned[c] for c in pair], "matched", "offset", "windows", "item_raw", "item_tokens")
-    likely = written(known.where(F.col("matched") >= coverage * F.col("windows")), "likely-pairs")
-    with_text = likely.join(keyed, same_row(likely, keyed)).select(
-        *[likely[c] for c in likely.columns], F.col("text")).dropDuplicates(pair)
-    doc = with_text.withColumns({"__raw": raw_tokens(F.col("text")),
-                                 "__tokens": template_tokens(F.col("text"))})
-    place = lambda i: i + F.col("offset")
-    slots = F.filter(
-        F.transform(F.col("item_tokens"), lambda x, i: F.when(
-            x.isin(NUMBER, NAME, UNIT) & (place(i) >= 0) & (F.get("__tokens", place(i)) == x),
-            F.struct(F.lower(F.get("item_raw", i)).alias("item"),
-                     F.lower(F.get("__raw", place(i))).alias("doc")))),
-        lambda s: s.isNotNull())
-    judged = doc.withColumn("__slots", slots).withColumn("__kinds", F.array_distinct("__slots"))
-    agree = F.size("__kinds") == F.size(F.array_distinct(F.col("__kinds.item")))
-    return judged.where(agree).select(
-        *pair, "windows", "matched", "offset", F.size("__slots").alias("slots"),
-        F.size(F.filter("__slots", lambda s: s["item"] != s["doc"])).alias("changed"))
+        *[aligned[c] for c in pair], "windows", "matched", (-F.col("best.back")).alias("offset"),
+        F.col("best.slots").alias("pairs"))
+    kinds = F.array_distinct(F.transform("pairs", lambda s: F.struct(s["item"], s["doc"])))
+    agree = F.size(kinds) == F.size(F.array_distinct(F.transform("pairs", lambda s: s["item"])))
+    return known.where((F.col("matched") >= coverage * F.col("windows")) & agree).select(
+        *pair, "windows", "matched", "offset", F.size("pairs").alias("slots"),
+        F.size(F.filter("pairs", lambda s: s["item"] != s["doc"])).alias("changed"))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
