@@ -16,6 +16,7 @@ from pyspark.sql.window import Window
 from claimgauge.functions.expressions import days_before
 from claimgauge.operators.joins import fits, linked
 from claimgauge.operators.spine import Spine, over_runs
+from claimgauge.session import require_utc
 
 
 def _entity_rows(frame: DataFrame, entity: str, *columns: str) -> DataFrame:
@@ -35,6 +36,7 @@ def new_entity_pct(batch: DataFrame, history: DataFrame | None, entity: str, as_
     rows whose item is in the batch. A missing history makes every entity new; an
     empty batch has share 0.
     """
+    require_utc(batch.sparkSession)
     entities = _entity_rows(batch, entity).distinct()
     if history is None:
         return entities.agg(F.count(F.lit(1)).alias("total_entities")).select(
@@ -169,6 +171,7 @@ def volume_ratio(batch: DataFrame, history: DataFrame | None, entity: str, as_of
             F.lit(None).cast("bigint").alias("previous_count"),
             F.lit(1.0).alias("ratio"),
         )
+    require_utc(batch.sparkSession)
     cut = days_before(as_of, days)
     recent = history.where(F.col(created) >= days_before(as_of, 2 * days))
     latest = F.col(created) >= cut

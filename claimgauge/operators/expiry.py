@@ -12,6 +12,7 @@ from claimgauge.operators.joins import linked
 from claimgauge.operators.spine import over_runs
 from claimgauge.operators.windows import Windows
 from claimgauge.schemas import EXPIRED
+from claimgauge.session import require_utc
 
 INGESTED_DAYS = 2
 UPDATED_MINUTES = 30
@@ -29,6 +30,7 @@ def expired_validation_total(validation: DataFrame, as_of: Column, days: int = I
     The ingestion bounds are constants the scan can prune by; the update time is
     zone-less and filters rows.
     """
+    require_utc(validation.sparkSession)
     start = as_of - F.make_dt_interval(days=F.lit(days))
     return (
         validation.where(F.col("ingested_at").between(start, as_of))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimgauge.operators.joins import BROADCAST_BYTES, row_bytes
-from claimgauge.session import ensure_checkpoint_dir
+from claimgauge.session import ensure_checkpoint_dir, require_utc
 
 
 @dataclass(frozen=True)
@@ -36,6 +36,7 @@ class Spine:
         Only run-sized frames come here, never claim rows. One row of sizes and
         bounds goes back to the driver.
         """
+        require_utc(runs.sparkSession)
         ensure_checkpoint_dir(runs.sparkSession)
         settled = runs.checkpoint()
         found = settled.agg(F.sum(row_bytes(*settled.columns)).alias("bytes"),

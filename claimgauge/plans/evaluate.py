@@ -7,7 +7,7 @@ event, or its set of tables where events share history.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -314,7 +314,8 @@ class Evaluation:
         return [f for f in self.FAMILIES if f in asked or (f == "failure_points" and failed)]
 
     def all_points(self) -> DataFrame | None:
-        """The points of all families with work, as one frame."""
+        """The points of all families with work, as one frame: one that fails fails all. Use
+        :func:`write_families` to keep them apart."""
         frames = [getattr(self, family)() for family in self.wanted()]
         result = None
         for frame in frames:
@@ -322,6 +323,26 @@ class Evaluation:
         return result
 
 
+def write_families(evaluation: Evaluation, write: Callable[[DataFrame, str], None]
+                   ) -> dict[str, Exception]:
+    """Hand the points of each family with work to ``write``, one after the other.
+
+    Families are independent: when one fails, a failure point is written in its place for
+    each of its events, and the others go on. Returns what failed.
+    """
+    failed: dict[str, Exception] = {}
+    for family in evaluation.wanted():
+        try:
+            write(getattr(evaluation, family)(), family)
+        except Exception as error:  # noqa: BLE001 - one family must not stop the others
+            failed[family] = error
+            lost = evaluation.work.where(F.col("metric") == family).withColumn(
+                "as_of", F.current_timestamp())
+            write(to_points(lost, {names.EXECUTION_FAILURE: F.lit(1.0)},
+                            {"handler_class": F.col("handler")}, evaluation.project), family)
+    return failed
+
+
 def failure_points(routed: DataFrame, project: str) -> DataFrame:
     """A 1.0 per failed handler, stamped with the time of evaluation."""
     failed = failures(routed).withColumn("as_of", F.current_timestamp())

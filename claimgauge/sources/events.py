@@ -23,6 +23,11 @@ def stream_events(spark: SparkSession, path: str, file_format: str = "json",
             .option("maxFilesPerTrigger", files_per_batch).load(path))
 
 
+def unique_events(events: DataFrame) -> DataFrame:
+    """One row per ``event_id``, for a backfill that may hold an event twice."""
+    return events.dropDuplicates(["event_id"])
+
+
 def _base64_text(data: Column) -> Column:
     """Decoded UTF-8 text; NULL for wrong padding or invalid UTF-8.
 

@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from claimgauge.operators.routing import check_tables, event_outcomes, route_events
-from claimgauge.plans.evaluate import Evaluation, Tables
-from claimgauge.schemas import EXECUTION_FAILURE
-from claimgauge.sinks.metrics import to_points, write_points
+from claimgauge.plans.evaluate import Evaluation, Tables, write_families
+from claimgauge.sinks.metrics import write_points
 from claimgauge.sources.events import decode_events, quarantined
 
 
@@ -61,18 +60,8 @@ def evaluate_batch(events: DataFrame, batch_id: int, job: Job) -> None:
         f"{job.path}/outcomes/batch={batch}")
     quarantined(decoded).select("event_id", "raw", "decoding").write.mode("overwrite").parquet(
         f"{job.path}/quarantine/batch={batch}")
-    failed: dict[str, Exception] = {}
-    for family in evaluation.wanted():
-        target = f"{job.path}/points/batch={batch}"
-        try:
-            write_points(getattr(evaluation, family)(), target, family)
-        except Exception as error:  # noqa: BLE001 - one family must not stop the others
-            failed[family] = error
-            lost = evaluation.work.where(F.col("metric") == family).withColumn(
-                "as_of", F.current_timestamp())
-            write_points(to_points(lost, {EXECUTION_FAILURE: F.lit(1.0)},
-                                   {"handler_class": F.col("handler")}, job.project),
-                         target, family)
+    target = f"{job.path}/points/batch={batch}"
+    failed = write_families(evaluation, lambda points, family: write_points(points, target, family))
     if failed and job.retry_failures:
         raise FamilyFailures(", ".join(f"{name}: {error}" for name, error in failed.items()))
 

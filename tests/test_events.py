@@ -2,9 +2,12 @@
 
 import base64
 import json
+from datetime import UTC, date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
+from claimgauge.functions.expressions import parse_day, parse_instant
 from claimgauge.operators import routing
 from claimgauge.operators.routing import ROUTES, bindings, event_outcomes, failures, route_events
 from claimgauge.sources.events import decode_events
@@ -22,6 +25,10 @@ DECODING = {
         GOOD, b64(GOOD), event("p", None), b64("[1]"), b64('"text"'),
         # odd characters inside base64 are skipped
         b64(GOOD).replace('"data": "', '"data": "-\\n!'),
+        # white space around documents, padding that nothing needs, repeated keys
+        "\n\t" + GOOD, b64("\n" + GOOD), "\n" + b64("\t" + GOOD),
+        json.dumps({"message": {"data": "=" + base64.b64encode(GOOD.encode()).decode() + "==="}}),
+        GOOD.replace("{", '{"payload": 1, ', 1),
         json.dumps({"message": {"data": ""}, **json.loads(GOOD)}),
         json.dumps({"message": {}, **json.loads(GOOD)}),
         '{"payload": null, "source_timestamp": null}',
@@ -167,3 +174,40 @@ def test_odd_payloads(spark):
 def test_undecodable_and_broken(spark):
     assert outcome(spark, "nope") == ("undecodable", 400, set())
     assert outcome(spark, '{"message": null}') == ("internal_error", 500, set())
+
+
+def test_times_as_senders_write_them(spark):
+    """Standard-library parsing is the measure."""
+    texts = ["2024-01-01", "20240101", "2024-W01-1", "2024W017", "2020-W53-5", "2024-W53-1",
+             "2024-01-14T23:30:00-03:00", "20240101T000000Z", "2024-01-01 1:2:3", "2024-01-01T10",
+             "2024-01-01T00:00:00 Europe/Paris", "2024-01-01T10:30:05,1234567", "2024-01-01T103005",
+             "2024-13-01", "2024-02-30T00:00:00Z", "x", "", "2024-01-01T10:30:05+0530"]
+
+    def plain(text):
+        try:
+            found = datetime.fromisoformat(text)
+        except ValueError:
+            return None, None
+        return found.replace(tzinfo=found.tzinfo or UTC).timestamp(), found.date()
+
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    instant = parse_instant(F.col("t"))
+    got = frame.select((F.unix_micros(instant) / 1e6).alias("at"),
+                       F.when(instant.isNotNull(), parse_day(F.col("t"))).alias("day")).collect()
+    assert [tuple(r) for r in got] == [plain(t) for t in texts]
+
+
+def test_days_are_counted_in_the_offset_of_the_event(spark):
+    late = event(routing.APPROVAL, {}, when="2024-01-14T23:30:00-03:00")
+    row = route_events(decode_events(raw_events(spark, late))).first()
+    assert row["as_of_day"] == date(2024, 1, 14)
+
+
+def test_the_first_handler_asked_names_the_refusal(spark):
+    """With both input tables of the first handler, the second finds its own missing."""
+    some = event(routing.APPROVAL, {
+        "partner": "acme", "unprocessable_claims_input_table": "t.un",
+        "processable_claims_input_table": "t.ok"})
+    row = event_outcomes(route_events(decode_events(raw_events(spark, some)))).first()
+    assert (row["outcome"], row["code"]) == ("bad_request", 400)
+    assert "excluded_savings_input_table" in row["reason"]
