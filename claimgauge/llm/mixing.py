@@ -32,6 +32,7 @@ SAMPLE_ROWS = 3_000
 LEXICON = 48
 STEPS = 40
 TOLERANCE = 1e-4
+CHAIN = 4
 PULL = 1e-3
 FEATURES = ("upper", "symbols", "digits", "word_length", "distinct", "lines", "size")
 
@@ -121,35 +122,37 @@ def train(featured: DataFrame, domains: list[str]) -> Softmax:
                    {d: float(model.interceptVector[i]) for i, d in enumerate(present)})
 
 
-def solve_rates(members: DataFrame, targets: dict[str, float], headroom: float = HEADROOM,
-                steps: int = STEPS, tolerance: float = TOLERANCE, pull: float = PULL) -> Column:
-    """Rate of a document as a column over ``members`` (``tokens`` and ``p_<domain>``).
+def with_rates(members: DataFrame, targets: dict[str, float], headroom: float = HEADROOM,
+               steps: int = STEPS, tolerance: float = TOLERANCE, pull: float = PULL) -> DataFrame:
+    """``members`` (``tokens`` and ``p_<domain>``) plus ``rate``, at least 0, rounded to 6 places.
 
-    Rates are at least 0 and rounded to 6 places. The budget is ``headroom`` times the
-    anchor's tokens over its target share. A domain without tokens cannot be met and is
-    left out; without any tokens all rates are 1.
+    The budget is ``headroom`` times the anchor's tokens over its target share. A domain
+    without tokens cannot be met and is left out; without any tokens all rates are 1.
+    Steps that follow from each other are one expression for ``CHAIN`` steps, then the
+    rates so far are written.
     """
     domains = list(targets)
-    tokens_of = lambda rate: [F.coalesce(F.sum(F.col("tokens") * rate * F.col(f"p_{d}")), F.lit(0.0))
-                              .alias(d) for d in domains]
-    mass = members.agg(*tokens_of(F.lit(1.0))).first()
+    state, rate = members.withColumn("rate", F.lit(1.0)), F.col("rate")
+    tokens_of = lambda r: [F.coalesce(F.sum(F.col("tokens") * r * F.col(f"p_{d}")), F.lit(0.0))
+                           .alias(d) for d in domains]
+    mass = have = state.agg(*tokens_of(rate)).first()
     anchor = domains[0]
     if not mass[anchor] or not targets[anchor]:
-        return F.lit(1.0)
+        return state
     budget = headroom * mass[anchor] / targets[anchor]
     real = [d for d in domains if mass[d] > 0]
-    pace = 1 / (1 + pull)
-    rate, last = F.lit(1.0), None
-    have = mass
-    for _ in range(steps):
+    pace, last = 1 / (1 + pull), None
+    for step in range(1, steps + 1):
         short = {d: (have[d] - targets[d] * budget) / mass[d] for d in real}
         if last is not None and max(abs(short[d] - last[d]) for d in real) < tolerance:
             break
         last = short
         push = sum((F.col(f"p_{d}") * float(x) for d, x in short.items()), F.lit(-pull))
         rate = F.greatest(F.lit(0.0), rate * (1 - pace * pull) - pace * push)
-        have = members.agg(*tokens_of(rate)).first()
-    return F.round(rate, 6)
+        if step % CHAIN == 0:
+            state, rate = written(state.withColumn("rate", rate), "mixing-rates"), F.col("rate")
+        have = state.agg(*tokens_of(rate)).first()
+    return state.withColumn("rate", F.round(rate, 6))
 
 
 def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None,
@@ -174,7 +177,7 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None =
         p.alias(f"p_{d}") for d, p in model.probabilities().items()])
     members = written(members, "mixing-members")
     draw = F.pmod(F.xxhash64(*ROW_KEY, F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
-    return (members.withColumn("rate", solve_rates(members, targets, headroom))
+    return (with_rates(members, targets, headroom)
             .withColumn("copies", F.floor(F.col("rate") + draw).cast("int")))
 
 
