@@ -92,9 +92,12 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     that differ).
 
     A pair has at least ``coverage`` of the item's windows, and slot values that agree:
-    wherever the item repeats a value, the document repeats its own. Items and documents
-    of fewer than ``window`` tokens, null and empty texts are in no pair. Items without id
-    still count. Rows alike in id and text give one pair. Empty tables give none.
+    wherever the item repeats a value, the document repeats its own. They are judged for
+    each offset that has ``coverage`` of the windows, or the most of any if an item is
+    scattered; of those that agree the one with most windows, then the first, is given.
+    Items and documents of fewer than ``window`` tokens, null and empty texts are in no
+    pair. Items without id still count. Rows alike in id and text give one pair. Empty
+    tables give none.
     """
     items = _item_templates(benchmark, window)
     places = items.select("item_id", "item_hash", "item_tokens", F.posexplode(windows_of(
@@ -124,19 +127,22 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, window: int = WIND
               .agg(F.count("*").alias("matched")))
     lines = met.groupBy(*pair, "offset").agg(F.count("*").alias("n"), F.array_distinct(
         F.flatten(F.collect_list("values"))).alias("slots"))
-    best = lines.groupBy(*pair).agg(F.max(F.struct(
-        "n", (-F.col("offset")).alias("back"), "slots")).alias("best"))
+    kinds = F.array_distinct(F.transform("slots", lambda s: F.struct(s["item"], s["doc"])))
+    agree = F.size(kinds) == F.size(F.array_distinct(F.transform("slots", lambda s: s["item"])))
+    # Each offset is judged by itself: a torn variant does not hide the item behind it.
+    best = lines.groupBy(*pair).agg(F.max("n").alias("most"), F.max(F.when(agree, F.struct(
+        "n", (-F.col("offset")).alias("back"), "slots"))).alias("best"))
     same_pair = lambda a, b: (same_row(a, b) & a["item_id"].eqNullSafe(b["item_id"])
                               & (a["item_hash"] == b["item_hash"]))
     aligned = enough.join(best, same_pair(enough, best)).select(
-        *[enough[c] for c in pair], "matched", "best")
+        *[enough[c] for c in pair], "matched", "most", "best")
     known = aligned.join(items, aligned["item_id"].eqNullSafe(items["item_id"])
                          & (aligned["item_hash"] == items["item_hash"])).select(
         *[aligned[c] for c in pair], "windows", "matched", (-F.col("best.back")).alias("offset"),
-        F.col("best.slots").alias("pairs"))
-    kinds = F.array_distinct(F.transform("pairs", lambda s: F.struct(s["item"], s["doc"])))
-    agree = F.size(kinds) == F.size(F.array_distinct(F.transform("pairs", lambda s: s["item"])))
-    return known.where((F.col("matched") >= coverage * F.col("windows")) & agree).select(
+        "most", F.col("best.n").alias("n"), F.col("best.slots").alias("pairs"))
+    least = coverage * F.col("windows")
+    judged = (F.col("n") >= least) | (F.col("n") == F.col("most"))
+    return known.where((F.col("matched") >= least) & judged).select(
         *pair, "windows", "matched", "offset", F.size("pairs").alias("slots"),
         F.size(F.filter("pairs", lambda s: s["item"] != s["doc"])).alias("changed"))
 

@@ -35,6 +35,19 @@ def test_changed_parameters_are_caught_if_consistent(spark):
     assert found[1, 0]["changed"] == 4 and found[1, 0]["slots"] == found[0, 0]["slots"]
 
 
+def test_torn_variant_does_not_hide_the_item_behind_it(spark):
+    torn = QUESTION.replace("12", "17", 1)
+    changed = QUESTION.replace("12", "17").replace("Tom", "Jane")
+    cut = changed.rsplit(" How", 1)[0]                            # fewer windows than the torn one
+    split = QUESTION.replace("Each", "or so. Each")               # no offset has all windows
+    texts = [f"{torn} {QUESTION}", f"{torn} then {changed}", f"{torn} {torn} {cut}", f"{torn} {torn}", split]
+    found = pairs(spark, texts)
+    assert set(found) == {(0, 0), (1, 0), (2, 0), (4, 0)}
+    assert [found[i, 0]["offset"] for i in (0, 1, 2)] == [
+        len(t.split()) for t in (torn, torn + " then", torn + torn + " x")]
+    assert found[0, 0]["changed"] == 0 and found[1, 0]["changed"] == 3
+
+
 def test_case_marks_and_place_do_not_hide_an_item(spark):
     loud = " ".join(w.upper() + "!!" for w in QUESTION.replace("Tom", "he").split())
     found = pairs(spark, [loud, "x " * 3000 + QUESTION + " y" * 3000],
