@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimgauge.llm import (decontamination, host_quality, language, line_quality, mixing,
-                            sharding, simhash, surrogates, toxicity, url_rules)
+from claimgauge.llm import (decontamination, exact_copies, host_quality, language, line_quality,
+                            mixing, sharding, simhash, surrogates, toxicity, url_rules)
 from claimgauge.llm.common import held_out, table
 
 
@@ -79,10 +79,15 @@ def op10_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score", (F.col("score") >= line_quality.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op13_tree_merge_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_copies.exact_groups(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
+
+
 QUERIES = {query.__name__: query for query in (
     op1_histogram_sharding, op2_ppm_language, op3_url_rules, op4_template_decontamination,
     op5_factorization_toxicity, op6_pii_surrogates, op7_simhash_components, op8_host_quality, op9_soft_mixing,
-    op10_line_quality)}
+    op10_line_quality, op13_tree_merge_dedup)}
 
 #: SQL of the queries above that SQL can express. The others rest on trained models, XXH64
 #: or iterated graphs; tests/llm holds them against brute force or held-out labels.
@@ -127,4 +132,12 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   f1 + f2 > 0 AS base_failed,
   f1 + f2 = 0 AND NOT EXISTS (
     SELECT 1 FROM bad WHERE bad.source IS NOT DISTINCT FROM f.source) AS kept
-FROM f"""}
+FROM f""",
+    "op13_tree_merge_dedup": r"""
+WITH d AS (
+  SELECT doc_id, length(coalesce(text, '')) AS points,
+    sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256 FROM documents)
+SELECT doc_id, first_value(doc_id) OVER best AS keep_id,
+  count(*) OVER (PARTITION BY text_sha256) AS group_size, row_number() OVER best = 1 AS kept, text_sha256
+FROM d
+WINDOW best AS (PARTITION BY text_sha256 ORDER BY points DESC, doc_id NULLS LAST)"""}
