@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimgauge.llm import (decontamination, exact_copies, host_quality, language, line_quality,
-                            mixing, sharding, simhash, surrogates, toxicity, url_rules)
+from claimgauge.llm import (conversation_trie, decontamination, exact_copies, host_quality, language,
+                            line_quality, mixing, periodic_runs, sharding, simhash, surrogates,
+                            toxicity, url_rules)
 from claimgauge.llm.common import held_out, table
 
 
@@ -79,6 +80,28 @@ def op10_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score", (F.col("score") >= line_quality.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", periodic_runs.planted(F.col("text"), F.col("doc_id")).alias("text"))
+    best = F.col("best")
+    lines = F.transform("runs", lambda r: F.concat_ws(
+        ",", *[r[name].cast("string") for name in ("start", "length", "period")]))
+    return (periodic_runs.with_runs(docs).withColumn("best", periodic_runs.strongest(F.col("runs")))
+            .select("doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"),
+                    best["length"].alias("length"), best["period"].alias("period"),
+                    F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+                    F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""),
+                           256).alias("runs_sha256"),
+                    F.sha2("collapsed", 256).alias("collapsed_sha256")))
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    nodes = conversation_trie.trie_nodes(
+        conversation_trie.rebuilt(conversation_trie.gathered(conversations)))
+    return nodes.select(*[F.col(c) if c == "ends_sha256" else F.col(c).cast("long") for c in nodes.columns])
+
+
 def op13_tree_merge_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_copies.exact_groups(table(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
@@ -87,7 +110,8 @@ def op13_tree_merge_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {query.__name__: query for query in (
     op1_histogram_sharding, op2_ppm_language, op3_url_rules, op4_template_decontamination,
     op5_factorization_toxicity, op6_pii_surrogates, op7_simhash_components, op8_host_quality, op9_soft_mixing,
-    op10_line_quality, op13_tree_merge_dedup)}
+    op10_line_quality, op11_periodic_runs, op12_conversation_trie,
+    op13_tree_merge_dedup)}
 
 #: SQL of the queries above that SQL can express. The others rest on trained models, XXH64
 #: or iterated graphs; tests/llm holds them against brute force or held-out labels.
@@ -133,6 +157,39 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   f1 + f2 = 0 AND NOT EXISTS (
     SELECT 1 FROM bad WHERE bad.source IS NOT DISTINCT FROM f.source) AS kept
 FROM f""",
+    "op12_conversation_trie": r"""
+WITH own AS (
+  SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')}
+    ORDER BY turn NULLS FIRST, coalesce(role, '')) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+-- CRC-32 of the decimal id, bit by bit
+crc AS (
+  SELECT conv_id, turns, xor(4294967295, list_reduce(
+    list_concat([4294967295::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+      lambda k, z: CASE WHEN k & 1 = 1 THEN xor(k >> 1, 3988292384) ELSE k >> 1 END))) % 4 AS h
+  FROM own),
+seq AS (
+  SELECT a.conv_id, list_concat(coalesce(b.turns[1:a.h], []), a.turns[a.h + 1:]) AS turns
+  FROM crc a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 20),
+node AS (
+  SELECT turns[1:depth] AS path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(turns) = depth), '') AS ends
+  FROM (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS depth FROM seq) GROUP BY 1, 2),
+kids AS (SELECT path[1:depth - 1] AS path, count(*) AS n_children FROM node WHERE depth > 0 GROUP BY 1),
+full_node AS (
+  SELECT node.*, coalesce(n_children, 0) AS n_children,
+    CASE WHEN depth = 0 THEN 0
+      ELSE len(regexp_extract_all(path[depth].text, '[^\x20\x09-\x0D]+')) END AS words
+  FROM node LEFT JOIN kids USING (path)),
+under AS (
+  SELECT path[1:d] AS path, sum((n_convs - 1) * words)::BIGINT AS saved_tokens,
+    sum((n_children = 0)::INT)::BIGINT AS n_leaves
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM full_node) GROUP BY 1)
+SELECT f.conv_id, f.depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves, saved_tokens,
+  sha256(f.ends) AS ends_sha256
+FROM full_node f JOIN under u ON u.path = f.path
+LEFT JOIN node p ON f.depth > 0 AND p.depth = f.depth - 1 AND p.path = f.path[1:f.depth - 1]""",
     "op13_tree_merge_dedup": r"""
 WITH d AS (
   SELECT doc_id, length(coalesce(text, '')) AS points,
