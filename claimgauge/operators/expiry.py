@@ -51,7 +51,7 @@ def expired_validation_total_by_run(runs: DataFrame, validation: DataFrame,
     """
     start = F.col("as_of") - F.make_dt_interval(days=F.lit(days))
     windows = Windows.of(
-        runs.select(*dict.fromkeys([*keys, *lookup]), "as_of", start.alias("lo"),
+        runs.select(*dict.fromkeys([*keys, *lookup, "as_of"]), start.alias("lo"),
                     F.col("as_of").alias("hi")), keys, lookup, days)
 
     def bucket(ts: Column) -> Column:

@@ -336,8 +336,9 @@ def qualify(table_ref: Column, default_namespace: str) -> Column:
 def check_tables(routed: DataFrame, manifest: DataFrame, default_namespace: str) -> DataFrame:
     """Qualify table names, mark which tables exist and apply the missing-table rules.
 
-    ``manifest`` lists the existing tables (``table_ref``). Only a reference's own
-    (event, table) pairs are shuffled; the events come back by ``event_id``.
+    ``manifest`` lists the existing tables (``table_ref``), and may say in which ``part`` of a
+    store each lies; references are given that part. Only a reference's own (event, table)
+    pairs are shuffled; the events come back by ``event_id``.
     """
     full = routed.withColumn("handlers", F.transform("handlers", lambda h: h.withField(
         "refs", F.transform(h["refs"], lambda r: r.withField(
@@ -345,12 +346,16 @@ def check_tables(routed: DataFrame, manifest: DataFrame, default_namespace: str)
     wanted = full.select("event_id", F.explode(F.array_distinct(F.flatten(F.transform(
         "handlers", lambda h: F.transform(h["refs"], lambda r: r["table_ref"]))))
     ).alias("table_ref"))
-    found = wanted.join(manifest.select("table_ref").distinct(), "table_ref", "left_semi")
-    present = found.groupBy("event_id").agg(F.collect_set("table_ref").alias("_present"))
+    part = F.col("part") if "part" in manifest.columns else F.lit("")
+    listed = manifest.groupBy("table_ref").agg(F.max(part).alias("part"))
+    found = wanted.join(listed, "table_ref")
+    present = found.groupBy("event_id").agg(F.map_from_entries(F.collect_list(
+        F.struct("table_ref", "part"))).alias("_present"))
 
     def applied(handler: Column) -> Column:
-        refs = F.transform(handler["refs"], lambda r: r.withField(
-            "present", F.array_contains(F.col("_present"), r["table_ref"])))
+        at = F.transform(handler["refs"], lambda r: r.withField(
+            "part", F.try_element_at("_present", r["table_ref"])))
+        refs = F.transform(at, lambda r: r.withField("present", r["part"].isNotNull()))
         lost = F.filter(refs, lambda r: ~r["present"] & (r["on_missing"] != TOLERATE))
         first = F.try_element_at(lost, F.lit(1))
         return (handler.withField("refs", refs)
@@ -360,6 +365,6 @@ def check_tables(routed: DataFrame, manifest: DataFrame, default_namespace: str)
 
     return (
         full.join(present, "event_id", "left")
-        .withColumn("_present", F.coalesce("_present", F.array().cast("array<string>")))
+        .withColumn("_present", F.coalesce("_present", F.create_map().cast("map<string,string>")))
         .withColumn("handlers", F.transform("handlers", applied)).drop("_present")
     )

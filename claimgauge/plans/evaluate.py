@@ -55,6 +55,12 @@ def _set_of(*roles: str) -> Column:
     return F.md5(F.concat_ws("|", *[F.coalesce(_ref(r), F.lit("")) for r in roles]))
 
 
+def _named_by(rows: DataFrame) -> list[str]:
+    """What tells the tables of a frame apart: their names, and in a store their parts, by
+    which a scan is pruned."""
+    return [c for c in ("part", "table_ref") if c in rows.columns]
+
+
 class Evaluation:
     """Metrics of one batch of events. Each method gives the points of one family.
 
@@ -94,16 +100,18 @@ class Evaluation:
     def _bind(self, rows: DataFrame, runs: DataFrame, key: str, roles: Iterable[str],
               columns: Iterable[str]) -> DataFrame:
         """Rows of the tables in the given roles, with the ``key`` of their runs."""
+        on = _named_by(rows)
         links = runs.select(key, F.inline("refs")).where(F.col("role").isin(*roles)).select(
-            key, "role", "table_ref").distinct()
-        return linked(rows.select("table_ref", *columns), links, ["table_ref"],
-                      self._small(roles, True)).drop("table_ref", "role")
+            key, "role", *on).distinct()
+        return linked(rows.select(*on, *columns), links, on,
+                      self._small(roles, True)).drop(*on, "role")
 
     def _per_table(self, rows: DataFrame, runs: DataFrame, roles: Iterable[str]) -> DataFrame:
         """Rows of the tables that any run names in these roles."""
+        on = _named_by(rows)
         wanted = runs.select(F.inline("refs")).where(F.col("role").isin(*roles)).select(
-            "table_ref").distinct()
-        return linked(rows, wanted, ["table_ref"], self._small(roles, False), "left_semi")
+            *on).distinct()
+        return linked(rows, wanted, on, self._small(roles, False), "left_semi")
 
     def _points(self, frame: DataFrame, values: dict, **label_columns) -> DataFrame:
         return to_points(frame, values, {"partner": F.col("partner"), **label_columns},
@@ -166,17 +174,26 @@ class Evaluation:
         return self._points(done, {names.SELECTED_VALUE: "total_saving"},
                             agent_id=label_text(F.col("agent_id")), source="selected_savings")
 
+    @cached_property
+    def _asked(self) -> DataFrame:
+        """Events whose batch is compared with history, each with its question: the tables it
+        names and its day. Events that ask the same share one answer."""
+        roles = ["processable", "unprocessable", *_HISTORY]
+        runs = self._of(*_ENTITY_METRICS).where(_present(_HISTORY[0]) & _present(_HISTORY[1]))
+        question = F.md5(F.concat_ws("|", F.col("as_of_day").cast("string"), *[
+            F.coalesce(_ref(r), F.lit("")) for r in roles]))
+        return runs.withColumn("question", question)
+
     @cached_property
     def _compared(self) -> DataFrame:
-        """Events whose batch is compared with history, once for all four metrics."""
-        runs = self._of(*_ENTITY_METRICS).where(
-            _present(_HISTORY[0]) & _present(_HISTORY[1]))
-        return runs.select("event_id", "as_of", "as_of_day", "refs", _set_of(*_HISTORY).alias("history_set")
-                           ).distinct()
+        """The distinct questions, once for all four metrics."""
+        return self._asked.select("question", "as_of_day", "refs",
+                                  _set_of(*_HISTORY).alias("history_set")).distinct()
 
     @cached_property
     def _entity_spine(self) -> Spine:
-        return Spine.of(self._compared.drop("refs"), ["event_id"], ["history_set"])
+        return Spine.of(self._compared.drop("refs"), ["question"], ["history_set"],
+                        "as_of_day", "as_of_day")
 
     @cached_property
     def _items_fit(self) -> bool:
@@ -189,14 +206,14 @@ class Evaluation:
                   **more) -> DataFrame:
         """Events with both history tables are compared; without, all counts as new."""
         claims, compared = self.tables.claims, self._compared
-        batch = self._bind(claims, compared, "event_id", ["processable", "unprocessable"],
+        batch = self._bind(claims, compared, "question", ["processable", "unprocessable"],
                            ["item_id", entity])
         past = self._bind(claims, compared, "history_set", _HISTORY,
                           ["item_id", entity, "created_at"])
-        found = operator(self._entity_spine, batch, past, entity, **more).select("event_id", value)
-        both = _present(_HISTORY[0]) & _present(_HISTORY[1])
-        done = self._of(metric).join(found, "event_id", "left").withColumn(
-            value, F.when(both, F.col(value)).otherwise(F.lit(1.0)))
+        found = operator(self._entity_spine, batch, past, entity, **more).select("question", value)
+        events = self._asked.where(F.col("metric") == metric).join(found, "question", "left")
+        alone = self._of(metric).where(~(_present(_HISTORY[0]) & _present(_HISTORY[1])))
+        done = events.drop("question").unionByName(alone.withColumn(value, F.lit(1.0)))
         return self._points(done, {name: value}, approved=F.col("approved"))
 
     def new_providers(self) -> DataFrame:
@@ -219,22 +236,25 @@ class Evaluation:
 
     @cached_property
     def _submissions(self) -> DataFrame:
-        """Submission events with all tables their metrics read, as one set."""
+        """Submission events with all tables their metrics read, as one set, and their
+        question: tables, submission run and time. Events that ask the same share one answer."""
         theirs = F.filter("handlers", lambda h: h["metric"].isin(_SUBMISSION_METRICS)
                           & h["error"].isNull())
         refs = F.array_distinct(F.flatten(F.transform(theirs, lambda h: h["refs"])))
         runs = self.routed.where(F.size(theirs) > 0).select(
             "event_id", "as_of", "submission_run_id", refs.alias("refs"))
-        return runs.withColumn("table_set", F.md5(F.to_json("refs")))
+        runs = runs.withColumn("table_set", F.md5(F.to_json("refs")))
+        return runs.withColumn("question", F.md5(F.concat_ws(
+            "|", "table_set", "submission_run_id", F.col("as_of").cast("string"))))
 
     @cached_property
     def _windows(self) -> Windows:
-        """Their windows, found once for all four metrics."""
-        spans = anchored_windows(self._submissions.drop("refs"),
-                                 self._sent("submission_run_id", "ingested_at"),
+        """The windows of the distinct questions, found once for all four metrics."""
+        asked = self._submissions.select("question", "table_set", "submission_run_id", "as_of").distinct()
+        spans = anchored_windows(asked, self._sent("submission_run_id", "ingested_at"),
                                  ["table_set", "submission_run_id"])
-        return Windows.of(spans.select("event_id", "table_set", "lo", "hi"),
-                          ["event_id", "table_set"], ["table_set"])
+        return Windows.of(spans.select("question", "table_set", "lo", "hi"),
+                          ["question", "table_set"], ["table_set"])
 
     def _set_rows(self, rows: DataFrame, roles: list[str], *columns: str) -> DataFrame:
         return self._bind(rows, self._submissions, "table_set", roles, columns)
@@ -248,7 +268,9 @@ class Evaluation:
 
     def _submission_points(self, metric: str, result: DataFrame, values: dict,
                            **label_columns) -> DataFrame:
-        done = self._of(metric).drop("status").join(result.drop("table_set"), "event_id")
+        done = (self._of(metric).drop("status")
+                .join(self._submissions.select("event_id", "question"), "event_id")
+                .join(result.drop("table_set"), "question"))
         return self._points(done, values, **label_columns)
 
     def sent_over_received(self) -> DataFrame:
@@ -286,11 +308,10 @@ class Evaluation:
         runs = self._of("expired").withColumn("table_set", F.md5(F.to_json("refs")))
         checked = self._bind(self.tables.validation, runs, "table_set", _VALIDATION,
                              ["status", "saving_value", "ingested_at", "updated_at"])
+        on = ["table_set", "as_of"]
         result = expiry.expired_validation_total_by_run(
-            runs.select("event_id", "table_set", "as_of"), checked,
-            ["event_id", "table_set"], ["table_set"])
-        return self._points(runs.join(result.drop("table_set"), "event_id"),
-                            {names.EXPIRED_TOTAL: "expired_saving"})
+            runs.select(*on).distinct(), checked, on, ["table_set"])
+        return self._points(runs.join(result, on), {names.EXPIRED_TOTAL: "expired_saving"})
 
     # ---- failures ----------------------------------------------------------------
 

@@ -85,32 +85,47 @@ def _counts(*columns: str) -> str:
       SELECT *, status AS pipeline_status {_COUNTED}) GROUP BY {listed}""")
 
 
+# the first table that the first refusing handler of a pipeline misses in one event of thirteen
+_LACKING = """CASE e.which WHEN 0 THEN 'unprocessable_claims_input_table'
+  WHEN 1 THEN 'refined_unprocessable_claims_output_table' WHEN 2 THEN 'savings_input_table'
+  WHEN 4 THEN 'manual_validation_output_table'
+  WHEN 5 THEN 'manual_validation.manual_validation_claims_input_table' END"""
+
 _VISIBLE = "decoding = 'decoded' AND NOT no_payload"
 
 # ---- whole evaluations -------------------------------------------------------------
 
+# every event is a run; those of one pipeline, partner and day ask the same and are worked
+# out once, under the least of their ids
 RUNS = f"""runs AS (
-  SELECT MIN(event_id) AS event_id, event_id % 7 AS which, r_name AS partner,
-    CAST(ts AS DATE) - INTERVAL {SHIFT_DAYS} DAY + INTERVAL 10 MINUTE AS as_of
-  FROM events JOIN region ON r_regionkey = user_id % 5 WHERE event_id % 7 < 6
-  GROUP BY event_id % 7, r_name, CAST(ts AS DATE))"""
+  SELECT *, MIN(event_id) OVER (PARTITION BY which, partner, as_of) AS rep FROM (
+    SELECT event_id, event_id % 7 AS which, r_name AS partner,
+      CAST(ts AS DATE) - INTERVAL {SHIFT_DAYS} DAY + INTERVAL 10 MINUTE AS as_of
+    FROM events JOIN region ON r_regionkey = user_id % 5))"""
 
 
-def _runs(which: int) -> str:
-    return f"r AS (SELECT *, day(as_of) AS dd FROM runs WHERE which = {which})"
+def _runs(*which: int) -> str:
+    listed = ", ".join(map(str, which))
+    return f"""r AS (SELECT rep AS event_id, which, partner, as_of, day(as_of) AS dd, day(as_of) % 7 AS m
+  FROM runs WHERE which IN ({listed}) AND event_id = rep)"""
 
 
 def _point(metric: str, value: str, rows: str, **labels: str) -> str:
     shown = {"partner": "r.partner", "approved": "NULL", "agent_id": "NULL", "status": "NULL",
              "source": "NULL", **labels}
     listed = ", ".join(f"CAST({v} AS VARCHAR) AS {k}" for k, v in shown.items())
-    return f"""SELECT CAST(r.event_id AS VARCHAR) AS event_id, '{metric}' AS metric_name,
+    return f"""SELECT r.event_id AS rep, '{metric}' AS metric_name,
   CAST({value} AS DOUBLE) AS value, {listed} FROM {rows}"""
 
 
-def _all(which: int, ctes: list[str], points: list[str]) -> str:
-    head = "WITH " + ",\n".join([CLAIMS, RUNS, _runs(which), *ctes])
-    return head + "\n" + "\nUNION ALL\n".join(points)
+def _all(which: int | tuple[int, ...], ctes: list[str], points: list[str]) -> str:
+    which = which if isinstance(which, tuple) else (which,)
+    head = "WITH " + ",\n".join([CLAIMS, RUNS, _runs(*which), *ctes])
+    asked = "\nUNION ALL\n".join(points)
+    return f"""{head},
+asked AS ({asked})
+SELECT CAST(runs.event_id AS VARCHAR) AS event_id, asked.* EXCLUDE (rep)
+FROM asked JOIN runs ON runs.rep = asked.rep"""
 
 
 _BATCH = "claims c ON c.partner = r.partner AND day(c.ts) = r.dd"
@@ -135,21 +150,22 @@ def _paid_points(approved: str) -> list[str]:
     ]
 
 
-def _entity_ctes(entity: str) -> list[str]:
+def _entity_ctes(entity: str, batch: str = f"r JOIN {_BATCH}", known: str = "TRUE") -> list[str]:
+    """``known`` says whose history has rows."""
     day = "CAST(r.as_of AS DATE)"
-    past = "r JOIN claims h ON h.partner = r.partner"
+    past = f"r JOIN claims h ON h.partner = r.partner AND {known}"
     name = entity.split("_")[0]
     return [
         f"""{name}_batch AS (SELECT DISTINCT r.event_id, c.{entity} AS entity
-  FROM r JOIN {_BATCH})""",
+  FROM {batch})""",
         f"""{name}_known AS (SELECT DISTINCT r.event_id, h.{entity} AS entity FROM {past}
   WHERE h.ts >= {day} - INTERVAL 90 DAY AND NOT EXISTS (SELECT 1 FROM items i
     WHERE i.event_id = r.event_id AND i.item_id = h.item_id))""",
-        f"""{name}_new AS (SELECT r.event_id, r.partner, r.has_history, COUNT(b.entity) AS n,
+        f"""{name}_new AS (SELECT r.event_id, r.partner, r.approved, r.has_history, COUNT(b.entity) AS n,
   COUNT(CASE WHEN k.entity IS NULL THEN b.entity END) AS fresh
   FROM whole r LEFT JOIN {name}_batch b ON b.event_id = r.event_id
   LEFT JOIN {name}_known k ON k.event_id = r.event_id AND k.entity = b.entity
-  GROUP BY r.event_id, r.partner, r.has_history)""",
+  GROUP BY r.event_id, r.partner, r.approved, r.has_history)""",
         f"""{name}_latest AS (SELECT event_id, COUNT(*) AS n FROM (
   SELECT event_id, entity FROM {name}_batch UNION
   SELECT r.event_id, h.{entity} FROM {past} WHERE h.ts >= {day} - INTERVAL 30 DAY)
@@ -161,20 +177,21 @@ def _entity_ctes(entity: str) -> list[str]:
 
 
 # a run's batch tables exist if they have rows; without both, the run is refused
-WHOLE = f"""whole AS (SELECT r.event_id, r.partner, TRUE AS has_history
-  FROM r JOIN {_BATCH} GROUP BY r.event_id, r.partner
+_APPROVED = "CASE r.which WHEN 0 THEN 'true' ELSE 'false' END"
+WHOLE = f"""whole AS (SELECT r.event_id, r.partner, {_APPROVED} AS approved, TRUE AS has_history
+  FROM r JOIN {_BATCH} GROUP BY r.event_id, r.partner, r.which
   HAVING COUNT(CASE WHEN c.processable THEN 1 END) > 0
     AND COUNT(CASE WHEN NOT c.processable THEN 1 END) > 0)"""
 ITEMS = f"items AS (SELECT DISTINCT r.event_id, c.item_id FROM r JOIN {_BATCH})"
 
 
-def _entity_points(name: str, label: str, approved: str) -> list[str]:
-    a = {"approved": f"'{approved}'"}
+def _entity_points(name: str, label: str) -> list[str]:
+    a = {"approved": "r.approved"}
     return [
-        _point(f"claims/pipeline/{label}/new_pct_last_3_mo",
-               "CASE WHEN n > 0 THEN CAST(fresh AS DOUBLE) / n ELSE 0 END", f"{name}_new r", **a),
+        _point(f"claims/pipeline/{label}/new_pct_last_3_mo", "CASE WHEN NOT has_history THEN 1 "
+               "WHEN n > 0 THEN CAST(fresh AS DOUBLE) / n ELSE 0 END", f"{name}_new r", **a),
         _point(f"claims/pipeline/{label}/volume_ratio_last_1_mo",
-               "CASE WHEN COALESCE(b.n, 0) = 0 THEN 1 ELSE CAST(COALESCE(l.n, 0) AS DOUBLE) / b.n "
+               "CASE WHEN NOT has_history OR COALESCE(b.n, 0) = 0 THEN 1 ELSE CAST(COALESCE(l.n, 0) AS DOUBLE) / b.n "
                "END", f"whole r LEFT JOIN {name}_latest l ON l.event_id = r.event_id "
                f"LEFT JOIN {name}_before b ON b.event_id = r.event_id", **a),
     ]
@@ -303,11 +320,115 @@ _EXPIRED = """lost AS (SELECT r.event_id, r.partner, COALESCE(SUM(c.saving_value
 
 def _claims_pipeline(which: int, approved: str) -> tuple[list[str], list[str]]:
     ctes = [PAID, ITEMS, WHOLE, *_entity_ctes("provider_id"), *_entity_ctes("member_id")]
-    points = [*_paid_points(approved), *_entity_points("provider", "providers", approved),
-              *_entity_points("member", "beneficiaries", approved)]
+    points = [*_paid_points(approved), *_entity_points("provider", "providers"),
+              *_entity_points("member", "beneficiaries")]
     return ctes, points
 
 
+# ---- missing and empty tables --------------------------------------------------------
+
+# tables of a batch by day of the month modulo seven: first missing, then empty
+_GAP = {"unprocessable": (0, 4), "processable": (1, 5), "excluded": (2, 6), "savings": (3, 0),
+        "selected": (4, 1)}
+
+
+def _filled(role: str) -> str:
+    return "m NOT IN ({}, {})".format(*_GAP[role])
+
+
+def _there(role: str) -> str:
+    return f"m <> {_GAP[role][0]}"
+
+
+_GAP_ROWS = f"""gap_rows AS (SELECT r.event_id, c.item_id, c.provider_id, c.member_id, c.paid_value,
+    c.processable
+  FROM r JOIN {_BATCH} WHERE r.which IN (0, 1)
+    AND CASE WHEN c.processable THEN {_filled("processable")} ELSE {_filled("unprocessable")} END)"""
+_GAP_PAID = f"""gap_paid AS (SELECT r.event_id, r.partner, r.m, {_APPROVED} AS approved,
+  CAST(COALESCE(SUM(CASE WHEN c.processable THEN c.paid_value END), 0) AS DOUBLE) AS done,
+  CAST(COALESCE(SUM(CASE WHEN NOT c.processable THEN c.paid_value END), 0) AS DOUBLE) AS held
+  FROM r LEFT JOIN gap_rows c ON c.event_id = r.event_id WHERE r.which IN (0, 1)
+  GROUP BY r.event_id, r.partner, r.m, r.which)"""
+_GAP_WHOLE = f"""whole AS (SELECT event_id, partner, {_APPROVED} AS approved,
+    partner NOT IN ('AFRICA', 'ASIA') AS has_history
+  FROM r WHERE which IN (0, 1) AND {_there("processable")} AND {_there("unprocessable")})"""
+_GAP_ITEMS = "items AS (SELECT DISTINCT event_id, item_id FROM gap_rows)"
+_GAP_SAVED = f"""gap_saved AS (SELECT r.event_id, r.partner, {_APPROVED} AS approved,
+  CAST(COALESCE(SUM(CASE WHEN {_filled("savings")} THEN c.saving_value END), 0) AS DOUBLE) AS total,
+  CAST(COALESCE(SUM(CASE WHEN {_filled("excluded")} AND c.l_returnflag = 'R'
+    THEN c.saving_value END), 0) AS DOUBLE) AS cut
+  FROM r LEFT JOIN {_BATCH} WHERE r.which IN (0, 2) AND {_there("savings")}
+  GROUP BY r.event_id, r.partner, r.which)"""
+
+
+def _gap_agents(name: str, where: str) -> str:
+    return f"""{name} AS (SELECT r.event_id, r.partner, {_APPROVED} AS approved, c.agent_id,
+  CAST(COALESCE(SUM(c.saving_value), 0) AS DOUBLE) AS total, COUNT(*) AS n
+  FROM r JOIN {_BATCH} WHERE {where} GROUP BY r.event_id, r.partner, r.which, c.agent_id)"""
+
+
+_GAP_LOST = """gap_lost AS (SELECT r.event_id, r.partner, COALESCE(SUM(c.saving_value), 0) AS total
+  FROM r LEFT JOIN claims c ON c.partner = r.partner AND c.status = 'EXPIRED'
+    AND (c.processable OR c.partner <> 'EUROPE')
+    AND c.ts BETWEEN r.as_of - INTERVAL 2 DAY AND r.as_of
+    AND c.ts BETWEEN r.as_of - INTERVAL 30 MINUTE AND r.as_of
+  WHERE r.which = 5 AND r.partner <> 'ASIA' GROUP BY r.event_id, r.partner)"""
+
+
+def _gap_points() -> str:
+    a, both = {"approved": "r.approved"}, "r.done + r.held > 0"
+    pre, ok = "claims/pipeline/filtered_pre/paid_value", "claims/pipeline/processable/paid_value"
+    post = "claims/pipeline/filtered_post/saving_value"
+    agent = {**a, "agent_id": "agent_id"}
+    known = "r.partner NOT IN ('AFRICA', 'ASIA', 'EUROPE')"
+    batch = "r JOIN gap_rows c ON c.event_id = r.event_id"
+    return _all((0, 1, 2, 3, 5), [
+        _GAP_ROWS, _GAP_PAID, _GAP_WHOLE, _GAP_ITEMS, *_entity_ctes("provider_id", batch, known),
+        *_entity_ctes("member_id", batch, known), _GAP_SAVED, _GAP_LOST,
+        _gap_agents("gap_agents", f"r.which IN (0, 3) AND {_filled('savings')}"),
+        _gap_agents("chosen", f"r.which = 0 AND {_filled('selected')} AND c.l_suppkey % 3 = 0"),
+    ], [
+        _point(f"{pre}/total", "held", "gap_paid r", **a),
+        _point(f"{pre}/relative", f"CASE WHEN {both} THEN held / (done + held) ELSE 0 END",
+               f"gap_paid r WHERE {_there('processable')}", **a),
+        _point(f"{ok}/total", "done", "gap_paid r", **a),
+        _point(f"{ok}/relative", "done / (done + held)", f"gap_paid r WHERE {both}", **a),
+        *_entity_points("provider", "providers"), *_entity_points("member", "beneficiaries"),
+        _point(f"{post}/total", "cut", "gap_saved r", **a),
+        _point(f"{post}/relative", "CASE WHEN total > 0 THEN cut / total ELSE 0 END", "gap_saved r", **a),
+        _point("claims/pipeline/savings/saving_value", "total", "gap_agents r", **agent),
+        _point("claims/pipeline/savings/count", "n", "gap_agents r", **agent),
+        _SELECTED_POINT,
+        _point("claims/pipeline/validation/saving_value/expired/total", "total", "gap_lost r"),
+    ])
+
+
+_GAP_OUTCOMES = "WITH " + RUNS + """,
+judged AS (SELECT *, day(as_of) AS dd, CASE
+    WHEN which IN (0, 1) AND day(as_of) % 7 = 1 THEN 'processable'
+    WHEN which IN (0, 1) AND day(as_of) % 7 = 0 THEN 'unprocessable' END AS lost,
+  which IN (0, 2) AND day(as_of) % 7 = 3 OR which = 4 AND partner <> 'EUROPE'
+    OR which = 5 AND partner = 'ASIA' AS failed FROM runs)
+SELECT CAST(event_id AS VARCHAR) AS event_id, CASE WHEN lost IS NOT NULL THEN 'bad_request'
+    WHEN failed THEN 'internal_error' ELSE 'ok' END AS outcome,
+  CASE WHEN lost IS NOT NULL THEN 400 WHEN failed THEN 500 ELSE 204 END AS code,
+  'table not found: ' || CASE WHEN dd % 2 = 0 THEN 'default.' ELSE 'tmp.' END || lost || '_' || partner
+    || '_' || CAST(dd AS VARCHAR) AS reason
+FROM judged"""
+
+
+def _failed_family() -> str:
+    """The approval points without those of members, and a failure for each of these."""
+    ctes = [PAID, ITEMS, WHOLE, *_entity_ctes("provider_id"), SAVED, _agent_cte("agents"),
+            _agent_cte("chosen", "c.l_suppkey % 3 = 0")]
+    points = [*_paid_points("true"), *_entity_points("provider", "providers"), *_post_points("true"),
+              *_agent_points("true"), _SELECTED_POINT]
+    failed = [f"""SELECT event_id AS rep, 'handler_execution_failure' AS metric_name, CAST(1 AS DOUBLE)
+  AS value, NULL AS partner, NULL AS approved, NULL AS agent_id, NULL AS status, NULL AS source,
+  '{handler}/approval' AS handler_class FROM whole""" for handler in ("new_members", "member_ratio")]
+    return _all(0, ctes, [f"SELECT *, NULL AS handler_class FROM ({p})" for p in points] + failed)
+
+
 _approval_ctes, _approval_points = _claims_pipeline(0, "true")
 
 ORACLES = {
@@ -319,10 +440,13 @@ ORACLES = {
     "decode_quarantine": _with("SELECT event_id, decoding FROM e WHERE decoding <> 'decoded'"),
     "route_events": _with(
         "SELECT event_id, handler, metric, approved, error, tables FROM matched"),
-    "event_outcomes": _with("""SELECT event_id, outcome, CASE
+    "event_outcomes": _with(f"""SELECT event_id, outcome, CASE
         WHEN outcome IN ('undecodable', 'bad_request') THEN 400
-        WHEN outcome IN ('ok', 'unmatched') THEN 204 ELSE 500 END AS code
-      FROM (SELECT e.event_id, CASE WHEN decoding = 'undecodable' THEN 'undecodable'
+        WHEN outcome IN ('ok', 'unmatched') THEN 204 ELSE 500 END AS code,
+        CASE WHEN outcome = 'bad_request' THEN 'missing or malformed: ' || CASE
+          WHEN lacks_table AND lacking IS NOT NULL AND NOT (which = 5 AND no_partner)
+          THEN lacking ELSE 'partner' END END AS reason
+      FROM (SELECT e.*, {_LACKING} AS lacking, CASE WHEN decoding = 'undecodable' THEN 'undecodable'
         WHEN decoding = 'broken' THEN 'internal_error'
         WHEN no_payload THEN 'match_error'
         WHEN COALESCE(m.bad, 0) > 0 THEN 'bad_request'
@@ -362,8 +486,18 @@ ORACLES = {
                 "shared_rows r WHERE sent_status = 'SUBMITTED_SUCCESS'")]),
     "release_points": _all(5, [_EXPIRED], [
         _point("claims/pipeline/validation/saving_value/expired/total", "total", "lost r")]),
+    "table_policy_points": _gap_points(),
+    "table_policy_outcomes": _GAP_OUTCOMES,
+    "failed_family_points": _failed_family(),
+    "failure_points": _with("""SELECT event_id, CASE stage WHEN 'match' THEN 'handler_matcher_failure'
+        ELSE 'handler_execution_failure' END AS metric_name, CAST(1 AS DOUBLE) AS value,
+      handler AS handler_class FROM failed"""),
     "stream_run_counts": _counts(),
-    "stream_dedup": """SELECT event_type, COUNT(*) AS events, COUNT(DISTINCT event_id) AS ids
+    "stream_dedup": """SELECT event_type, COUNT(*) AS events, COUNT(DISTINCT event_id) AS ids,
+        COUNT(DISTINCT event_id % 3) AS batches
       FROM events GROUP BY event_type""",
 }
 ORACLES["stream_savings"] = ORACLES["evaluation_points"]
+_PIPELINES = ("approval", "wrangling", "selection", "evaluation", "submission", "release")
+ORACLES["event_mix_points"] = "\nUNION ALL\n".join(
+    f"SELECT * FROM ({ORACLES[f'{name}_points']})" for name in _PIPELINES)

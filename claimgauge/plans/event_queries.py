@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-from functools import partial
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimgauge import schemas
 from claimgauge.operators import routing, runs
-from claimgauge.plans.evaluate import Evaluation
+from claimgauge.plans import evaluate
+from claimgauge.plans.evaluate import Evaluation, Tables, write_families
 from claimgauge.session import scratch_dir
 from claimgauge.sinks.metrics import log_lines, to_points, write_points
 from claimgauge.sources import standin_events
-from claimgauge.sources.events import decode_events, quarantined
+from claimgauge.sources.events import decode_events, quarantined, stream_events
 from claimgauge.sources.standin import table
-from claimgauge.streaming.runs import Job, deduplicated, evaluate_batch
+from claimgauge.sources.store import TableStore
+from claimgauge.streaming.runs import Job, committed, start
 
 PROJECT = "test"
 
@@ -44,7 +47,7 @@ def route_events(spark, sf_dir) -> DataFrame:
 
 
 def event_outcomes(spark, sf_dir) -> DataFrame:
-    return routing.event_outcomes(_routed(spark, sf_dir)).select("event_id", "outcome", "code")
+    return routing.event_outcomes(_routed(spark, sf_dir))
 
 
 def failure_counts(spark, sf_dir) -> DataFrame:
@@ -76,88 +79,124 @@ def metric_log_json(spark, sf_dir) -> DataFrame:
 
 # ---- whole evaluations -----------------------------------------------------------
 
-def _flat(points: DataFrame) -> DataFrame:
+def _flat(points: DataFrame, *more: str) -> DataFrame:
     label = {k: F.try_element_at("labels", F.lit(k)).alias(k)
-             for k in ("partner", "approved", "agent_id", "status", "source")}
+             for k in ("partner", "approved", "agent_id", "status", "source", *more)}
     return points.select("event_id", "metric_name", "value", *label.values())
 
 
-def _evaluation(spark, sf_dir, pipeline: str) -> Evaluation:
-    events = standin_events.run_events(spark, sf_dir)
-    events = events.where(F.col("which") == standin_events.PIPELINES.index(pipeline))
-    tables, manifest = standin_events.run_tables(spark, sf_dir, pipeline)
-    routed = routing.route_events(decode_events(events))
-    return Evaluation(routing.check_tables(routed, manifest, "default"), tables, PROJECT)
+def _evaluation(spark, sf_dir, *pipelines: str, gaps: bool = False) -> Evaluation:
+    """The run events of some pipelines, out of all that come in, and the tables they read."""
+    routed = routing.route_events(decode_events(standin_events.run_events(spark, sf_dir)))
+    routed = routed.where(F.col("pipeline_uuid").isin(*pipelines))
+    shapes = sorted({shape for p in pipelines for shape in standin_events.READS[p]})
+    tables, manifest = standin_events.publish_run_tables(spark, sf_dir, shapes, gaps)
+    checked = routing.check_tables(routed, manifest, standin_events.NAMESPACE)
+    return Evaluation(checked, tables, PROJECT)
 
 
-def pipeline_points(spark, sf_dir, pipeline: str) -> DataFrame:
-    """All points of the runs of one pipeline, but for the run counts."""
-    points = _evaluation(spark, sf_dir, pipeline).all_points()
-    return _flat(points.where(F.col("metric_name") != "pipeline_run/count"))
+def pipeline_points(spark, sf_dir, *pipelines: str, gaps: bool = False) -> DataFrame:
+    """All points of the runs of some pipelines, but for the run counts."""
+    points = _evaluation(spark, sf_dir, *pipelines, gaps=gaps).all_points()
+    return _flat(points.where(~F.col("metric_name").isin(
+        schemas.RUN_COUNT, schemas.EXECUTION_FAILURE)))
+
+
+def table_policy_outcomes(spark, sf_dir) -> DataFrame:
+    """Outcomes, codes and refusals of all run events where tables are missing or empty."""
+    routed = routing.route_events(decode_events(standin_events.run_events(spark, sf_dir)))
+    _, manifest = standin_events.publish_run_tables(
+        spark, sf_dir, ("claims", "savings", "validation", "submitted"), gaps=True)
+    checked = routing.check_tables(routed, manifest, standin_events.NAMESPACE)
+    return routing.event_outcomes(checked)
+
+
+def failed_family_points(spark, sf_dir) -> DataFrame:
+    """Points of approval runs whose claims have members that cannot be read: the families
+    that need them leave failure points, all others their values."""
+    evaluation = _evaluation(spark, sf_dir, routing.APPROVAL)
+    broken = evaluation.tables.claims.withColumn("member_id", F.raise_error(
+        F.concat(F.lit("no members in "), F.col("table_ref"))).cast("bigint"))
+    evaluation.tables = replace(evaluation.tables, claims=broken)
+    out = scratch_dir(spark, "families")
+    write_families(evaluation, lambda points, family: write_points(points, out, family))
+    points = spark.read.schema(schemas.METRIC).parquet(out)
+    return _flat(points.where(F.col("metric_name") != schemas.RUN_COUNT), "handler_class")
+
+
+def failure_points(spark, sf_dir) -> DataFrame:
+    """The failure points of the noisy events; they are stamped with the time of evaluation."""
+    points = evaluate.failure_points(_routed(spark, sf_dir), PROJECT)
+    return points.select("event_id", "metric_name", "value", F.try_element_at(
+        "labels", F.lit("handler_class")).alias("handler_class"))
 
 
 # ---- streams ---------------------------------------------------------------------
 
-def _events_stream(spark, sf_dir) -> DataFrame:
-    schema = table(spark, sf_dir, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(
-        sf_dir)
+ARRIVALS = 3
 
 
-def _drain(stream: DataFrame, handle, checkpoint: str) -> None:
-    query = (stream.writeStream.foreachBatch(handle)
-             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    query.awaitTermination()
+def _arriving(events: DataFrame, arrival: int) -> DataFrame:
+    """What comes in at an arrival: a third of the events, so that the runs of a day come in
+    all of them, and again some of those that came before."""
+    n = F.col("event_id")
+    new = n % ARRIVALS == arrival
+    again = (n % ARRIVALS < arrival) & (n % 5 == 0)
+    return events.where(new | again)
 
 
-def stream_run_counts(spark, sf_dir) -> DataFrame:
-    """Events streamed in, decoded, routed and written as points per micro-batch."""
-    out = scratch_dir(spark, "stream-runs")
+def _streamed(spark, sf_dir, out: str, raw, job: Job) -> None:
+    """Run the job on arrivals of ``raw`` events, started anew for each of them."""
+    feed = f"{out}/feed"
+    for arrival in range(ARRIVALS):
+        events = _arriving(table(spark, sf_dir, "events"), arrival)
+        raw(events).write.mode("append").parquet(feed)
+        start(stream_events(spark, feed, "parquet"), job, f"{out}/checkpoint",
+              availableNow=True).awaitTermination()
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        routed = routing.route_events(decode_events(
-            standin_events.as_noisy_events(batch)))
-        bound = routing.bindings(routed).where(
-            (F.col("handler") == routing.RUN_COUNT_HANDLER) & F.col("error").isNull())
-        points = to_points(bound, {"pipeline_run/count": F.lit(1.0)}, {
-            "pipeline_uuid": F.col("pipeline_uuid"), "pipeline_status": F.col("status")}, PROJECT)
-        write_points(points, f"{out}/points/batch={batch_id}", "run_count")
 
-    _drain(_events_stream(spark, sf_dir), handle, f"{out}/checkpoint")
-    points = spark.read.parquet(f"{out}/points")
-    return points.groupBy(F.col("labels")["pipeline_uuid"].alias("pipeline_uuid"),
-                          F.col("labels")["pipeline_status"].alias("pipeline_status")
-                          ).agg(F.sum("value").alias("runs"))
+def _stream_of_noise(spark, sf_dir, purpose: str) -> str:
+    """Noisy events streamed in; gives the folder of what the job wrote."""
+    out = scratch_dir(spark, purpose)
+    store = TableStore(spark, f"{out}/tables")
+    none = Tables(*[store.rows(shape) for shape in ("claims", "savings", "validation", "submitted")])
+    job = Job(f"{out}/results", PROJECT, standin_events.NAMESPACE, lambda: none, store.manifest)
+    spread = spark.sparkContext.defaultParallelism
+    _streamed(spark, sf_dir, out, lambda events: standin_events.as_noisy_events(
+        events.repartition(spread, "event_id")), job)
+    return job.path
 
 
-def stream_dedup(spark, sf_dir) -> DataFrame:
-    """The event stream delivered twice; every event is kept once."""
-    out = scratch_dir(spark, "stream-dedup")
-    twice = _events_stream(spark, sf_dir).unionByName(_events_stream(spark, sf_dir))
+def stream_run_counts(spark, sf_dir) -> DataFrame:
+    """Run counts, from the committed points of three arrivals."""
+    points = committed(spark, _stream_of_noise(spark, sf_dir, "stream-runs"))
+    counted = points.where(F.col("metric_name") == schemas.RUN_COUNT)
+    return counted.groupBy(F.col("labels")["pipeline_uuid"].alias("pipeline_uuid"),
+                           F.col("labels")["pipeline_status"].alias("pipeline_status")
+                           ).agg(F.sum("value").alias("runs"))
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        batch.select("event_id", "event_type", "value").write.mode("overwrite").parquet(
-            f"{out}/events/batch={batch_id}")
 
-    _drain(deduplicated(twice), handle, f"{out}/checkpoint")
-    return spark.read.parquet(f"{out}/events").groupBy("event_type").agg(
-        F.count(F.lit(1)).alias("events"), F.count_distinct("event_id").alias("ids"))
+def stream_dedup(spark, sf_dir) -> DataFrame:
+    """Every event is taken up once, however often and late it comes."""
+    outcomes = committed(spark, _stream_of_noise(spark, sf_dir, "stream-dedup"), "outcomes")
+    kinds = table(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string").alias("event_id"), "event_type")
+    return outcomes.join(kinds, "event_id").groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("events"), F.count_distinct("event_id").alias("ids"),
+        F.count_distinct("batch").alias("batches"))
 
 
 def stream_savings(spark, sf_dir) -> DataFrame:
-    """Events streamed in and evaluated per micro-batch against the claim tables; the
-    savings points of evaluation runs are read back."""
+    """Run events streamed in and evaluated per micro-batch against the tables they name; the
+    committed savings points of evaluation runs are read back."""
     out = scratch_dir(spark, "stream-savings")
-    tables, manifest = standin_events.run_tables(spark, sf_dir, routing.EVALUATION)
-    job = Job(out, PROJECT, "default", lambda: tables, lambda: manifest)
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        events = standin_events.as_run_events(batch, table(spark, sf_dir, "region"))
-        chosen = standin_events.PIPELINES.index(routing.EVALUATION)
-        evaluate_batch(events.where(F.col("which") == chosen), batch_id, job)
-
-    _drain(_events_stream(spark, sf_dir), handle, f"{out}/checkpoint")
-    return _flat(spark.read.parquet(f"{out}/points").where(F.col("family") == "savings"))
+    tables, manifest = standin_events.publish_run_tables(
+        spark, sf_dir, standin_events.READS[routing.EVALUATION])
+    job = Job(f"{out}/results", PROJECT, standin_events.NAMESPACE, lambda: tables, lambda: manifest,
+              pipelines=(routing.EVALUATION,))
+    region = table(spark, sf_dir, "region")
+    _streamed(spark, sf_dir, out, lambda events: standin_events.as_run_events(events, region), job)
+    return _flat(committed(spark, job.path).where(F.col("family") == "savings"))
 
 
 QUERIES = {
@@ -170,12 +209,18 @@ QUERIES = {
     "failure_counts": failure_counts,
     "route_events": route_events,
     "metric_log_json": metric_log_json,
-    "approval_points": partial(pipeline_points, pipeline=routing.APPROVAL),
-    "wrangling_points": partial(pipeline_points, pipeline=routing.WRANGLING),
-    "selection_points": partial(pipeline_points, pipeline=routing.SELECTION),
-    "evaluation_points": partial(pipeline_points, pipeline=routing.EVALUATION),
-    "submission_points": partial(pipeline_points, pipeline=routing.SUBMISSION),
-    "release_points": partial(pipeline_points, pipeline=routing.RELEASE),
+    "approval_points": lambda s, d: pipeline_points(s, d, routing.APPROVAL),
+    "wrangling_points": lambda s, d: pipeline_points(s, d, routing.WRANGLING),
+    "selection_points": lambda s, d: pipeline_points(s, d, routing.SELECTION),
+    "evaluation_points": lambda s, d: pipeline_points(s, d, routing.EVALUATION),
+    "submission_points": lambda s, d: pipeline_points(s, d, routing.SUBMISSION),
+    "release_points": lambda s, d: pipeline_points(s, d, routing.RELEASE),
+    "event_mix_points": lambda s, d: pipeline_points(s, d, *standin_events.READS),
+    "table_policy_points": lambda s, d: pipeline_points(
+        s, d, *[p for p in standin_events.READS if p != routing.SUBMISSION], gaps=True),
+    "table_policy_outcomes": table_policy_outcomes,
+    "failed_family_points": failed_family_points,
+    "failure_points": failure_points,
     "stream_run_counts": stream_run_counts,
     "stream_dedup": stream_dedup,
     "stream_savings": stream_savings,

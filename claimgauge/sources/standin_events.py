@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from claimgauge.operators.routing import (
     APPROVAL,
@@ -17,12 +18,14 @@ from claimgauge.operators.routing import (
     WRANGLING,
 )
 from claimgauge.plans.evaluate import Tables
-from claimgauge.schemas import CLAIMS, COMPLETED, SAVINGS, SUBMITTED, VALIDATION
+from claimgauge.schemas import COMPLETED
 from claimgauge.session import scratch_dir
 from claimgauge.sources import standin
 from claimgauge.sources.standin import table
-from claimgauge.sources.tables import manifest_of
+from claimgauge.sources.store import SHAPES, TableStore
 
+# The namespace of tables that events name without one.
+NAMESPACE = "default"
 PIPELINES = [APPROVAL, WRANGLING, SELECTION, EVALUATION, SUBMISSION, RELEASE, "other_pipeline"]
 STATUSES = {"purchase": COMPLETED, "view": COMPLETED, "click": "RUNNING", "signup": "INITIAL",
             "error": "FAILED"}
@@ -103,27 +106,32 @@ def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_run_events(table(spark, sf_dir, "events"), table(spark, sf_dir, "region"))
 
 
+def _namespace(day: Column) -> Column:
+    """Where the batch tables of a day of the month are: events name those of even days
+    without a namespace."""
+    return F.when(day % 2 == 0, F.lit(f"{NAMESPACE}.")).otherwise(F.lit("tmp."))
+
+
 def as_run_events(events: DataFrame, region: DataFrame) -> DataFrame:
-    """One completed run per partner, day and pipeline that has events, moved to June
-    2001, as raw run events naming the tables of :func:`run_tables`."""
-    rows = events.where(F.col("event_id") % 7 < 6).select(
-        "event_id", (F.col("user_id") % 5).cast("int").alias("r_regionkey"),
+    """Every row of ``events`` as the raw event of a completed run of one of the pipelines,
+    moved to June 2001 and naming the tables of :func:`publish_run_tables`."""
+    runs = events.select(
+        F.col("event_id").cast("string").alias("event_id"),
+        (F.col("user_id") % 5).cast("int").alias("r_regionkey"),
         F.date_sub(F.to_date("ts"), SHIFT_DAYS).alias("day"),
-        (F.col("event_id") % 7).cast("int").alias("which"))
-    runs = rows.groupBy("r_regionkey", "day", "which").agg(
-        F.min("event_id").cast("string").alias("event_id"))
-    runs = runs.join(region, "r_regionkey")
+        (F.col("event_id") % len(PIPELINES)).cast("int").alias("which")).join(region, "r_regionkey")
+    day = F.dayofmonth("day")
 
     def ref(role: str, variable: str) -> Column:
-        days = F.concat(F.lit("_"), F.dayofmonth("day").cast("string"))
         partner = F.col("r_name")
         if role.endswith("_validation"):
             return F.concat(F.lit(f"val.{role}_"), partner)
         if role == "submitted" or "historical" in variable or role.startswith("history_"):
             return F.concat(F.lit(f"hist.{role.removeprefix('history_')}_"), partner)
-        return F.concat(F.lit(f"tmp.{role}_"), partner, days)
+        return F.concat(F.when(day % 2 == 0, "").otherwise("tmp."), F.lit(f"{role}_"), partner,
+                        F.lit("_"), day.cast("string"))
 
-    quarter = F.dayofmonth("day") % 26
+    quarter = day % 26
     run_id = ((F.lit(1995) + F.floor(quarter / 4)) * 10 + quarter % 4 + 1).cast("string")
     variables = F.to_json(_variables(PIPELINES, ref, partner=F.col("r_name"),
                                      submission_run_id=run_id))
@@ -131,7 +139,7 @@ def as_run_events(events: DataFrame, region: DataFrame) -> DataFrame:
     raw = F.concat(F.lit('{"source_timestamp":"'), F.date_format("day", "yyyy-MM-dd"),
                    F.lit('T00:10:00Z","payload":{"pipeline_uuid":"'), pipeline,
                    F.lit(f'","status":"{COMPLETED}","variables":'), variables, F.lit("}}"))
-    return runs.select("event_id", raw.alias("raw"), "which")
+    return runs.select("event_id", raw.alias("raw"))
 
 
 # The tables each pipeline's metrics read.
@@ -142,21 +150,67 @@ READS = {
 }
 
 
-def run_tables(spark: SparkSession, sf_dir: str, pipeline: str) -> tuple[Tables, DataFrame]:
-    """The stand-in claims as tables by ``table_ref``, and the manifest of those one
-    pipeline reads. These are written to the scratch folder first: they are read once
-    per metric, and are tables where the metrics are used in earnest."""
+def publish_run_tables(spark: SparkSession, sf_dir: str, shapes: Iterable[str],
+                       gaps: bool = False) -> tuple[Tables, DataFrame]:
+    """The stand-in claims published under their names in a store of its own, and the
+    manifest. With ``gaps`` some tables are empty and some are retired (see :func:`gap_of`);
+    else the tables are those that have rows."""
     views = _run_views(spark, sf_dir)
-    out = scratch_dir(spark, "run-tables")
-    for name in READS[pipeline]:
-        rows = views[name]
-        kept = [c for c in SHAPES[name].names if c in rows.columns]
-        rows.select(*kept).write.parquet(f"{out}/{name}")
-        views[name] = spark.read.parquet(f"{out}/{name}")
-    return Tables(**views), manifest_of(*[views[name] for name in READS[pipeline]])
+    kept = {name: T.StructType([f for f in rows.schema.fields if f.name in SHAPES[name].names])
+            for name, rows in views.items()}
+    store = TableStore(spark, scratch_dir(spark, "run-tables"), kept)
+    for shape in shapes:
+        if not gaps:
+            store.publish(shape, views[shape])
+            continue
+        names = table_names(spark, sf_dir).where(F.col("shape") == shape)
+        filled = names.where(F.col("gap").isNull())
+        store.publish(shape, views[shape].join(filled.select("table_ref"), "table_ref", "left_semi"),
+                      names.select("table_ref"))
+        store.retire(shape, names.where(F.col("gap") == "missing").select("table_ref"))
+    return Tables(**{name: store.rows(name) for name in views}), store.manifest()
+
+
+# Batch roles with their shape, in the order that decides which days they have gaps on.
+BATCH_ROLES = {"unprocessable": "claims", "processable": "claims", "excluded": "savings",
+               "savings": "savings", "selected": "savings"}
+# Tables per partner with their shape, and the partners they are missing or empty for.
+PARTNER_TABLES = {
+    "hist.processable": ("claims", {"AFRICA": "missing", "EUROPE": "empty"}),
+    "hist.unprocessable": ("claims", {"ASIA": "missing", "EUROPE": "empty"}),
+    "hist.selected": ("savings", {"AMERICA": "missing"}),
+    "hist.submitted": ("submitted", {"MIDDLE EAST": "missing"}),
+    "val.internal_validation": ("validation", {"ASIA": "missing"}),
+    "val.manual_validation": ("validation", {"EUROPE": "empty"}),
+}
+
+
+def gap_of(place: int, day: Column) -> Column:
+    """What a batch role has on a day of the month: a role is missing on the days whose
+    remainder by seven is its place in ``BATCH_ROLES``, and empty four days on."""
+    return F.when(day % 7 == place, "missing").when(day % 7 == (place + 4) % 7, "empty")
+
+
+def table_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All tables that there could be: ``table_ref``, ``shape``, ``gap`` (null: has its rows)."""
+    partners = table(spark, sf_dir, "region").select(F.col("r_name").alias("partner"))
+    days = partners.select("partner", F.explode(F.sequence(F.lit(1), F.lit(31))).alias("day"))
+    batches = days.select(F.inline(F.array(*[F.struct(
+        F.concat(_namespace(F.col("day")), F.lit(f"{role}_"), "partner", F.lit("_"),
+                 F.col("day").cast("string")).alias("table_ref"),
+        F.lit(shape).alias("shape"), gap_of(place, F.col("day")).alias("gap"))
+        for place, (role, shape) in enumerate(BATCH_ROLES.items())])))
 
+    def gap(by_partner: dict[str, str]) -> Column:
+        found = F.lit(None).cast("string")
+        for partner, kind in by_partner.items():
+            found = F.when(F.col("partner") == partner, kind).otherwise(found)
+        return found
 
-SHAPES = {"claims": CLAIMS, "savings": SAVINGS, "validation": VALIDATION, "submitted": SUBMITTED}
+    others = partners.select(F.inline(F.array(*[F.struct(
+        F.concat(F.lit(f"{name}_"), "partner").alias("table_ref"), F.lit(shape).alias("shape"),
+        gap(by_partner).alias("gap")) for name, (shape, by_partner) in PARTNER_TABLES.items()])))
+    return batches.unionByName(others)
 
 
 def _run_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -164,7 +218,7 @@ def _run_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     rows = standin.claims(spark, sf_dir, partner=True, agent=True)
     rows = rows.withColumn("ingested_at", F.col("ingested_at").cast("timestamp")).withColumn(
         "created_at", F.col("created_at").cast("timestamp"))
-    partner, day = F.col("partner"), F.dayofmonth("created_at").cast("string")
+    partner, day = F.col("partner"), F.dayofmonth("created_at")
     side = F.when(F.col("processable"), "processable").otherwise("unprocessable")
 
     def tagged(frame: DataFrame, *refs: Column) -> DataFrame:
@@ -172,7 +226,7 @@ def _run_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
     def batch(role: str | Column) -> Column:
         name = F.lit(role) if isinstance(role, str) else role
-        return F.concat(F.lit("tmp."), name, F.lit("_"), partner, F.lit("_"), day)
+        return F.concat(_namespace(day), name, F.lit("_"), partner, F.lit("_"), day.cast("string"))
 
     def history(role: str | Column) -> Column:
         name = F.lit(role) if isinstance(role, str) else role

@@ -19,7 +19,8 @@ from claimgauge.sources.tables import (
     qualified_name,
     table_or_none,
 )
-from claimgauge.streaming.runs import FamilyFailures, Job, evaluate_batch, start
+from claimgauge.streaming import runs
+from claimgauge.streaming.runs import FamilyFailures, Job, commits, committed, evaluate_batch, start
 from tests.helpers import event, point, points, raw_events, tables
 
 
@@ -64,6 +65,57 @@ def test_stream_evaluates_once(spark, job, tmp_path):
     assert [(r.event_id, r.raw, r.decoding) for r in refused] == [("2", "nope", "undecodable")]
     outcomes = spark.read.parquet(f"{job.path}/outcomes").select("event_id", "outcome").collect()
     assert {tuple(r) for r in outcomes} == {("1", "ok"), ("2", "undecodable")}
+    # each run was one batch; the ids are kept by the day of the event
+    assert {(r.batch, r.events) for r in commits(spark, job.path).collect()} == {(0, 2), (1, 0)}
+    assert ("1", "2024-01-15", 0) in {
+        (r.event_id, r.day, r.batch) for r in committed(spark, job.path, "seen").collect()}
+
+
+def test_a_batch_stopped_between_two_families_is_not_read(spark, job, tmp_path, monkeypatch):
+    source, checkpoint = tmp_path / "in", tmp_path / "checkpoint"
+    write_events(source, "a.json", [("1", savings_event())])
+    written = []
+
+    def stopping(points_, path, family):
+        if written:
+            raise KeyboardInterrupt("driver lost")
+        written.append(family)
+        write_points(points_, path, family)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(runs, "write_points", stopping)
+        with pytest.raises(BaseException, match="driver lost"):
+            evaluate_batch(raw_events(spark, savings_event()), 0, job)
+    assert spark.read.parquet(f"{job.path}/points").count() > 0
+    assert committed(spark, job.path).count() == 0
+    # the ids of a batch that was not committed do not count as seen
+    run_stream(spark, job, source, checkpoint)
+    assert points(committed(spark, job.path)) == EXPECTED
+    assert commits(spark, job.path).count() == 1
+
+
+def test_events_of_one_run_in_several_batches_and_late_redelivery(spark, job, tmp_path):
+    source, checkpoint = tmp_path / "in", tmp_path / "checkpoint"
+    for batch, ids in enumerate((["1", "2"], ["2", "3"], ["4", "1"])):
+        write_events(source, f"{batch}.json", [(i, savings_event()) for i in ids])
+        run_stream(spark, job, source, checkpoint)
+    found = committed(spark, job.path).where(F.col("metric_name") == m.SAVINGS_VALUE)
+    assert sorted((r.event_id, r.batch) for r in found.collect()) == [
+        ("1", 0), ("2", 0), ("3", 1), ("4", 2)]
+
+
+def test_a_committed_batch_is_left_as_it_is(spark, job):
+    for ref in ("t.s", "t.gone"):
+        evaluate_batch(raw_events(spark, savings_event(ref)), 3, job)
+    assert points(committed(spark, job.path)) == EXPECTED
+
+
+def test_pipelines_of_a_job(spark, job):
+    other = Job(job.path, "test", "main", job.tables, job.manifest, pipelines=("another",))
+    evaluate_batch(raw_events(spark, savings_event(), "nope"), 0, other)
+    assert committed(spark, job.path).count() == 0
+    assert {tuple(r)[1:3] for r in committed(spark, job.path, "outcomes").select(
+        "event_id", "outcome", "code").collect()} == {("unmatched", 204), ("undecodable", 400)}
 
 
 def test_batch_replay_overwrites(spark, job):

@@ -28,7 +28,8 @@ def answers(columns, data):
     "postfiltered_share_by_partner", "savings_by_agent_by_partner", "new_provider_pct_by_run",
     "provider_volume_ratio_by_run", "sent_over_received_by_run", "sent_over_accepted_by_run",
     "expired_validation_total_by_run", "event_outcomes", "failure_counts", "metric_log_json",
-    "submission_points", "stream_dedup"])
+    "event_mix_points", "table_policy_points", "table_policy_outcomes", "failed_family_points",
+    "failure_points", "stream_dedup", "stream_savings"])
 def test_query_equals_sql(spark, name):
     frame = entry.queries()[name](spark, SMALL)
     database = duckdb.connect()
