@@ -12,18 +12,25 @@ _T = f"TIMESTAMP '{AS_OF}'"
 _DAYS = f"INTERVAL {LOOKBACK_DAYS} DAY"
 
 CLAIMS = """claims AS (
-  SELECT l_orderkey * 10 + l_linenumber AS item_id, l_orderkey AS invoice_id,
-    l_partkey AS provider_id, o_custkey AS member_id, r_name AS partner, p_brand AS agent_id,
+  SELECT CASE WHEN (l_orderkey * 10 + l_linenumber) % 97 <> 0 THEN l_orderkey * 10 + l_linenumber END
+      AS item_id,
+    CASE WHEN l_orderkey % 89 <> 0 THEN l_orderkey END AS invoice_id,
+    CASE WHEN l_partkey % 83 <> 0 THEN l_partkey END AS provider_id,
+    CASE WHEN o_custkey % 79 <> 0 THEN o_custkey END AS member_id, r_name AS partner,
+    CASE WHEN l_partkey % 71 <> 0 THEN p_brand END AS agent_id,
     CAST(l_extendedprice AS DECIMAL(18,2)) AS paid_value,
     CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 + CAST(l_tax AS DECIMAL(4,2)))
       AS DECIMAL(18,4)) AS reported_value,
     CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(4,2))
       AS DECIMAL(18,4)) AS saving_value,
-    l_shipdate AS ts, l_linestatus = 'F' AS processable, l_returnflag, l_suppkey, l_tax,
-    o_orderstatus,
+    l_shipdate AS ts, l_shipdate + ((l_orderkey % 5 - 3) * 6) * INTERVAL 1 HOUR AS ingested,
+    l_shipdate + (l_suppkey % 2 * 10) * INTERVAL 1 HOUR + (l_partkey % 60) * INTERVAL 1 MINUTE AS updated,
+    l_linestatus = 'F' AS processable, l_returnflag, l_suppkey, l_tax,
+    CASE WHEN l_orderkey % 53 = 0 THEN NULL WHEN o_orderstatus = 'F' THEN 'SUBMITTED_SUCCESS'
+      WHEN o_orderstatus = 'O' THEN 'SUBMITTED_ERROR' ELSE 'RETRY' END AS sent_status,
     CASE l_linenumber WHEN 1 THEN 'SENT_FOR_VALIDATION' WHEN 2 THEN 'NOT_SENT_FOR_VALIDATION'
       WHEN 3 THEN 'APPROVED' WHEN 4 THEN 'SUBMITTED_SUCCESS' WHEN 5 THEN 'EXPIRED'
-      WHEN 6 THEN 'DENIED' ELSE 'EXCLUDED' END AS status,
+      WHEN 6 THEN 'DENIED' ELSE CASE WHEN l_suppkey % 4 <> 0 THEN 'EXCLUDED' END END AS status,
     CASE l_returnflag WHEN 'R' THEN 'SHARED_ID_FATURA' WHEN 'N' THEN 'OTHER' END AS reason
   FROM lineitem
   JOIN part ON p_partkey = l_partkey
@@ -34,10 +41,8 @@ CLAIMS = """claims AS (
 )"""
 
 SUBMITTED = """submitted AS (
-  SELECT item_id, partner, saving_value, ts,
-    CAST(year(ts) * 10 + quarter(ts) AS VARCHAR) AS submission_run_id,
-    CASE o_orderstatus WHEN 'F' THEN 'SUBMITTED_SUCCESS' WHEN 'O' THEN 'SUBMITTED_ERROR'
-      ELSE 'RETRY' END AS status
+  SELECT item_id, partner, saving_value, ingested,
+    CAST(year(ts) * 10 + quarter(ts) AS VARCHAR) AS submission_run_id, sent_status AS status
   FROM claims WHERE l_tax >= 0.04
 )"""
 
@@ -173,21 +178,21 @@ class _Submission:
     def w(self) -> list[str]:
         group = ", ".join(f"r.{k}" for k in self.keys)
         return [SUBMITTED, self.runs, f"""w AS (
-  SELECT {group}, COALESCE(MAX(s.ts), MAX(r.as_of) - INTERVAL 20 MINUTE) AS hi,
-    COALESCE(MAX(s.ts), MAX(r.as_of) - INTERVAL 20 MINUTE) - {_DAYS} AS lo
+  SELECT {group}, COALESCE(MAX(s.ingested), MAX(r.as_of) - INTERVAL 20 MINUTE) AS hi,
+    COALESCE(MAX(s.ingested), MAX(r.as_of) - INTERVAL 20 MINUTE) - {_DAYS} AS lo
   FROM runs r LEFT JOIN submitted s ON s.submission_run_id = r.submission_run_id
     {self.same_table('s')} GROUP BY {group})"""]
 
     def rows(self, columns: str, where: str = "TRUE") -> str:
         keys = ", ".join(f"r.{k}" for k in self.keys)
         return f"""SELECT {keys}, {columns} FROM w r JOIN claims c
-  ON c.ts BETWEEN r.lo AND r.hi {self.same_table('c')} WHERE {where}"""
+  ON c.ingested BETWEEN r.lo AND r.hi {self.same_table('c')} WHERE {where}"""
 
     def on(self, left: str, right: str) -> str:
         return _same(self.keys, left, right)
 
     def pending(self) -> str:
-        rows = self.rows("c.invoice_id", "c.status = 'SENT_FOR_VALIDATION'")
+        rows = self.rows("c.invoice_id", "c.status = 'SENT_FOR_VALIDATION' AND c.invoice_id IS NOT NULL")
         return f"pending AS (SELECT DISTINCT * FROM ({rows}))"
 
     def held(self) -> str:
@@ -292,7 +297,8 @@ def _expired(runs: str, keys: list[str]) -> str:
     return _with(runs, select=f"""SELECT {shown}
   CAST(COALESCE(SUM(c.saving_value), 0) AS DOUBLE) AS expired_saving
 FROM runs r LEFT JOIN claims c ON c.status = 'EXPIRED' {on}
-  AND c.ts BETWEEN r.as_of - {_DAYS} AND r.as_of
+  AND c.ingested BETWEEN r.as_of - {_DAYS} AND r.as_of
+  AND c.updated BETWEEN r.as_of - INTERVAL 30 MINUTE AND r.as_of
 GROUP BY {group}""")
 
 

@@ -203,8 +203,7 @@ def _shared_invoice_completeness(rows, checked, sent, spans) -> DataFrame:
 
 # ---- expiry ----------------------------------------------------------------------
 
-# ship dates are whole days, so the update filter is as long as the look-back
-_EXPIRY = {"days": _DAYS, "minutes": _DAYS * 24 * 60}
+_EXPIRY = {"days": _DAYS}
 
 
 def expired_validation_total(spark, sf_dir) -> DataFrame:

@@ -98,7 +98,10 @@ _VISIBLE = "decoding = 'decoded' AND NOT no_payload"
 # every event is a run; those of one pipeline, partner and day ask the same and are worked
 # out once, under the least of their ids
 RUNS = f"""runs AS (
-  SELECT *, MIN(event_id) OVER (PARTITION BY which, partner, as_of) AS rep FROM (
+  SELECT *, MIN(event_id) OVER (PARTITION BY which, partner, as_of) AS rep,
+    -- the day in the offset of the event
+    CAST(as_of - CASE partner WHEN 'AMERICA' THEN INTERVAL 5 HOUR ELSE INTERVAL 0 HOUR END AS DATE) AS as_day
+  FROM (
     SELECT event_id, event_id % 7 AS which, r_name AS partner,
       CAST(ts AS DATE) - INTERVAL {SHIFT_DAYS} DAY + INTERVAL 10 MINUTE AS as_of
     FROM events JOIN region ON r_regionkey = user_id % 5))"""
@@ -106,7 +109,7 @@ RUNS = f"""runs AS (
 
 def _runs(*which: int) -> str:
     listed = ", ".join(map(str, which))
-    return f"""r AS (SELECT rep AS event_id, which, partner, as_of, day(as_of) AS dd, day(as_of) % 7 AS m
+    return f"""r AS (SELECT rep AS event_id, which, partner, as_of, as_day, day(as_of) AS dd, day(as_of) % 7 AS m
   FROM runs WHERE which IN ({listed}) AND event_id = rep)"""
 
 
@@ -152,7 +155,7 @@ def _paid_points(approved: str) -> list[str]:
 
 def _entity_ctes(entity: str, batch: str = f"r JOIN {_BATCH}", known: str = "TRUE") -> list[str]:
     """``known`` says whose history has rows."""
-    day = "CAST(r.as_of AS DATE)"
+    day = "r.as_day"
     past = f"r JOIN claims h ON h.partner = r.partner AND {known}"
     name = entity.split("_")[0]
     return [
@@ -169,7 +172,7 @@ def _entity_ctes(entity: str, batch: str = f"r JOIN {_BATCH}", known: str = "TRU
         f"""{name}_latest AS (SELECT event_id, COUNT(*) AS n FROM (
   SELECT event_id, entity FROM {name}_batch UNION
   SELECT r.event_id, h.{entity} FROM {past} WHERE h.ts >= {day} - INTERVAL 30 DAY)
-  GROUP BY event_id)""",
+  WHERE entity IS NOT NULL GROUP BY event_id)""",
         f"""{name}_before AS (SELECT r.event_id, COUNT(DISTINCT h.{entity}) AS n FROM {past}
   WHERE h.ts >= {day} - INTERVAL 60 DAY AND h.ts < {day} - INTERVAL 30 DAY
   GROUP BY r.event_id)""",
@@ -216,30 +219,32 @@ def _agent_cte(name: str, where: str = "TRUE") -> str:
   FROM r JOIN {_BATCH} WHERE {where} GROUP BY r.event_id, r.partner, c.agent_id)"""
 
 
+_AGENT = "COALESCE(agent_id, 'None')"
+
+
 def _agent_points(approved: str) -> list[str]:
-    a = {"approved": f"'{approved}'", "agent_id": "agent_id"}
+    a = {"approved": f"'{approved}'", "agent_id": _AGENT}
     return [_point("claims/pipeline/savings/saving_value", "total", "agents r", **a),
             _point("claims/pipeline/savings/count", "n", "agents r", **a)]
 
 
 _SELECTED_POINT = _point("claims/savings/approved/saving_value", "total", "chosen r",
-                         agent_id="agent_id", source="'selected_savings'")
+                         agent_id=_AGENT, source="'selected_savings'")
 
 # ---- submission --------------------------------------------------------------------
 
 _SUBMISSION_CTES = [
-    """submitted AS (SELECT item_id, partner, saving_value, ts,
-    CAST(year(ts) * 10 + quarter(ts) AS VARCHAR) AS run_id,
-    CASE o_orderstatus WHEN 'F' THEN 'SUBMITTED_SUCCESS' WHEN 'O' THEN 'SUBMITTED_ERROR'
-      ELSE 'RETRY' END AS sent_status FROM claims WHERE l_tax >= 0.04)""",
+    """submitted AS (SELECT item_id, partner, saving_value, ingested,
+    CAST(year(ts) * 10 + quarter(ts) AS VARCHAR) AS run_id, sent_status
+  FROM claims WHERE l_tax >= 0.04)""",
     """w AS (SELECT r.event_id, r.partner,
-  COALESCE(MAX(s.ts), MAX(r.as_of) - INTERVAL 20 MINUTE) AS hi,
-  COALESCE(MAX(s.ts), MAX(r.as_of) - INTERVAL 20 MINUTE) - INTERVAL 2 DAY AS lo
+  COALESCE(MAX(s.ingested), MAX(r.as_of) - INTERVAL 20 MINUTE) AS hi,
+  COALESCE(MAX(s.ingested), MAX(r.as_of) - INTERVAL 20 MINUTE) - INTERVAL 2 DAY AS lo
   FROM r LEFT JOIN submitted s ON s.partner = r.partner AND s.run_id =
     CAST((1995 + (r.dd % 26) // 4) * 10 + (r.dd % 26) % 4 + 1 AS VARCHAR)
   GROUP BY r.event_id, r.partner)""",
     """near AS (SELECT w.event_id, c.* FROM w JOIN claims c ON c.partner = w.partner
-  AND c.ts BETWEEN w.lo AND w.hi)""",
+  AND c.ingested BETWEEN w.lo AND w.hi)""",
     """pending AS (SELECT DISTINCT event_id, invoice_id FROM near
   WHERE status = 'SENT_FOR_VALIDATION')""",
     """held AS (SELECT DISTINCT n.event_id, n.item_id FROM near n
@@ -285,7 +290,7 @@ def _kept_ctes(name: str) -> list[str]:
         f"""{name}_rows AS (SELECT w.event_id, w.partner, a.sent_status,
   CAST(COALESCE(t.total, 0) AS DOUBLE) AS total, CAST(COALESCE(s.sent, 0) AS DOUBLE) AS sent,
   MAX(COALESCE(s.sent, 0)) OVER (PARTITION BY w.event_id) AS peak,
-  CAST(SUM(COALESCE(s.sent, 0)) OVER (PARTITION BY w.event_id) AS DOUBLE) AS all_sent
+  CAST((SELECT SUM(x.sent) FROM {name}_sent x WHERE x.event_id = w.event_id) AS DOUBLE) AS all_sent
   FROM w JOIN (SELECT event_id, sent_status FROM {name}_sent UNION
     SELECT event_id, 'SUBMITTED_SUCCESS' FROM w) a ON a.event_id = w.event_id
   LEFT JOIN (SELECT event_id, SUM(saving_value) AS total FROM {name} GROUP BY event_id) t
@@ -294,13 +299,16 @@ def _kept_ctes(name: str) -> list[str]:
     ]
 
 
+_STATUS = "COALESCE(sent_status, 'None')"
+
+
 def _kept_point(name: str, metric: str) -> str:
     idle = "total = 0 AND peak <= 0"
     return _point(
         f"claims/pipeline/savings/saving_value/{metric}_last_2_days",
         f"CASE WHEN {idle} THEN 1 WHEN total > 0 THEN sent / total ELSE 0 END",
         f"{name}_rows r WHERE NOT ({idle}) OR sent_status = 'SUBMITTED_SUCCESS'",
-        status="sent_status")
+        status=_STATUS)
 
 
 def _received_point(value: str, column: str) -> str:
@@ -308,13 +316,13 @@ def _received_point(value: str, column: str) -> str:
         f"claims/pipeline/claims/{value}/sent_over_recv_last_2_days",
         f"CASE WHEN COALESCE({column}, 0) = 0 THEN 1 ELSE "
         f"COALESCE(CAST(sent_{column} AS DOUBLE) / CAST({column} AS DOUBLE), 0) END",
-        "received_rows r", status="sent_status")
+        "received_rows r", status=_STATUS)
 
 
 _EXPIRED = """lost AS (SELECT r.event_id, r.partner, COALESCE(SUM(c.saving_value), 0) AS total
   FROM r LEFT JOIN claims c ON c.partner = r.partner AND c.status = 'EXPIRED'
-    AND c.ts BETWEEN r.as_of - INTERVAL 2 DAY AND r.as_of
-    AND c.ts BETWEEN r.as_of - INTERVAL 30 MINUTE AND r.as_of
+    AND c.ingested BETWEEN r.as_of - INTERVAL 2 DAY AND r.as_of
+    AND c.updated BETWEEN r.as_of - INTERVAL 30 MINUTE AND r.as_of
   GROUP BY r.event_id, r.partner)"""
 
 
@@ -370,8 +378,8 @@ def _gap_agents(name: str, where: str) -> str:
 _GAP_LOST = """gap_lost AS (SELECT r.event_id, r.partner, COALESCE(SUM(c.saving_value), 0) AS total
   FROM r LEFT JOIN claims c ON c.partner = r.partner AND c.status = 'EXPIRED'
     AND (c.processable OR c.partner <> 'EUROPE')
-    AND c.ts BETWEEN r.as_of - INTERVAL 2 DAY AND r.as_of
-    AND c.ts BETWEEN r.as_of - INTERVAL 30 MINUTE AND r.as_of
+    AND c.ingested BETWEEN r.as_of - INTERVAL 2 DAY AND r.as_of
+    AND c.updated BETWEEN r.as_of - INTERVAL 30 MINUTE AND r.as_of
   WHERE r.which = 5 AND r.partner <> 'ASIA' GROUP BY r.event_id, r.partner)"""
 
 
@@ -379,7 +387,7 @@ def _gap_points() -> str:
     a, both = {"approved": "r.approved"}, "r.done + r.held > 0"
     pre, ok = "claims/pipeline/filtered_pre/paid_value", "claims/pipeline/processable/paid_value"
     post = "claims/pipeline/filtered_post/saving_value"
-    agent = {**a, "agent_id": "agent_id"}
+    agent = {**a, "agent_id": _AGENT}
     known = "r.partner NOT IN ('AFRICA', 'ASIA', 'EUROPE')"
     batch = "r JOIN gap_rows c ON c.event_id = r.event_id"
     return _all((0, 1, 2, 3, 5), [
@@ -482,7 +490,7 @@ ORACLES = {
          _kept_point("accepted", "sent_over_accepted"),
          _kept_point("analysed", "sent_over_validation"),
          _point("claims/pipeline/savings/saving_value/shared_invoice_sent_over_validation",
-                "CASE WHEN total > 0 THEN all_sent / total ELSE 1 END",
+                "CASE WHEN total > 0 THEN COALESCE(all_sent, 0) / total ELSE 1 END",
                 "shared_rows r WHERE sent_status = 'SUBMITTED_SUCCESS'")]),
     "release_points": _all(5, [_EXPIRED], [
         _point("claims/pipeline/validation/saving_value/expired/total", "total", "lost r")]),

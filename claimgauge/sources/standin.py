@@ -1,7 +1,9 @@
 """Claim tables derived from the TPC-H-like test tables.
 
 An order is an invoice, a line item a claim item, a part a provider, a customer a
-member and a region a partner. Amounts are fixed-point, so sums are exact.
+member and a region a partner. Amounts are fixed-point, so sums are exact. Rows are created
+when they ship, ingested up to 18 hours before or six after, and updated within an hour of
+midnight or of ten; one in some eighty has no item, invoice, provider, member or agent.
 """
 
 from __future__ import annotations
@@ -41,9 +43,11 @@ def claims(spark: SparkSession, sf_dir: str, orders: bool = False, partner: bool
         .cast("decimal(18,4)").alias("reported_value"),
         (money("l_extendedprice") * F.col("l_discount").cast("decimal(4,2)"))
         .cast("decimal(18,4)").alias("saving_value"),
-        F.col("l_shipdate").alias("ingested_at"),
+        (F.col("l_shipdate") + F.make_dt_interval(hours=(F.col("l_orderkey") % 5 - 3) * 6)
+         ).alias("ingested_at"),
         F.col("l_shipdate").alias("created_at"),
-        F.col("l_shipdate").alias("updated_at"),
+        (F.col("l_shipdate") + F.make_dt_interval(
+            hours=F.col("l_suppkey") % 2 * 10, mins=F.col("l_partkey") % 60)).alias("updated_at"),
         (F.col("l_linestatus") == "F").alias("processable"),
         "l_returnflag", "l_linenumber", "l_suppkey", "l_tax",
     )
@@ -58,7 +62,12 @@ def claims(spark: SparkSession, sf_dir: str, orders: bool = False, partner: bool
         if partner:
             heads = heads.join(partners(spark, sf_dir), "member_id")
         rows = rows.join(heads, "invoice_id")
-    return rows
+    invoice, provider = F.col("invoice_id"), F.col("provider_id")
+    given = {"item_id": F.col("item_id") % 97 != 0, "invoice_id": invoice % 89 != 0,
+             "provider_id": provider % 83 != 0, "member_id": F.col("member_id") % 79 != 0,
+             "agent_id": provider % 71 != 0}
+    return rows.withColumn("order_id", invoice).withColumns({
+        c: F.when(holds, F.col(c)) for c, holds in given.items() if c in rows.columns})
 
 
 def partners(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,17 +91,19 @@ def validation(rows: DataFrame) -> DataFrame:
     status = reduce(
         lambda done, item: done.when(F.col("l_linenumber") == item[0], item[1]),
         list(STATUS_BY_LINE.items())[1:], F.when(F.col("l_linenumber") == 1, PENDING),
-    ).otherwise("EXCLUDED")
+    ).otherwise(F.when(F.col("l_suppkey") % 4 != 0, "EXCLUDED"))
     reason = F.when(F.col("l_returnflag") == "R", SHARED_INVOICE).when(
         F.col("l_returnflag") == "N", "OTHER")
     return rows.withColumn("status", status).withColumn("filtered_reason", reason)
 
 
 def submitted(rows: DataFrame) -> DataFrame:
-    """Claims with tax of 4 % or more as submitted rows, one run per quarter."""
-    status = (F.when(F.col("o_orderstatus") == "F", SUBMITTED_OK)
+    """Claims with tax of 4 % or more as submitted rows, one run per quarter; some have no
+    status."""
+    status = (F.when(F.col("order_id") % 53 == 0, None)
+              .when(F.col("o_orderstatus") == "F", SUBMITTED_OK)
               .when(F.col("o_orderstatus") == "O", "SUBMITTED_ERROR").otherwise("RETRY"))
-    quarter = F.year("ingested_at") * 10 + F.quarter("ingested_at")
+    quarter = F.year("created_at") * 10 + F.quarter("created_at")
     return rows.where(F.col("l_tax") >= 0.04).withColumn("status", status).withColumn(
         "submission_run_id", quarter.cast("string"))
 

@@ -69,7 +69,9 @@ def noisy_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def as_noisy_events(events: DataFrame) -> DataFrame:
     """Every row of ``events`` as a raw run event. Fixed shares of them are base64
-    wrapped, cut short, or lack or break a part (see the conditions)."""
+    wrapped, cut short, or lack or break a part (see the conditions). Some are written in
+    forms that readers have to bear: times of another offset or without separators, base64
+    with line ends and needless padding, a key given twice."""
     n = F.col("event_id")
     pipeline = F.element_at(F.array(*[F.lit(p) for p in PIPELINES]), (n % 7 + 1).cast("int"))
     status = F.create_map(*[F.lit(x) for kv in STATUSES.items() for x in kv])[F.col("event_type")]
@@ -82,10 +84,14 @@ def as_noisy_events(events: DataFrame) -> DataFrame:
     variables = _variables(PIPELINES, ref, partner=partner, submission_run_id=F.lit("r1"),
                            props=F.col("props"))
     variables_json = F.when(_by(n, 17), F.lit("null")).otherwise(F.to_json(variables))
+    twice = F.when(_by(n, 6), F.lit('"status":"UNKNOWN",')).otherwise("")
     payload = F.when(_by(n, 19), F.lit("null")).otherwise(F.concat(
-        F.lit('{"id":'), n.cast("string"), F.lit(',"pipeline_uuid":"'), pipeline,
+        F.lit('{"id":'), n.cast("string"), F.lit(","), twice, F.lit('"pipeline_uuid":"'), pipeline,
         F.lit('","status":"'), status, F.lit('","variables":'), variables_json, F.lit("}")))
-    iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    ahead = F.col("ts") + F.make_dt_interval(hours=F.lit(5), mins=F.lit(30))
+    iso = (F.when(_by(n, 5), F.date_format(ahead, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+05:30'"))
+           .when(_by(n, 9), F.date_format("ts", "yyyyMMdd'T'HHmmss.SSSSSS'Z'"))
+           .otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")))
     stamp = F.when(_by(n, 23), F.lit("not a time")).otherwise(iso)
     time = F.when(_by(n, 29), F.lit("")).otherwise(
         F.concat(F.lit('"source_timestamp":"'), stamp, F.lit('",')))
@@ -93,6 +99,9 @@ def as_noisy_events(events: DataFrame) -> DataFrame:
     encoded = F.base64(F.encode(document, "UTF-8"))
     inner = F.when(_by(n, 31), F.expr("substring(_encoded, 1, length(_encoded) - 1)")).otherwise(
         F.col("_encoded"))
+    loose = F.concat(F.substring(inner, 1, 40), F.lit("\\n"), F.expr("substring(_encoded, 41)"),
+                     F.when(_by(n, 8), "==").otherwise(""))
+    inner = F.when(_by(n, 4) & ~_by(n, 31), loose).otherwise(inner)
     wrapped = F.concat(F.lit('{"message":{"data":"'), inner, F.lit('","messageId":"m"}}'))
     bare = F.when(_by(n, 31), F.expr("substring(_document, 1, length(_document) - 1)")).otherwise(
         F.col("_document"))
@@ -136,8 +145,12 @@ def as_run_events(events: DataFrame, region: DataFrame) -> DataFrame:
     variables = F.to_json(_variables(PIPELINES, ref, partner=F.col("r_name"),
                                      submission_run_id=run_id))
     pipeline = F.element_at(F.array(*[F.lit(p) for p in PIPELINES]), F.col("which") + 1)
-    raw = F.concat(F.lit('{"source_timestamp":"'), F.date_format("day", "yyyy-MM-dd"),
-                   F.lit('T00:10:00Z","payload":{"pipeline_uuid":"'), pipeline,
+    # the same instant, written in the offset of the partner: there it is the day before
+    before = F.col("r_name") == "AMERICA"
+    stamp = F.concat(F.date_format(F.date_sub("day", F.when(before, 1).otherwise(0)), "yyyy-MM-dd"),
+                     F.when(before, "T19:10:00-05:00").otherwise("T00:10:00Z"))
+    raw = F.concat(F.lit('{"source_timestamp":"'), stamp,
+                   F.lit('","payload":{"pipeline_uuid":"'), pipeline,
                    F.lit(f'","status":"{COMPLETED}","variables":'), variables, F.lit("}}"))
     return runs.select("event_id", raw.alias("raw"))
 
