@@ -3,7 +3,9 @@
 Every function takes the :class:`Windows` of one run or of many; its keys name a run,
 its lookup columns the tables the run reads.
 Values are added up per item before items meet submissions, so neither an item with
-many rows nor one submitted many times is multiplied out.
+many rows nor one submitted many times is multiplied out. The items of all metrics asked for
+are written to one table (:class:`Reconciliation`), and submissions are scanned once for
+all of them.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from claimgauge.schemas import (
     SHARED_INVOICE,
     SUBMITTED_OK,
 )
-from claimgauge.session import ensure_checkpoint_dir
+from claimgauge.session import settled
 
 
 def pending_invoices(in_window: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -71,18 +73,74 @@ def _unless_null_status(value: Column) -> Column:
     return F.when(F.col("status").isNotNull(), value)
 
 
-def _settled(items: DataFrame) -> DataFrame:
-    """Items of the windows, written once to the checkpoint folder: they are summed, looked
-    up and joined."""
-    ensure_checkpoint_dir(items.sparkSession)
-    return items.checkpoint()
+class Reconciliation:
+    """The items of some metrics (``kinds``: received, accepted, analysed, shared) in one
+    table of columns, and the submitted rows that they have, of any run and time.
 
+    Each kind is a frame of the windows' keys, ``item_id`` and ``paid_value`` and
+    ``reported_value``, or ``saving_value``. The history of submissions is read once, cut down to
+    the items, and rolled up per item and status for all kinds together.
+    """
 
-def _submitted_of(items: DataFrame, submitted: DataFrame, on: list[str]) -> DataFrame:
-    """Submitted rows of the given (settled) items, of any run and time. The history of
-    submissions is cut down to the items before anything of it is rolled up."""
-    wanted = items.select(*on).where(F.col("item_id").isNotNull()).distinct()
-    return linked(submitted, wanted, on, fits(wanted), "left_semi")
+    def __init__(self, windows: Windows, submitted: DataFrame, **kinds: DataFrame):
+        self.windows, items = windows, None
+        for kind, frame in kinds.items():
+            named = frame.withColumn("kind", F.lit(kind))
+            items = named if items is None else items.unionByName(named, allowMissingColumns=True)
+        self.items = settled(items, "items", "kind")
+        on = [*windows.lookup, "item_id"]
+        wanted = self.items.select(*on).where(F.col("item_id").isNotNull()).distinct()
+        sums = [F.count(F.lit(1)).alias("_times")]
+        if "saving_value" in submitted.columns:
+            sums.append(F.sum("saving_value").alias("_sent"))
+        by = [c for c in ("status",) if c in submitted.columns]
+        rolled = linked(submitted, wanted, on, fits(wanted), "left_semi").groupBy(*on, *by).agg(*sums)
+        self.sent = settled(rolled, "sent") if len(kinds) > 1 else rolled
+
+    def of(self, kind: str) -> DataFrame:
+        return self.items.where(F.col("kind") == kind).drop("kind")
+
+    def met(self, kind: str) -> DataFrame:
+        """The items of a kind with what was submitted of each."""
+        return self.of(kind).join(self.sent, [*self.windows.lookup, "item_id"])
+
+    def received(self) -> DataFrame:
+        """:func:`sent_over_received`."""
+        keys = self.windows.keys
+        totals = self.of("received").groupBy(*keys).agg(
+            F.sum("paid_value").alias("_all_paid"), F.sum("reported_value").alias("_all_reported"))
+        sent = self.met("received").groupBy(*keys, "status").agg(
+            F.sum(F.col("paid_value") * F.col("_times")).alias("_paid"),
+            F.sum(F.col("reported_value") * F.col("_times")).alias("_reported"))
+        rows = attach(_per_status(self.windows, sent, ["_paid", "_reported"]), totals, keys,
+                      ["_all_paid", "_all_reported"])
+
+        def share(part: str, whole: str) -> Column:
+            sent_share = ratio(_unless_null_status(F.col(part)), F.col(whole))
+            return F.when(or_zero(F.col(whole)) == 0, F.lit(1.0)).otherwise(or_zero(sent_share))
+
+        return rows.select(*keys, "status", share("_paid", "_all_paid").alias("paid_share"),
+                           share("_reported", "_all_reported").alias("reported_share"))
+
+    def _totals(self, kind: str) -> DataFrame:
+        return self.of(kind).groupBy(*self.windows.keys).agg(F.sum("saving_value").alias("_total"))
+
+    def by_status(self, kind: str) -> DataFrame:
+        """Per status, submitted over known saving of accepted or analysed items."""
+        keys = self.windows.keys
+        sent = self.met(kind).groupBy(*keys, "status").agg(F.sum("_sent").alias("_sent"))
+        return ratio_with_empty_rule(_per_status(self.windows, sent, ["_sent"]),
+                                     self._totals(kind), keys)
+
+    def shared(self) -> DataFrame:
+        """:func:`shared_invoice_completeness`."""
+        keys = self.windows.keys
+        sent = self.met("shared").groupBy(*keys).agg(F.sum("_sent").alias("_sent"))
+        runs = attach(attach(self.windows.runs(self.items), self._totals("shared"), keys, ["_total"]),
+                      sent, keys, ["_sent"])
+        whole = or_zero(F.col("_total"))
+        share = F.when(whole > 0, ratio(or_zero(F.col("_sent")), whole)).otherwise(F.lit(1.0))
+        return runs.select(*keys, share.alias("share"))
 
 
 def sent_over_received(received: DataFrame, validation: DataFrame, submitted: DataFrame,
@@ -92,42 +150,15 @@ def sent_over_received(received: DataFrame, validation: DataFrame, submitted: Da
     Each submitted row of a sendable item counts, of any run and time. With nothing to
     send, every status reads 1.
     """
-    keys, lookup = windows.keys, windows.lookup
-    sendable = _settled(sendable_items(received, validation, windows))
-    totals = sendable.groupBy(*keys).agg(
-        F.sum("paid_value").alias("_all_paid"), F.sum("reported_value").alias("_all_reported")
-    )
-    on = [*lookup, "item_id"]
-    times = _submitted_of(sendable, submitted, on).groupBy(*on, "status").agg(
-        F.count(F.lit(1)).alias("_times"))
-    sent = sendable.join(times, on).groupBy(*keys, "status").agg(
-        F.sum(F.col("paid_value") * F.col("_times")).alias("_paid"),
-        F.sum(F.col("reported_value") * F.col("_times")).alias("_reported"),
-    )
-    rows = attach(_per_status(windows, sent, ["_paid", "_reported"]), totals, keys,
-                  ["_all_paid", "_all_reported"])
-
-    def share(part: str, whole: str) -> Column:
-        sent_share = ratio(_unless_null_status(F.col(part)), F.col(whole))
-        return F.when(or_zero(F.col(whole)) == 0, F.lit(1.0)).otherwise(or_zero(sent_share))
-
-    return rows.select(*keys, "status", share("_paid", "_all_paid").alias("paid_share"),
-                       share("_reported", "_all_reported").alias("reported_share"))
+    sendable = sendable_items(received, validation, windows)
+    sent = submitted.select(*windows.lookup, "item_id", "status")
+    return Reconciliation(windows, sent, received=sendable).received()
 
 
 def _by_item(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rows.groupBy(*keys, "item_id").agg(F.sum("saving_value").alias("saving_value"))
 
 
-def _sent_savings(items: DataFrame, submitted: DataFrame, windows: Windows,
-                  by: Sequence[str]) -> DataFrame:
-    """Submitted saving of the given (settled) items, per run (and status)."""
-    on = [*windows.lookup, "item_id"]
-    per_item = _submitted_of(items, submitted, on).groupBy(*on, *by).agg(F.sum("saving_value").alias("_sent"))
-    return items.join(per_item, on).groupBy(*windows.keys, *by).agg(
-        F.sum("_sent").alias("_sent"))
-
-
 def ratio_with_empty_rule(by_status: DataFrame, total: DataFrame,
                           keys: Sequence[str] = ()) -> DataFrame:
     """Sent over total per status. A run with total 0 and nothing positive sent has the
@@ -143,12 +174,8 @@ def ratio_with_empty_rule(by_status: DataFrame, total: DataFrame,
         *keys, "status", share.alias("share"))
 
 
-def _share_by_status(rows: DataFrame, submitted: DataFrame, windows: Windows) -> DataFrame:
-    keys = windows.keys
-    items = _settled(_by_item(rows, keys))
-    total = items.groupBy(*keys).agg(F.sum("saving_value").alias("_total"))
-    sent = _sent_savings(items, submitted, windows, ["status"])
-    return ratio_with_empty_rule(_per_status(windows, sent, ["_sent"]), total, keys)
+def _submitted_savings(submitted: DataFrame, windows: Windows, *more: str) -> DataFrame:
+    return submitted.select(*windows.lookup, "item_id", *more, "saving_value")
 
 
 _SAVING = ["item_id", "saving_value"]
@@ -166,10 +193,17 @@ def accepted_savings(selected: DataFrame, validation: DataFrame, windows: Window
     return chosen.select(*keys, *_SAVING).unionByName(settled.select(*keys, *_SAVING))
 
 
+def accepted_items(selected: DataFrame, validation: DataFrame, windows: Windows) -> DataFrame:
+    """Accepted savings per item."""
+    return _by_item(accepted_savings(selected, validation, windows), windows.keys)
+
+
 def sent_over_accepted(selected: DataFrame, validation: DataFrame, submitted: DataFrame,
                        windows: Windows) -> DataFrame:
     """Per status, submitted saving of accepted items over the accepted saving."""
-    return _share_by_status(accepted_savings(selected, validation, windows), submitted, windows)
+    items = accepted_items(selected, validation, windows)
+    sent = _submitted_savings(submitted, windows, "status")
+    return Reconciliation(windows, sent, accepted=items).by_status("accepted")
 
 
 def analysed_savings(validation: DataFrame, windows: Windows) -> DataFrame:
@@ -179,23 +213,28 @@ def analysed_savings(validation: DataFrame, windows: Windows) -> DataFrame:
     return windows.of_rows(rows.select(*windows.lookup, *_SAVING, "ingested_at"))
 
 
+def analysed_items(validation: DataFrame, windows: Windows) -> DataFrame:
+    """Analysed savings per item."""
+    return _by_item(analysed_savings(validation, windows), windows.keys)
+
+
+def shared_items(validation: DataFrame, windows: Windows) -> DataFrame:
+    """Savings per item of rows held for a shared invoice and not out for validation."""
+    rows = validation.where(F.col("filtered_reason") == SHARED_INVOICE).where(
+        F.col("status") != PENDING)
+    return _by_item(windows.of_rows(rows.select(*windows.lookup, *_SAVING, "ingested_at")), windows.keys)
+
+
 def sent_over_validation(validation: DataFrame, submitted: DataFrame,
                          windows: Windows) -> DataFrame:
     """Per status, submitted saving of analysed items over the analysed saving."""
-    return _share_by_status(analysed_savings(validation, windows), submitted, windows)
+    sent = _submitted_savings(submitted, windows, "status")
+    return Reconciliation(windows, sent, analysed=analysed_items(validation, windows)
+                          ).by_status("analysed")
 
 
 def shared_invoice_completeness(validation: DataFrame, submitted: DataFrame,
                                 windows: Windows) -> DataFrame:
     """Submitted over known saving of items held for a shared invoice; 1 without any."""
-    keys = windows.keys
-    rows = validation.where(F.col("filtered_reason") == SHARED_INVOICE).where(
-        F.col("status") != PENDING)
-    items = _settled(_by_item(
-        windows.of_rows(rows.select(*windows.lookup, *_SAVING, "ingested_at")), keys))
-    total = items.groupBy(*keys).agg(F.sum("saving_value").alias("_total"))
-    sent = _sent_savings(items, submitted, windows, [])
-    runs = attach(attach(windows.runs(items), total, keys, ["_total"]), sent, keys, ["_sent"])
-    whole = or_zero(F.col("_total"))
-    share = F.when(whole > 0, ratio(or_zero(F.col("_sent")), whole)).otherwise(F.lit(1.0))
-    return runs.select(*keys, share.alias("share"))
+    sent = _submitted_savings(submitted, windows)
+    return Reconciliation(windows, sent, shared=shared_items(validation, windows)).shared()

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimgauge.operators.joins import BROADCAST_BYTES, row_bytes
-from claimgauge.session import ensure_checkpoint_dir, require_utc
+from claimgauge.session import require_utc, settled
 
 
 @dataclass(frozen=True)
@@ -31,19 +31,18 @@ class Spine:
     @classmethod
     def of(cls, runs: DataFrame, keys: Sequence[str], lookup: Sequence[str],
            first: str = "as_of", last: str = "as_of") -> Spine:
-        """Settle ``runs``: written once to the checkpoint folder, then sized.
+        """Settle ``runs``: written once to the scratch folder, then sized.
 
         Only run-sized frames come here, never claim rows. One row of sizes and
         bounds goes back to the driver.
         """
         require_utc(runs.sparkSession)
-        ensure_checkpoint_dir(runs.sparkSession)
-        settled = runs.checkpoint()
-        found = settled.agg(F.sum(row_bytes(*settled.columns)).alias("bytes"),
-                            F.min(first).cast("string").alias("first"),
-                            F.max(last).cast("string").alias("last")).first()
-        types = dict(settled.dtypes)
-        return cls(settled, tuple(keys), tuple(lookup),
+        kept = settled(runs, "runs")
+        found = kept.agg(F.sum(row_bytes(*kept.columns)).alias("bytes"),
+                         F.min(first).cast("string").alias("first"),
+                         F.max(last).cast("string").alias("last")).first()
+        types = dict(kept.dtypes)
+        return cls(kept, tuple(keys), tuple(lookup),
                    (found["bytes"] or 0) <= BROADCAST_BYTES,
                    F.lit(found["first"]).cast(types[first]),
                    F.lit(found["last"]).cast(types[last]))

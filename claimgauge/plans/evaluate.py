@@ -21,7 +21,7 @@ from claimgauge.operators.routing import RUN_COUNT_HANDLER, bindings, failures
 from claimgauge.operators.joins import BROADCAST_BYTES, fits, linked
 from claimgauge.operators.spine import Spine
 from claimgauge.operators.windows import Windows, anchored_windows
-from claimgauge.session import ensure_checkpoint_dir, require_utc
+from claimgauge.session import require_utc, settled
 from claimgauge.sinks.metrics import to_points
 
 
@@ -38,8 +38,9 @@ class Tables:
 _HISTORY = ["history_processable", "history_unprocessable"]
 _VALIDATION = ["internal_validation", "manual_validation"]
 _ENTITY_METRICS = ["new_providers", "new_members", "provider_ratio", "member_ratio"]
-_SUBMISSION_METRICS = ["sent_over_received", "sent_over_accepted", "sent_over_validation",
-                       "shared_invoice"]
+# Submission metrics and the items they are about.
+_ITEMS = {"sent_over_received": "received", "sent_over_accepted": "accepted",
+          "sent_over_validation": "analysed", "shared_invoice": "shared"}
 
 
 def _ref(role: str) -> Column:
@@ -64,7 +65,7 @@ def _named_by(rows: DataFrame) -> list[str]:
 class Evaluation:
     """Metrics of one batch of events. Each method gives the points of one family.
 
-    The work list, an event-sized frame, is settled once in the checkpoint folder and the
+    The work list, an event-sized frame, is settled once in the scratch folder and the
     bytes of its links are summed per role: links of the roles a metric reads are broadcast
     within the bound, and salted beyond it, as one table may hold most rows.
     """
@@ -72,9 +73,8 @@ class Evaluation:
     def __init__(self, checked: DataFrame, tables: Tables, project: str):
         spark = checked.sparkSession
         require_utc(spark)
-        ensure_checkpoint_dir(spark)
         self.tables, self.project = tables, project
-        self.routed = checked.checkpoint()
+        self.routed = settled(checked, "routed")
         self.work = bindings(self.routed).where(F.col("error").isNull())
         refs = self.routed.select("event_id", F.explode(F.flatten(F.transform(
             "handlers", lambda h: h["refs"]))).alias("r"))
@@ -238,7 +238,7 @@ class Evaluation:
     def _submissions(self) -> DataFrame:
         """Submission events with all tables their metrics read, as one set, and their
         question: tables, submission run and time. Events that ask the same share one answer."""
-        theirs = F.filter("handlers", lambda h: h["metric"].isin(_SUBMISSION_METRICS)
+        theirs = F.filter("handlers", lambda h: h["metric"].isin(list(_ITEMS))
                           & h["error"].isNull())
         refs = F.array_distinct(F.flatten(F.transform(theirs, lambda h: h["refs"])))
         runs = self.routed.where(F.size(theirs) > 0).select(
@@ -273,36 +273,58 @@ class Evaluation:
                 .join(result.drop("table_set"), "question"))
         return self._points(done, values, **label_columns)
 
+    def _items(self, kind: str) -> DataFrame:
+        windows = self._windows
+        if kind == "received":
+            received = self._set_rows(self.tables.claims, ["processable", "unprocessable"],
+                                      "item_id", "paid_value", "reported_value", "ingested_at")
+            return reconcile.sendable_items(received, self._checked("invoice_id"), windows)
+        if kind == "accepted":
+            selected = self._set_rows(self.tables.savings, ["selected"], "item_id", "saving_value",
+                                      "ingested_at")
+            return reconcile.accepted_items(
+                selected, self._checked("invoice_id", "saving_value"), windows)
+        checked = self._checked("saving_value", "filtered_reason")
+        if kind == "analysed":
+            return reconcile.analysed_items(checked, windows)
+        return reconcile.shared_items(checked, windows)
+
+    def _reconciliation(self, *kinds: str) -> reconcile.Reconciliation:
+        return reconcile.Reconciliation(
+            self._windows, self._sent("item_id", "status", "saving_value"),
+            **{kind: self._items(kind) for kind in kinds})
+
+    @cached_property
+    def _together(self) -> reconcile.Reconciliation | None:
+        """The items of all submission metrics with work in one table, and one scan of the
+        submissions for all of them; nothing if one of them cannot be had."""
+        kinds = [kind for metric, kind in _ITEMS.items() if metric in self.wanted()]
+        try:
+            return self._reconciliation(*kinds)
+        except Exception:  # noqa: BLE001 - each metric is then tried alone, and fails alone
+            return None
+
+    def _reconciled(self, kind: str) -> reconcile.Reconciliation:
+        return self._together or self._reconciliation(kind)
+
     def sent_over_received(self) -> DataFrame:
-        received = self._set_rows(self.tables.claims, ["processable", "unprocessable"],
-                                  "item_id", "paid_value", "reported_value", "ingested_at")
-        result = reconcile.sent_over_received(
-            received, self._checked("invoice_id"), self._sent("item_id", "status"), self._windows)
-        return self._submission_points("sent_over_received", result, {
+        return self._submission_points("sent_over_received", self._reconciled("received").received(), {
             names.SENT_PAID: "paid_share", names.SENT_REPORTED: "reported_share",
         }, status=label_text(F.col("status")))
 
     def sent_over_accepted(self) -> DataFrame:
-        selected = self._set_rows(self.tables.savings, ["selected"], "item_id", "saving_value",
-                                  "ingested_at")
-        result = reconcile.sent_over_accepted(
-            selected, self._checked("invoice_id", "saving_value"),
-            self._sent("item_id", "status", "saving_value"), self._windows)
-        return self._submission_points("sent_over_accepted", result, {
-            names.SENT_ACCEPTED: "share"}, status=label_text(F.col("status")))
+        return self._submission_points(
+            "sent_over_accepted", self._reconciled("accepted").by_status("accepted"),
+            {names.SENT_ACCEPTED: "share"}, status=label_text(F.col("status")))
 
     def sent_over_validation(self) -> DataFrame:
-        result = reconcile.sent_over_validation(
-            self._checked("saving_value", "filtered_reason"),
-            self._sent("item_id", "status", "saving_value"), self._windows)
-        return self._submission_points("sent_over_validation", result, {
-            names.SENT_VALIDATION: "share"}, status=label_text(F.col("status")))
+        return self._submission_points(
+            "sent_over_validation", self._reconciled("analysed").by_status("analysed"),
+            {names.SENT_VALIDATION: "share"}, status=label_text(F.col("status")))
 
     def shared_invoice(self) -> DataFrame:
-        result = reconcile.shared_invoice_completeness(
-            self._checked("saving_value", "filtered_reason"),
-            self._sent("item_id", "saving_value"), self._windows)
-        return self._submission_points("shared_invoice", result, {names.SHARED_SENT: "share"})
+        return self._submission_points(
+            "shared_invoice", self._reconciled("shared").shared(), {names.SHARED_SENT: "share"})
 
     def expired(self) -> DataFrame:
         runs = self._of("expired").withColumn("table_set", F.md5(F.to_json("refs")))
@@ -326,8 +348,12 @@ class Evaluation:
     )
 
     def wanted(self) -> list[str]:
-        """Families that have work in this batch. The metric names of the work list, a
-        fixed handful, are read back."""
+        """Families that have work in this batch."""
+        return list(self._wanted)
+
+    @cached_property
+    def _wanted(self) -> list[str]:
+        """The metric names of the work list, a fixed handful, are read back once."""
         asked = {r[0] for r in self.work.select("metric").distinct().collect()}
         failed = self.routed.where(
             (F.size("match_errors") > 0)

@@ -5,11 +5,16 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+#: Scratch folders of this process, for ``scratch_scope``.
+_made: list[str] = []
+
 # Instants are compared and floored to days in UTC; everything else is a default
 # worth stating, because plans below lean on it (skewed join sides are split at
 # run time, small shuffles are merged).
@@ -56,13 +61,28 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
         if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError(f"set {CHECKPOINT_CONF} to a folder all executors can reach")
         base = os.path.join(tempfile.gettempdir(), f"claimgauge-{spark.sparkContext.applicationId}")
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    _made.append(f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+def settled(frame: DataFrame, purpose: str, *partitions: str) -> DataFrame:
+    """The frame written once to the scratch folder and read again: its lineage ends there,
+    and what reads it gets columns and sizes. For what several plans share."""
+    path = scratch_dir(frame.sparkSession, purpose)
+    frame.write.partitionBy(*partitions).parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Let ``DataFrame.checkpoint`` work: the cluster's folder, or in local mode one of
-    our own when none is set."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get(CHECKPOINT_CONF, None)
-                                 or scratch_dir(spark, "checkpoints"))
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Scratch folders made inside are removed at the end, whatever happens. Frames that
+    read them must have been written by then."""
+    before = len(_made)
+    try:
+        yield
+    finally:
+        context = spark.sparkContext
+        for path in _made[before:]:
+            at = context._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(context._jsc.hadoopConfiguration()).delete(at, True)
+        del _made[before:]

@@ -20,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from claimgauge.operators.routing import check_tables, event_outcomes, route_events
 from claimgauge.plans.evaluate import Evaluation, Tables, write_families
 from claimgauge.schemas import METRIC
+from claimgauge.session import scratch_scope
 from claimgauge.sinks.metrics import write_points
 from claimgauge.sources.events import decode_events, quarantined, unique_events
 
@@ -96,9 +97,14 @@ def evaluate_batch(events: DataFrame, batch_id: int, job: Job) -> None:
     independent: when one fails, a failure point is written for each of its events and the
     others go on. Ids of events without a readable time are kept under the day of arrival.
     """
-    spark, batch = events.sparkSession, f"{batch_id:012d}"
+    spark = events.sparkSession
     if commits(spark, job.path).where(F.col("batch") == batch_id).limit(1).count():
         return
+    with scratch_scope(spark):
+        _evaluate(events, f"{batch_id:012d}", job)
+
+
+def _evaluate(events: DataFrame, batch: str, job: Job) -> None:
     decoded = decode_events(unique_events(events.select("event_id", "raw")))
     routed = route_events(decoded).withColumn("day", F.coalesce(
         F.col("as_of_day").cast("string"), F.current_date().cast("string")))

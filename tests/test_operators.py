@@ -269,8 +269,33 @@ def test_time_bounds_and_columns_reach_the_scan(spark, data, tmp_path):
         (entities.volume_ratio_by_run(spine, frames["batch"], claims, "provider_id"),
          "created_at"),
         (expiry.expired_validation_total(checked, as_of), "updated_at"),
-        (reconcile.sent_over_received(claims, checked, sent, window), "ingested_at"),
+        (reconcile.sendable_items(claims, checked, window), "ingested_at"),
+        (reconcile.accepted_items(checked, checked, window), "ingested_at"),
+        (reconcile.analysed_items(checked.where("status = 'x'"), window), "ingested_at"),
     ):
         plan = plan_of(result)
         assert f"GreaterThanOrEqual({column}" in plan, plan
-        assert "agent_id" not in plan and "filtered_reason" not in plan
+        assert "agent_id" not in plan
+
+
+def test_submissions_are_scanned_once_for_all_items(spark, data, tmp_path):
+    frames, _ = data
+    frames["sent"].write.parquet(str(tmp_path / "sent"))
+    sent = spark.read.parquet(str(tmp_path / "sent"))
+    window = Windows.single(anchored_window(sent, "r1", F.lit(T0)))
+    checked = frames["checked"]
+    both = reconcile.Reconciliation(
+        window, sent.select("item_id", "status", "saving_value"),
+        received=reconcile.sendable_items(frames["claims"], checked, window),
+        analysed=reconcile.analysed_items(checked, window))
+    # the items and what was sent of them are tables by now: no plan reads submissions again
+    for result in (both.received(), both.by_status("analysed")):
+        plan = plan_of(result)
+        assert "Scan ExistingRDD" not in plan and str(tmp_path) not in plan
+        assert "PartitionFilters: [isnotnull(kind" in plan
+    alone = reconcile.sent_over_received(frames["claims"], checked, sent, window)
+    plan = plan_of(alone)
+    assert "ReadSchema: struct<item_id:string,status:string>" in plan
+    assert set(map(tuple, both.received().collect())) == set(map(tuple, alone.collect()))
+    other = reconcile.sent_over_validation(checked, sent, window)
+    assert set(map(tuple, both.by_status("analysed").collect())) == set(map(tuple, other.collect()))

@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from claimgauge import schemas as m
-from claimgauge.plans.evaluate import Evaluation
-from claimgauge.session import require_utc
+from claimgauge.plans.evaluate import Evaluation, Tables, write_families
+from claimgauge.session import require_utc, scratch_scope, settled
 from claimgauge.sinks.metrics import log_lines, to_points, with_metric_names, write_log, write_points
 from claimgauge.sources.events import read_events, stream_events
 from claimgauge.sources.tables import (
@@ -21,7 +21,7 @@ from claimgauge.sources.tables import (
 )
 from claimgauge.streaming import runs
 from claimgauge.streaming.runs import FamilyFailures, Job, commits, committed, evaluate_batch, start
-from tests.helpers import event, point, points, raw_events, tables
+from tests.helpers import ago, evaluation, event, point, points, raw_events, tables
 
 
 def savings_event(ref="t.s"):
@@ -137,6 +137,38 @@ def test_a_failing_family_stops_no_other(spark, job, monkeypatch):
         point(m.EXECUTION_FAILURE, 1, handler_class="savings/evaluation")}
 
 
+def test_submission_metrics_that_share_items_fail_alone(spark):
+    now = ago(hours=1)
+    data = tables(spark, claims=[dict(table_ref="t.p", item_id="1", paid_value=2.0, reported_value=2.0,
+                                      ingested_at=now)],
+                  savings=[dict(table_ref="t.sel", item_id="1", saving_value=1.0, ingested_at=now)],
+                  submitted=[dict(table_ref="t.sub", item_id="1", saving_value=1.0, status="SUBMITTED_SUCCESS",
+                                  submission_run_id="r")])
+    broken = Tables(data.claims, data.savings.withColumn(
+        "saving_value", F.raise_error(F.lit("unreadable")).cast("double")), data.validation, data.submitted)
+    run = event("pipesv2_submission", {
+        "partner": "acme", "submission_run_id": "r", "processable_claims_historical_table": "t.p",
+        "unprocessable_claims_historical_table": "t.u", "internal_validation_output_table": "t.i",
+        "manual_validation_output_table": "t.m", "claims_submitted_output_table": "t.sub",
+        "selected_savings_historical_table": "t.sel"})
+    found = evaluation(spark, broken, run, manifest=["t.p", "t.u", "t.i", "t.m", "t.sub", "t.sel"])
+    written = {}
+    failed = write_families(found, lambda points_, family: written.update({family: points_.collect()}))
+    assert set(failed) == {"sent_over_accepted"}
+    assert {r.metric_name for r in written["sent_over_accepted"]} == {m.EXECUTION_FAILURE}
+    for family in ("sent_over_received", "sent_over_validation", "shared_invoice"):
+        assert written[family] and all(r.value == 1.0 for r in written[family]), family
+
+
+def test_scratch_folders_go_at_the_end_of_a_scope(spark, tmp_path):
+    with scratch_scope(spark):
+        kept = settled(spark.range(3), "some")
+        path = kept.inputFiles()[0]
+        assert kept.count() == 3
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|PATH_NOT_FOUND|does not exist"):
+        spark.read.parquet(path).count()
+
+
 def sample_points(spark):
     rows = spark.createDataFrame([("e1", "acme", 1.5), ("e2", None, None)],
                                  "event_id string, partner string, v double")
