@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,6 +11,12 @@ from pyspark.sql import functions as F
 FALSY_JSON = ["null", '""', "0", "0.0", "-0", "-0.0", "false", "[]", "{}"]
 
 
+def once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is worked out once per row however often ``body`` names it:
+    parsing must not be repeated by each of its uses."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def get(value: Column, path: str) -> Column:
     """The value at ``path``: SQL NULL if absent, a variant null if it is JSON null."""
     return F.try_variant_get(value, path, "variant")

@@ -21,6 +21,7 @@ from claimgauge.functions.variants import (
     given_text,
     is_missing,
     is_object,
+    once,
     text_at,
 )
 from claimgauge.schemas import COMPLETED
@@ -248,9 +249,11 @@ def route_events(decoded: DataFrame) -> DataFrame:
         .withColumn("_fields", payload)
         .withColumn("pipeline_uuid", as_text(F.col("_fields.pipeline_uuid")))
         .withColumn("status", as_text(F.col("_fields.status")))
-        .withColumn("_stamp", as_text(get(doc, "$.source_timestamp")))
-        .withColumn("as_of", parse_instant(F.col("_stamp")))
-        .withColumn("as_of_day", F.when(F.col("as_of").isNotNull(), parse_day(F.col("_stamp"))))
+        # a generator, so that the time is read once and not by each of its uses
+        .select("*", F.inline(F.array(once(as_text(get(doc, "$.source_timestamp")), lambda stamp: once(
+            parse_instant(stamp), lambda as_of: F.struct(
+                as_of.alias("as_of"),
+                F.when(as_of.isNotNull(), parse_day(stamp)).alias("as_of_day")))))))
         .withColumn("_pairs", _pairs(text_at))
         .withColumn("_given", _given(F.col("_pairs")))
         .withColumn("partner", F.try_element_at("_given", F.lit("partner")))
@@ -281,7 +284,7 @@ def route_events(decoded: DataFrame) -> DataFrame:
             F.when(counts_runs, F.array(_run_count_handler())).otherwise(no_handlers),
             F.coalesce("_routes", no_handlers))).otherwise(no_handlers))
         .withColumn("handlers", _handled(F.col("_matched")))
-        .drop("_stamp", "_payload", "_fields", "_pairs", "_given", "_routes", "_matched", "doc",
+        .drop("_payload", "_fields", "_pairs", "_given", "_routes", "_matched", "doc",
               "doc_is_object")
     )
 

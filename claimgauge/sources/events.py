@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimgauge.functions.variants import FALSY_JSON, get, is_object
+from claimgauge.functions.variants import FALSY_JSON, get, is_object, once
 from claimgauge.schemas import RAW_EVENT
 
 DECODED, UNDECODABLE, BROKEN = "decoded", "undecodable", "broken"
@@ -35,22 +35,64 @@ def _base64_text(data: Column) -> Column:
     that nothing needs is ignored, and whatever follows the padding that ends the data is
     not read.
     """
-    plain = (F.length(data) % 4 == 0) & ~data.rlike(r"[^A-Za-z0-9+/=]|=[^=]|^=")
-    clean = F.regexp_replace(F.regexp_replace(data, r"[^A-Za-z0-9+/=]", ""), "^=+", "")
-    letters = F.regexp_extract(clean, "^[A-Za-z0-9+/]*", 0)
-    extra = F.length(letters) % 4
-    ends = ((extra == 2) & clean.rlike("^[A-Za-z0-9+/]*==")) | (
-        (extra == 3) & clean.rlike("^[A-Za-z0-9+/]*="))
-    mended = F.when(ends, F.concat(letters, F.when(extra == 2, "==").otherwise("="))).otherwise(
-        F.replace(clean, F.lit("="), F.lit("")))
-    binary = F.coalesce(
-        F.when(plain, F.try_to_binary(data, F.lit("base64"))),
-        # only what is not already clean pays for the cleaning
-        F.when(F.length(mended) % 4 == 0, F.try_to_binary(mended, F.lit("base64"))),
-    )
+    def mended(clean: Column) -> Column:
+        def padded(letters: Column) -> Column:
+            extra = F.length(letters) % 4
+            ends = ((extra == 2) & clean.rlike("^[A-Za-z0-9+/]*==")) | (
+                (extra == 3) & clean.rlike("^[A-Za-z0-9+/]*="))
+            return F.when(ends, F.concat(letters, F.when(extra == 2, "==").otherwise("="))).otherwise(
+                F.replace(clean, F.lit("="), F.lit("")))
+
+        return once(F.regexp_extract(clean, "^[A-Za-z0-9+/]*", 0), padded)
+
+    def read(text: Column, otherwise: Column) -> Column:
+        plain = (F.length(text) % 4 == 0) & text.rlike(r"^[A-Za-z0-9+/]*={0,2}\z")
+        return F.when(plain, F.try_to_binary(text, F.lit("base64"))).otherwise(otherwise)
+
+    def cleaned(text: Column) -> Column:
+        clean = F.regexp_replace(F.regexp_replace(text, r"[^A-Za-z0-9+/=]", ""), "^=+", "")
+        return once(once(clean, mended), lambda m: F.when(
+            F.length(m) % 4 == 0, F.try_to_binary(m, F.lit("base64"))))
+
+    # most texts are clean, most others only broken into lines; patterns over the whole
+    # text are for the rest
+    in_one = F.translate(data, " \t\r\n", "")
+    binary = read(data, once(in_one, lambda text: read(text, cleaned(text))))
     return F.try_validate_utf8(binary.cast("string"))
 
 
+def _judged(envelope: Column) -> Column:
+    """``decoding``, ``doc`` and ``doc_is_object`` of a parsed envelope. Whatever is parsed or read
+    from it is so once."""
+    def of_parts(p: Column) -> Column:
+        is_text = p["kind"] == "STRING"
+        has_data = p["data"].isNotNull() & F.when(is_text, p["text"] != "").otherwise(
+            ~F.to_json(p["data"]).isin(FALSY_JSON))
+        wrong_shape = ~is_object(envelope) | (
+            p["message"].isNotNull() & ~is_object(p["message"])) | (has_data & ~is_text)
+        direct = (get(envelope, "$.payload").isNotNull()
+                  & get(envelope, "$.source_timestamp").isNotNull())
+
+        def of_inner(inner: Column) -> Column:
+            readable = inner.isNotNull() & ~F.is_variant_null(inner)
+            decoding = (
+                F.when(envelope.isNull(), UNDECODABLE)
+                .when(wrong_shape, BROKEN)
+                .when(has_data, F.when(readable, DECODED).otherwise(UNDECODABLE))
+                .when(direct, DECODED).otherwise(UNDECODABLE))
+            return F.struct(
+                decoding.alias("decoding"), F.when(has_data, inner).otherwise(envelope).alias("doc"),
+                F.when(has_data, is_object(inner)).otherwise(True).alias("doc_is_object"))
+
+        return once(F.when(has_data & is_text, F.try_parse_json(_base64_text(p["text"]))), of_inner)
+
+    data = get(envelope, "$.message.data")
+    return once(F.struct(
+        get(envelope, "$.message").alias("message"), data.alias("data"),
+        F.schema_of_variant(data).alias("kind"),
+        F.try_variant_get(envelope, "$.message.data", "string").alias("text")), of_parts)
+
+
 def decode_events(events: DataFrame, raw: str = "raw") -> DataFrame:
     """Add ``doc`` (the event as VARIANT) and ``decoding`` to raw events.
 
@@ -61,37 +103,10 @@ def decode_events(events: DataFrame, raw: str = "raw") -> DataFrame:
     last counts, if ``spark.sql.variant.allowDuplicateKeys`` is set as in
     ``session.SETTINGS``; ``NaN`` and ``Infinity`` are no JSON here.
     """
-    message, data = F.col("_message"), F.col("_data")
-    opened = (
-        events.withColumn("_envelope", F.try_parse_json(F.col(raw)))
-        .withColumn("_message", get(F.col("_envelope"), "$.message"))
-        .withColumn("_data", F.to_json(get(F.col("_envelope"), "$.message.data")))
-        .withColumn("_has_data", data.isNotNull() & ~data.isin(FALSY_JSON))
-        .withColumn("_text", F.when(F.col("_has_data"), _base64_text(
-            F.try_variant_get("_envelope", "$.message.data", "string"))))
-        .withColumn("_inner", F.try_parse_json("_text"))
-        .withColumn("_direct", get(F.col("_envelope"), "$.payload").isNotNull()
-                    & get(F.col("_envelope"), "$.source_timestamp").isNotNull())
-    )
-    wrong_shape = ~is_object(F.col("_envelope")) | (
-        message.isNotNull() & ~is_object(message)
-    ) | (F.col("_has_data") & ~data.startswith('"'))
-    readable = F.col("_inner").isNotNull() & ~F.is_variant_null("_inner")
-    decoding = (
-        F.when(F.col("_envelope").isNull(), UNDECODABLE)
-        .when(wrong_shape, BROKEN)
-        .when(F.col("_has_data"), F.when(readable, DECODED).otherwise(UNDECODABLE))
-        .when(F.col("_direct"), DECODED).otherwise(UNDECODABLE)
-    )
-    result = F.struct(
-        decoding.alias("decoding"),
-        F.when(F.col("_has_data"), F.col("_inner")).otherwise(F.col("_envelope")).alias("doc"),
-        F.when(F.col("_has_data"), is_object(F.col("_inner"))).otherwise(True)
-        .alias("doc_is_object"),
-    )
     # a generator: later filters on the result stay above it instead of being pushed
     # down, which would parse the documents once more per use
-    decoded = opened.select(*events.columns, F.inline(F.array(result)))
+    result = once(F.try_parse_json(F.col(raw)), _judged)
+    decoded = events.select(*events.columns, F.inline(F.array(result)))
     return decoded.withColumn("doc", F.when(F.col("decoding") == DECODED, F.col("doc")))
 
 
