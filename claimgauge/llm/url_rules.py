@@ -29,8 +29,6 @@ LEAST_SUPPORT = 0.0005
 LEAST_PAGES = 20
 LEAST_CONFIDENCE = 0.8
 BLOCKED = "label=block"
-#: Tokens of a URL: its last host labels and first path segments, scheme and query keys.
-HOST_LABELS, SEGMENTS, QUERY_KEYS = 4, 4, 4
 
 _HOST_PATH = r"^(?s:.*?)://([^/?#]*)([^?#]*)"
 
@@ -57,14 +55,14 @@ def given_rule(host: Column, path: Column, rules=RULES) -> Column:
 
 
 def url_tokens(url: Column) -> Column:
-    """Distinct tokens of a URL, digits in path segments written as ``0``; empty without
-    ``://``. Their number is bounded, so one URL has a bounded number of token sets."""
+    """Distinct tokens of a whole URL: scheme, host labels, path segments (digits written as
+    ``0``) and query keys, however many; empty without ``://``."""
     host, path = url_host(url), url_path(url)
-    labels = F.slice(F.reverse(F.split(host, r"\.")), 1, HOST_LABELS)
-    segments = F.slice(F.array_remove(F.split(F.regexp_replace(path, r"\d+", "0"), "/"), ""), 1, SEGMENTS)
+    labels = F.array_remove(F.split(host, r"\."), "")
+    segments = F.array_remove(F.split(F.regexp_replace(path, r"\d+", "0"), "/"), "")
     query = F.regexp_extract(F.coalesce(url, F.lit("")), r"\?([^#]*)", 1)
-    keys = F.slice(F.array_remove(F.transform(
-        F.split(query, "&"), lambda pair: F.substring_index(pair, "=", 1)), ""), 1, QUERY_KEYS)
+    keys = F.array_remove(F.transform(
+        F.split(query, "&"), lambda pair: F.substring_index(pair, "=", 1)), "")
     tokens = F.array_distinct(F.concat(
         F.array(F.concat(F.lit("s:"), F.substring_index(url, "://", 1))),
         F.transform(labels, lambda x: F.concat(F.lit("h:"), x)),
@@ -74,6 +72,31 @@ def url_tokens(url: Column) -> Column:
         F.array().cast("array<string>"))
 
 
+def _baskets(pages: DataFrame, known: DataFrame, least: int | float) -> tuple[DataFrame, DataFrame, int]:
+    """Baskets of labelled pages (``items``), the uses of their tokens, and their number.
+
+    Tokens on fewer than the least number of pages take part in no rule and are left out. Of tokens that are always on the same pages (the labels of one host, the steps
+    of one path) the least stands for all: sets of them would be as many as their
+    subsets, and say the same.
+    """
+    rows = written(
+        pages.where(F.col("url").isNotNull()).select("page_id", url_tokens(F.col("url")).alias("tokens"))
+        .where(F.size("tokens") > 0).join(known, "page_id")
+        .withColumn("row", F.monotonically_increasing_id()), "tokens")
+    total = rows.count()
+    spread = rows.select("row", F.explode("tokens").alias("token"))
+    uses = spread.groupBy("token").agg(
+        F.count("*").alias("uses"), F.sum(F.xxhash64("row").cast("decimal(38,0)")).alias("where"))
+    uses = uses.where(F.col("uses") >= least)
+    kept = written(uses.groupBy("uses", "where").agg(F.min("token").alias("token")), "uses")
+    items = spread.join(kept.select("token"), "token").groupBy("row").agg(
+        F.collect_list("token").alias("tokens"))
+    baskets = written(rows.select("row", "bad").join(items, "row").select(
+        F.when(F.col("bad") == 1, F.concat("tokens", F.array(F.lit(BLOCKED))))
+        .otherwise(F.col("tokens")).alias("items")), "baskets")
+    return baskets, kept.select("token", "uses"), total
+
+
 def mined_rules(pages: DataFrame, labels: DataFrame, support: float = LEAST_SUPPORT,
                 least_pages: int = LEAST_PAGES, confidence: float = LEAST_CONFIDENCE) -> DataFrame:
     """``(tokens, confidence, key)``: token sets whose labelled pages (``page_id`` is the
@@ -82,22 +105,23 @@ def mined_rules(pages: DataFrame, labels: DataFrame, support: float = LEAST_SUPP
     known = labels.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("page_id")).agg(
         F.max((F.coalesce(F.col("toxic") == 1, F.lit(False))
                | F.coalesce(F.col("quality") == 0, F.lit(False))).cast("int")).alias("bad"))
-    baskets = written(
-        pages.where(F.col("url").isNotNull()).select("page_id", url_tokens(F.col("url")).alias("tokens"))
-        .where(F.size("tokens") > 0).join(known, "page_id")
-        .select(F.when(F.col("bad") == 1, F.concat("tokens", F.array(F.lit(BLOCKED))))
-                .otherwise(F.col("tokens")).alias("items")), "baskets")
-    total = baskets.count()
+    labelled = pages.where(F.col("url").isNotNull()).join(known, "page_id", "left_semi").count()
     rules_schema = "tokens array<string>, confidence double, key string"
+    if not labelled:
+        return pages.sparkSession.createDataFrame([], rules_schema)
+    baskets, use, total = _baskets(pages, known, max(support * labelled, least_pages, 1))
     if not total:
         return pages.sparkSession.createDataFrame([], rules_schema)
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(support, least_pages / total)),
+    least = min(1.0, max(support, least_pages / total))
+    # the support is a share of the baskets, from which pages without a frequent token are missing
+    left = baskets.count()
+    if not left or least * total > left:
+        return pages.sparkSession.createDataFrame([], rules_schema)
+    model = FPGrowth(itemsCol="items", minSupport=least * total / left,
                      minConfidence=confidence).fit(baskets)
     found = written(model.associationRules.where(
         (F.size("consequent") == 1) & (F.element_at("consequent", 1) == BLOCKED)).select(
             F.array_sort("antecedent").alias("tokens"), "confidence"), "rules")
-    use = baskets.select(F.explode("items").alias("token")).groupBy("token").agg(
-        F.count("*").alias("uses"))
     rarest = (found.select("tokens", "confidence", F.explode("tokens").alias("token"))
               .join(use, "token").groupBy("tokens", "confidence")
               .agg(F.min_by("token", F.struct("uses", "token")).alias("key")))
@@ -122,7 +146,9 @@ def judge_urls(pages: DataFrame, labels: DataFrame, rules=RULES, **limits) -> Da
     met = urls.select("url", "__tokens", F.explode("__tokens").alias("key")).join(mined, "key").where(
         F.size(F.array_except("tokens", "__tokens")) == 0)
     best = met.groupBy("url").agg(F.max("confidence").alias("__confidence"))
-    judged = pages.join(best, "url", "left").withColumns({
+    # null URLs meet nothing and stay where they are
+    given = pages.where(F.col("url").isNotNull()).join(best, "url", "left")
+    judged = given.unionByName(pages.where(F.col("url").isNull()), allowMissingColumns=True).withColumns({
         "host": url_host(F.col("url")), "path": url_path(F.col("url"))})
     judged = judged.withColumn("__rule", given_rule(F.col("host"), F.col("path"), rules))
     return judged.withColumns({

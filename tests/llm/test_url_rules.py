@@ -64,6 +64,42 @@ def test_mines_token_pairs(spark):
         assert (r["verdict"] == "block") == bad
 
 
+def deep(spark, where, n=240):
+    """Labelled pages that are bad exactly if they have a token far down in the URL."""
+    pages, labels = [], []
+    for i in range(n):
+        mark = "casino" if i % 3 == 0 else f"w{i % 7}"
+        url = {"segment": f"https://h{i % 5}.net/a/b/c/d/{mark}/x{i}",
+               "key": f"https://h{i % 5}.net/p?a=1&b=2&c=3&d=4&{mark}=5",
+               "subdomain": f"https://{mark}.e.d.c.b.a.h{i % 5}.net/"}[where]
+        pages.append((i, url))
+        labels.append((i, int(i % 3 != 0), 0))
+    return (spark.createDataFrame(pages, "page_id long, url string"),
+            spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+
+
+@pytest.mark.parametrize("where", ["segment", "key", "subdomain"])
+def test_the_query_blocks_by_tokens_anywhere_in_the_url(spark, tmp_path, where):
+    pages, labels = deep(spark, where)
+    pages.write.parquet(str(tmp_path / "pages.parquet"))
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    found = op3_url_rules(spark, str(tmp_path)).collect()
+    assert len(found) == pages.count()
+    assert {r["page_id"] for r in found if r["verdict"] == "block"} == {i for i in range(240) if i % 3 == 0}
+
+
+def test_long_urls_whose_tokens_go_together_are_mined_once(spark):
+    tail = "/".join(f"step{chr(97 + k)}" for k in range(26)) + "/" + "x" * 20_000
+    pages = spark.createDataFrame(
+        [(i, f"https://bad.net/{tail}" if i % 2 else f"https://fine.net/{i}") for i in range(100)],
+        "page_id long, url string")
+    labels = spark.createDataFrame([(i, int(i % 2 == 0), 0) for i in range(100)],
+                                   "doc_id long, quality int, toxic int")
+    assert u.mined_rules(pages, labels).count() == 1
+    found = {r["page_id"]: r["verdict"] for r in u.judge_urls(pages, labels).collect()}
+    assert all(found[i] == ("block" if i % 2 else "allow") for i in range(100))
+
+
 @pytest.mark.parametrize("limits", [{"least_pages": 500}, {"confidence": 1.1}])
 def test_rules_are_pruned_by_support_and_confidence(spark, limits):
     pages, labels = shop(spark)
