@@ -7,6 +7,8 @@ their rates), and hosts that still fail too often take their documents with them
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,8 +17,11 @@ from claimgauge.llm.common import WHITE, let, words_of, written
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 LEAST_WORDS = 10
-#: A host is rejected once the shrunk failure rate of any rule is above this.
-HOST_LIMIT = 0.5
+#: A host is rejected once the shrunk failure rate of any rule is above the prior's mean by
+#: so many of its standard deviations, though not below the first bound, and above the
+#: second in any case.
+PRIOR_DEVIATIONS = 2.0
+HOST_LIMITS = (0.2, 0.5)
 #: Bounds of the prior's weight in documents.
 PRIOR_WEIGHT = (1.0, 1000.0)
 
@@ -79,27 +84,31 @@ RULES = {
 }
 
 
-def host_verdicts(counted: DataFrame, host: str = "source", limit: float = HOST_LIMIT) -> DataFrame:
+def host_verdicts(counted: DataFrame, host: str = "source",
+                  limits: tuple[float, float] = HOST_LIMITS) -> DataFrame:
     """One row per host (null is one of its own): ``host``, ``n_docs`` and for each rule its
-    failures ``f_*`` and shrunk rate ``r_*``; ``rejected`` if any rate is above ``limit``."""
+    failures ``f_*`` and shrunk rate ``r_*``; ``rejected`` if any rate is beyond what the prior
+    of its rule has hosts do (see ``PRIOR_DEVIATIONS``)."""
     fails = {rule: F.expr(test).cast("long") for rule, test in RULES.items()}
     hosts = written(counted.groupBy(F.col(host).alias("host")).agg(
         F.count("*").alias("n_docs"), *[F.sum(x).alias(f"f_{r}") for r, x in fails.items()]), "hosts")
     rate = {r: F.col(f"f_{r}") / F.col("n_docs") for r in RULES}
     moments = hosts.agg(F.sum("n_docs").alias("n"), *[x for r in RULES for x in (
         F.sum(f"f_{r}").alias(f"f_{r}"), F.var_samp(rate[r]).alias(f"v_{r}"))]).first()
-    rates = {}
+    rates, beyond = {}, []
     for r in RULES:
         mean = (moments[f"f_{r}"] or 0) / (moments["n"] or 1)
         spread = moments[f"v_{r}"] or 0.0
         weight = mean * (1 - mean) / spread - 1 if spread > 0 else PRIOR_WEIGHT[1]
         weight = min(max(weight, PRIOR_WEIGHT[0]), PRIOR_WEIGHT[1])
         rates[f"r_{r}"] = (F.col(f"f_{r}") + mean * weight) / (F.col("n_docs") + weight)
-    judged = hosts.withColumns(rates)
-    return judged.withColumn("rejected", F.greatest(*[F.col(f"r_{r}") for r in RULES]) > limit)
+        deviation = (mean * (1 - mean) / (weight + 1)) ** 0.5
+        beyond.append(F.col(f"r_{r}") > min(max(mean + PRIOR_DEVIATIONS * deviation, limits[0]), limits[1]))
+    return hosts.withColumns(rates).withColumn("rejected", reduce(lambda a, b: a | b, beyond))
 
 
-def judge(docs: DataFrame, host: str = "source", limit: float = HOST_LIMIT) -> DataFrame:
+def judge(docs: DataFrame, host: str = "source",
+          limits: tuple[float, float] = HOST_LIMITS) -> DataFrame:
     """One row per document: ``doc_id``, the counts, ``base_failed`` (fewer than 10 words, or
     over a fifth of them repeated) and ``kept`` (false if ``base_failed`` or if the host is
     rejected).
@@ -110,7 +119,7 @@ def judge(docs: DataFrame, host: str = "source", limit: float = HOST_LIMIT) -> D
     """
     counted = written(with_counts(docs.select("doc_id", "text", F.col(host).alias("host")))
                       .drop("text"), "counts")
-    out = host_verdicts(counted, "host", limit).where("rejected").select(
+    out = host_verdicts(counted, "host", limits).where("rejected").select(
         F.col("host").alias("bad_host"), "rejected")
     met = counted.join(out, counted["host"].eqNullSafe(out["bad_host"]), "left")
     failed = F.expr(f"{RULES['few_words']} OR {RULES['repeats']}")

@@ -151,7 +151,8 @@ p AS (
     THEN least(greatest(mean * (1 - mean) / spread - 1, 1.0), 1000.0) ELSE 1000.0 END AS weight FROM m),
 bad AS (
   SELECT source FROM h JOIN p USING (rule) GROUP BY source
-  HAVING max((failed + mean * weight) / (n + weight)) > 0.5)
+  HAVING bool_or((failed + mean * weight) / (n + weight)
+    > least(greatest(mean + 2 * sqrt(mean * (1 - mean) / (weight + 1)), 0.2), 0.5)))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   f1 + f2 > 0 AS base_failed,
   f1 + f2 = 0 AND NOT EXISTS (

@@ -65,3 +65,20 @@ def test_query_equals_sql(spark):
     names = [c[0] for c in want.description]
     assert rows(found.select(*names)) == sorted(want.fetchall(), key=repr)
     assert dict(found.dtypes)["n_repeat_words"] == "bigint" and found.where(F.col("kept")).count() > 0
+
+
+def test_query_equals_sql_where_a_host_is_rejected_by_the_prior(spark, tmp_path):
+    good = "every one of these words is said just once in here at most"
+    bad = "## ** $$ %% && || << >> ## **"
+    docs = [(1000 * h + i, good if i % 40 else bad, "en", f"host{h}") for h in range(30) for i in range(40)]
+    docs += [(90_000 + i, good if i % 3 else bad, "en", "odd.example") for i in range(300)]
+    documents(spark, docs).write.parquet(str(tmp_path / "documents.parquet"))
+    found = op8_host_quality(spark, str(tmp_path))
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = db.execute(ORACLES["op8_host_quality"])
+    names = [c[0] for c in want.description]
+    assert rows(found.select(*names)) == sorted(want.fetchall(), key=repr)
+    # a third of its documents fail: less than half, but far more than at any other host
+    lost = {r["doc_id"] for r in found.where("NOT kept AND NOT base_failed").collect()}
+    assert lost == {d[0] for d in docs if d[3] == "odd.example"}
