@@ -129,6 +129,14 @@ def splitters(slim: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANC
     return known, keys
 
 
+def _heavy_keys(slim: DataFrame, share: float) -> list[int]:
+    """Keys of several rows that hold more than this share of all bytes: fewer than its
+    inverse."""
+    total = slim.agg(F.sum("size")).first()[0] or 0
+    held = slim.groupBy("key").agg(F.count("*").alias("n"), F.sum("size").alias("b"))
+    return [r["key"] for r in held.where((F.col("n") > 1) & (F.col("b") > share * total)).collect()]
+
+
 def histogram_shards(docs: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE,
                      probes: int = PROBES, range_bytes: int = RANGE_BYTES,
                      key: Column | None = None) -> DataFrame:
@@ -137,12 +145,23 @@ def histogram_shards(docs: DataFrame, shards: int = SHARDS, tolerance: float = T
 
     Shard sizes differ from the mean by about twice the tolerance at most, or by a row
     where rows are larger than that. Equal texts share a shard unless the group is cut by
-    a splitter that cannot move by its size. Rows alike in text and id are not cut apart.
+    a splitter that cannot move by its size. Rows alike in text and id have one key; where
+    they are more than the tolerance, they are written with keys of their own and can be
+    cut as well (not with a ``key`` of the caller's, whose order is kept).
     Null texts count as size 1 and form a group of their own. An empty table stays empty.
     ``key`` may be any long expression without nulls.
     """
-    key = text_key(docs) if key is None else key
-    slim = written(docs.select(key.alias("key"), byte_size(F.col("text")).alias("size")), "keys")
+    own, key = key is None, text_key(docs) if key is None else key
+    keyed = docs.withColumn("__key", key)
+    slim = written(keyed.select(F.col("__key").alias("key"), byte_size(F.col("text")).alias("size")), "keys")
+    alike = _heavy_keys(slim, tolerance / shards) if own else []
+    if alike:
+        # a row's number is settled by writing the row, and only these rows
+        number = F.shiftrightunsigned(F.xxhash64(F.monotonically_increasing_id()), 64 - GROUP_BITS)
+        upper = F.col("__key").bitwiseAND(F.lit(-1 << GROUP_BITS))
+        cut = written(keyed.where(F.col("__key").isin(alike)).withColumn("__key", upper.bitwiseOR(number)), "alike")
+        keyed = keyed.where(~F.col("__key").isin(alike)).unionByName(cut)
+        slim = written(keyed.select(F.col("__key").alias("key"), byte_size(F.col("text")).alias("size")), "keys")
     known, starts = splitters(slim, shards, tolerance, probes, range_bytes)
     cuts, ranges, base = set(starts), [], []
     for k, b, below in zip(known.keys[:-1] or known.keys, known.bytes, known.rows):
@@ -153,7 +172,7 @@ def histogram_shards(docs: DataFrame, shards: int = SHARDS, tolerance: float = T
     shard = np.searchsorted(np.array(starts), np.array(ranges), "right").astype("int32")
     first = {s: n for s, n in reversed(list(zip(shard.tolist(), base)))}
     base = np.array([n - first[s] for s, n in zip(shard.tolist(), base)], np.int64)
-    placed = docs.withColumns({"size": byte_size(F.col("text")), "__key": key})
+    placed = keyed.withColumn("size", byte_size(F.col("text")))
     placed = placed.withColumn("__place", _searched(F.col("__key"), ranges, shard, base))
     order = Window.partitionBy("__range").orderBy("__key", "doc_id", F.xxhash64("text"))
     return (placed.withColumns({"__range": F.col("__place.range"), "shard": F.col("__place.shard"),

@@ -51,6 +51,15 @@ def test_a_group_of_a_third_of_all_rows_is_cut(spark):
     check_slots(found)
 
 
+def test_a_third_of_all_rows_alike_in_text_and_id_is_cut(spark):
+    rows = [(None, "same" * 20) if i % 3 == 0 else (i, f"text number {i} " * 4) for i in range(9000)]
+    found = histogram_shards(documents(spark, rows), range_bytes=40_000).collect()
+    assert len(found) == 9000
+    by = [sum(r["size"] for r in found if r["shard"] == s) for s in range(16)]
+    assert max(by) <= 1.02 * sum(by) / 16 + 100 and min(by) >= 0.98 * sum(by) / 16 - 100
+    check_slots(found)
+
+
 def test_more_shards_than_rows_and_any_key(spark):
     found = histogram_shards(documents(spark, [(1, "a"), (2, "b")]), shards=16).collect()
     assert len(found) == 2
