@@ -148,7 +148,12 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, window: int = WIND
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without those that contain a benchmark item; columns stay as they are."""
+    """``docs`` without those that contain a benchmark item; columns stay as they are.
+
+    Null and empty texts contain none and stay. Repeated rows stay or go together. An empty
+    table stays empty; with an empty benchmark all rows stay. Columns named as those of
+    ``ROW_KEY`` are the only ones that must not be there.
+    """
     pairs = contaminated_pairs(docs, benchmark).select(*ROW_KEY).distinct()
     keyed = with_row_key(docs)
     return keyed.join(pairs, same_row(keyed, pairs), "left_anti").select(*docs.columns)

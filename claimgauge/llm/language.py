@@ -188,10 +188,13 @@ def train(docs: DataFrame, rows: int = SAMPLE_ROWS, folds: int = FOLDS,
     counts = slim.groupBy("lang").agg(F.count("*").alias("n"))
     low = F.pmod(place, F.lit(1 << 40)) * F.col("n") < 2.0 * rows * (1 << 40)
     order = Window.partitionBy("lang").orderBy(place, "id", "hash")
-    ids = (slim.join(counts, "lang").where(low).withColumn("n", F.row_number().over(order))
+    ids = (slim.join(counts, "lang").where(low).select("lang", "id", "hash").distinct()
+           .withColumn("n", F.row_number().over(order))
            .where(F.col("n") <= rows).select("lang", "id", "hash"))
-    # ``rows`` ids per language of 40 bytes each: bounded by the parameter.
-    picked = own.join(F.broadcast(ids), ["lang", "id", "hash"]).select("lang", "text")
+    # ``rows`` ids per language of 40 bytes each: bounded by the parameter. Of repeated rows
+    # one is learnt from.
+    picked = (own.join(F.broadcast(ids), ["lang", "id", "hash"])
+              .dropDuplicates(["lang", "id", "hash"]).select("lang", "text"))
     counted = (picked.mapInPandas(_count_grams, "lang string, gram long, n long")
                .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     return LanguageModel(counted.toPandas())

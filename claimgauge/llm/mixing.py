@@ -182,7 +182,12 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None =
 
 
 def mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
-    """``docs`` with each row as often as its ``copies`` say; columns stay as they are."""
+    """``docs`` with each row as often as its ``copies`` say; columns stay as they are.
+
+    Null and empty texts have no tokens and the rate of their posterior like any other; rows
+    alike in id and text have the same number of copies each. An empty table stays empty.
+    Columns named as those of ``ROW_KEY``, ``copies`` and ``__copy`` must not be there.
+    """
     copies = mix(docs, labelled, targets).select(*ROW_KEY, "copies").distinct()
     keyed = with_row_key(docs)
     return (keyed.join(copies, same_row(keyed, copies))

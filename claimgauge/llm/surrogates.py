@@ -57,7 +57,7 @@ PATTERNS = {
 }
 _ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: What a text must have for any pattern to match; cheap to look for.
-_HINT = r"[0-9@]|[=:] ?[\"']?[A-Za-z_+/-]{8}|" + "|".join(
+_HINT = r"[0-9@]|[=:] {0,2}[\"']?[A-Za-z_+/-]{8}|" + "|".join(
     t for titles in TITLES.values() for t in titles)
 
 
@@ -257,8 +257,11 @@ def with_surrogates(docs: DataFrame, key: str) -> DataFrame:
     pieces = F.split("text", _ANY, -1)
     woven = F.array_join(F.transform(F.arrays_zip(pieces.alias("a"), F.col("__new.new").alias("b")),
                                      lambda x: F.concat(x["a"], F.coalesce(x["b"], F.lit("")))), "")
-    names = F.array_distinct(F.transform(F.filter("__new", lambda x: x["name"].isNotNull()), lambda x: F.struct(
-        x["name"].alias("old"), x["surrogate"].alias("new"))))
+    # longer names first: a full name must be met before its last word is replaced
+    names = F.sort_array(F.array_distinct(F.transform(
+        F.filter("__new", lambda x: x["name"].isNotNull()), lambda x: F.struct(
+            (-F.char_length(x["name"])).alias("shorter"), x["name"].alias("old"),
+            x["surrogate"].alias("new")))))
     again = F.aggregate(names, woven, lambda text, n: F.regexp_replace(
         text, F.concat(F.lit(r"(?<!\p{L})\Q"), n["old"], F.lit(r"\E(?!\p{L})")), n["new"]))
     changed = met.withColumn("text", F.when(F.col("__new").isNull(), F.col("text")).otherwise(again))

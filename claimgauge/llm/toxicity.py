@@ -174,6 +174,11 @@ def with_toxicity(docs: DataFrame, machine: FactorizationMachine, name: str = "s
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` without the rows scored ``threshold`` or more."""
+    """``docs`` without the rows scored ``threshold`` or more.
+
+    Null and empty texts get the score of a text without terms and are judged by it. Rows
+    alike in text stay or go together. An empty table stays empty; without labels nothing
+    is learnt and the score is that of the bias alone. A column ``__toxic`` must not be there.
+    """
     scored = with_toxicity(docs, train(docs, labels), "__toxic")
     return scored.where(F.col("__toxic") < threshold).drop("__toxic")

@@ -114,3 +114,11 @@ def test_held_out_accuracy(spark):
 def test_letters(spark, text, und):
     found = language.with_language(documents(spark, [(1, text)]), model()).first()
     assert (found["lang_pred"] == "und") == und
+
+
+def test_repeated_rows_are_learnt_once(spark):
+    one = [(i, f"some english text number {i}", "en") for i in range(40)]
+    once = language.train(documents(spark, one))
+    again = language.train(documents(spark, one * 7))
+    probe = ["some text", "english number 3", "xyz"]
+    assert np.array_equal(once.code_lengths(probe), again.code_lengths(probe))

@@ -1,5 +1,7 @@
 import re
 
+import pytest
+
 from claimgauge.llm import surrogates as s
 from claimgauge.llm.queries import op6_pii_surrogates
 from tests.llm.helpers import awkward, clashing, documents, rows
@@ -82,3 +84,17 @@ def test_query_leaves_no_personal_data_and_clean_texts_alone(spark):
         for a, b in zip(before, after):
             assert names.setdefault(a.lower(), b.lower()) == b.lower()
     assert len(set(names.values())) == len(names) > 30
+
+
+def test_full_names_are_replaced_before_their_last_words(spark):
+    text = "Mr. Smith came. Mr. John Smith spoke. John Smith left."
+    new = s.with_surrogates(documents(spark, [(1, text)]), "k").first()["text"]
+    assert "John" not in new and "Smith" not in new
+    full = re.search(r"Mr\. (\w+ \w+) spoke", new).group(1)
+    assert new.endswith(f"{full} left.")
+
+
+@pytest.mark.parametrize("blanks", ["", " ", "  "])
+def test_secrets_behind_blanks_are_found(spark, blanks):
+    new = s.with_surrogates(documents(spark, [(1, f"password:{blanks}abcdefghij")]), "k").first()
+    assert new["n_entities"] == 1 and "abcdefghij" not in new["text"]
