@@ -26,10 +26,14 @@ FOLDS, FOLD = 4, 2
 #: Bound of the labelled sample, half of it toxic where there are enough.
 SAMPLE_ROWS = 6_000
 SPACE = 1 << 20
-TERMS = 4_096
 #: A term takes part if this many sample texts have it, and its shares of toxic and other
-#: texts are this many standard errors apart.
+#: texts are this many standard errors apart,
 LEAST_TEXTS, LEAST_ERRORS = 4, 3.0
+#: or if it is a word of this many sample texts that works together with another such word:
+#: toxic shares of texts with both, either and none of the two do not add up, by this many errors.
+PAIR_TEXTS, PAIR_CELL, PAIR_ERRORS = 30, 5, 6.0
+#: Words a task of the search for pairs tries against all others, and texts it reads at a time.
+PAIR_BLOCK, PAIR_SLAB = 256, 512
 RANK = 4
 STEPS = 80
 THRESHOLD = 0.3
@@ -40,9 +44,13 @@ _MEMO = 400_000
 _LETTERS = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 
 
+def hashed_word(word: bytes) -> int:
+    return zlib.crc32(b"=" + word) % SPACE
+
+
 def hashed_terms(word: bytes) -> set[int]:
     heads = [b"^" + word[:n] for n in PREFIXES if len(word) >= n]
-    return {zlib.crc32(term) % SPACE for term in (b"=" + word, *heads)}
+    return {hashed_word(word), *(zlib.crc32(head) % SPACE for head in heads)}
 
 
 def words_of(text: str | None) -> set[bytes]:
@@ -119,17 +127,68 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -50, 50)))
 
 
+def pair_words(examples: DataFrame, least_texts: int = PAIR_TEXTS) -> DataFrame:
+    """``hash`` of the words that work in a pair, whatever their single effects.
+
+    ``examples`` has ``label`` and ``words`` (hashes) of a bounded sample. Each task takes a
+    block of words and keeps, for each of them, the clearest contrast with any other word:
+    p11 - p10 - p01 + p00 over the four cells of texts that have both, one or none of them.
+    No table of pairs is made.
+    """
+    counts = examples.select(F.explode("words").alias("hash")).groupBy("hash").count().where(
+        F.col("count") >= least_texts)
+    vocabulary = np.array(sorted(r["hash"] for r in counts.select("hash").collect()), np.int64)
+    blocks = -(-len(vocabulary) // PAIR_BLOCK)
+
+    def contrasts(key: tuple, sample: pd.DataFrame) -> pd.DataFrame:
+        block = slice(key[0] * PAIR_BLOCK, (key[0] + 1) * PAIR_BLOCK)
+        mine, size = vocabulary[block], len(vocabulary)
+        both, toxic_both = (np.zeros((len(mine), size)) for _ in range(2))
+        all_, toxic = np.zeros(size), np.zeros(size)
+        for at in range(0, len(sample), PAIR_SLAB):
+            slab = sample.iloc[at:at + PAIR_SLAB]
+            flat, row, n = _flat(list(slab["words"]))
+            place = np.searchsorted(vocabulary, flat)
+            known = vocabulary[np.minimum(place, size - 1)] == flat
+            has = np.zeros((n, size), np.float32)
+            has[row[known], place[known]] = 1
+            bad = slab["label"].to_numpy(np.float32)
+            both += has[:, block].T @ has
+            toxic_both += (has[:, block] * bad[:, None]).T @ has
+            all_ += has.sum(axis=0)
+            toxic += bad @ has
+        total, total_bad = len(sample), float(sample["label"].sum())
+        cells = [both, all_[block][:, None] - both, all_ - both]
+        bad_in = [toxic_both, toxic[block][:, None] - toxic_both, toxic - toxic_both]
+        cells.append(total - sum(cells))
+        bad_in.append(total_bad - sum(bad_in))
+        full = np.minimum.reduce(cells) >= PAIR_CELL
+        one, left, right, none = (b / np.maximum(c, 1) for b, c in zip(bad_in, cells))
+        overall = total_bad / total
+        spread = np.sqrt(overall * (1 - overall) * sum(1 / np.maximum(c, 1) for c in cells))
+        clear = np.abs(one - left - right + none) >= PAIR_ERRORS * spread
+        return pd.DataFrame({"hash": mine[(full & clear & (spread > 0)).any(axis=1)].astype(np.int32)})
+
+    tried = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))) if blocks else F.explode(
+        F.array().cast("array<int>"))
+    return (examples.select("label", "words", tried.alias("block")).groupBy("block")
+            .applyInPandas(contrasts, "hash int"))
+
+
 def train(docs: DataFrame, labels: DataFrame, target: str = "toxic", folds: int = FOLDS,
-          fold: int = FOLD, rows: int = SAMPLE_ROWS, terms: int = TERMS,
-          steps: int = STEPS) -> FactorizationMachine:
-    """Machine learnt from at most ``rows`` labelled texts. Of the hashes whose share of texts
-    differs between the labels (in standard errors) the ``terms`` clearest take part. Without
-    examples every text scores 0.5, with one label only close to that label."""
+          fold: int = FOLD, rows: int = SAMPLE_ROWS, steps: int = STEPS) -> FactorizationMachine:
+    """Machine learnt from at most ``rows`` labelled texts. All hashes take part whose share of
+    texts differs between the labels, and all words that matter in a pair (``pair_words``), however
+    they are spread over the labels by themselves. Without examples every text scores 0.5, with
+    one label only close to that label."""
     sample = labelled_sample(docs, fold_labels(labels, target, folds, fold), [0, 1], rows)
     read = term_reader()
     hashes = F.pandas_udf(lambda texts: pd.Series([read(t) for t in texts]),
                           T.ArrayType(T.IntegerType()))
-    examples = written(sample.select("label", "weight", hashes("text").alias("hashes")), "toxic-terms")
+    whole = F.pandas_udf(lambda texts: pd.Series([sorted({hashed_word(w) for w in words_of(t)})
+                                                  for t in texts]), T.ArrayType(T.IntegerType()))
+    examples = written(sample.select("label", "weight", hashes("text").alias("hashes"),
+                                     whole("text").alias("words")), "toxic-terms")
     sizes = {r["label"]: r["n"] for r in examples.groupBy("label").agg(
         F.count("*").alias("n")).collect()}
     n = [max(1, sizes.get(x, 0)) for x in (0, 1)]
@@ -138,9 +197,9 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "toxic", folds: int
     share = (F.col("in_one") / n[1] - (F.col("all") - F.col("in_one")) / n[0])
     overall = F.col("all") / sum(n)
     errors = F.abs(share) / F.sqrt(overall * (1 - overall / 2) * (1 / n[0] + 1 / n[1]))
-    chosen = (used.where(F.col("all") >= LEAST_TEXTS).withColumn("errors", errors)
-              .where(F.col("errors") >= LEAST_ERRORS).orderBy(F.desc("errors"), "hash").limit(terms))
-    kept = np.array(sorted(r["hash"] for r in chosen.select("hash").collect()), np.int64)
+    chosen = used.where((F.col("all") >= LEAST_TEXTS) & (errors >= LEAST_ERRORS)).select("hash")
+    chosen = chosen.unionByName(pair_words(examples)).distinct()
+    kept = np.array(sorted(r["hash"] for r in chosen.collect()), np.int64)
     start = np.concatenate([np.zeros(1 + len(kept)),
                             np.random.default_rng(5).normal(0, 0.02, len(kept) * RANK)])
     index = {int(h): i for i, h in enumerate(kept)}
@@ -154,7 +213,7 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "toxic", folds: int
         return loss, slope
 
     ridge = np.concatenate([[0.0], np.full(len(kept), 1e-4), np.full(len(kept) * RANK, 3e-4)])
-    return FactorizationMachine(kept, fit(examples, gradient, start, steps, 0.1, ridge))
+    return FactorizationMachine(kept, fit(examples.drop("words"), gradient, start, steps, 0.1, ridge))
 
 
 def with_toxicity(docs: DataFrame, machine: FactorizationMachine, name: str = "score") -> DataFrame:

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from claimgauge.llm import toxicity
 from claimgauge.llm.queries import op5_factorization_toxicity
@@ -35,19 +36,53 @@ def test_slope_is_the_derivative_of_the_loss():
         assert np.isclose((up - down) / 2e-6, slope[k], atol=1e-5)
 
 
-def test_learns_a_pair_that_single_terms_do_not_show(spark):
-    dice, rows_, labels = random.Random(4), [], []
-    for i in range(400):
+def planted_pair(spark, dice, words_of_pair, n=1_200):
+    """Texts that are toxic exactly if one of two signs is there without the other."""
+    texts, labels = [], []
+    for i in range(n):
         a, b = dice.random() < 0.5, dice.random() < 0.5
         words = [dice.choice("plain words of no account whatsoever here".split()) for _ in range(6)]
-        words += ["rotten"] * a + ["neighbours"] * b
-        rows_.append((i, " ".join(words)))
-        labels.append((i, int(a and b)))
-    trained = toxicity.train(documents(spark, rows_), spark.createDataFrame(labels, "doc_id long, toxic int"))
-    read = toxicity.term_reader({int(h): i for i, h in enumerate(trained.terms)})
-    both, one, two, none = trained.margins([read(t) for t in (
-        "rotten neighbours", "rotten words", "plain neighbours", "plain words")])
-    assert both > 0 > max(one, two, none)
+        texts.append((i, " ".join(words + words_of_pair(a, b))))
+        labels.append((i, int(a != b)))
+    return documents(spark, texts), spark.createDataFrame(labels, "doc_id long, toxic int"), labels
+
+
+@pytest.mark.parametrize("words_of_pair", [
+    lambda a, b: ["rotten"] * a + ["neighbours"] * b,
+    lambda a, b: ["rotten" if a else "lovely", "neighbours" if b else "strangers"],
+], ids=["exclusive or", "balanced"])
+def test_learns_a_pair_without_single_effects(spark, words_of_pair):
+    docs, labels, truth = planted_pair(spark, random.Random(4), words_of_pair)
+    trained = toxicity.train(docs, labels)
+    found = {r["doc_id"]: r["score"] >= 0.5 for r in toxicity.with_toxicity(docs, trained).collect()}
+    held = [(i, y) for i, y in truth if fold(i, 4) == 2]
+    assert sum(found[i] for i, y in held if y) >= 0.9 * sum(y for _, y in held)
+    assert sum(found[i] for i, y in held if not y) <= 0.1 * len(held)
+
+
+def test_pair_words_equal_a_plain_count(spark, monkeypatch):
+    dice, texts, labels = random.Random(9), [], []
+    for _ in range(400):
+        words = set(dice.sample(range(12), 5))
+        texts.append(sorted(words))
+        labels.append(int((3 in words) != (7 in words)) if dice.random() < 0.9 else dice.randrange(2))
+    mean, want = sum(labels) / len(labels), set()
+    for i in range(12):
+        for j in range(12):
+            cell = {(a, b): [y for t, y in zip(texts, labels) if ((i in t), (j in t)) == (a, b)]
+                    for a in (True, False) for b in (True, False)}
+            if min(len(c) for c in cell.values()) < toxicity.PAIR_CELL:
+                continue
+            rate = {k: sum(c) / len(c) for k, c in cell.items()}
+            gap = rate[True, True] - rate[True, False] - rate[False, True] + rate[False, False]
+            if abs(gap) >= 6 * (mean * (1 - mean) * sum(1 / len(c) for c in cell.values())) ** 0.5:
+                want.add(i)
+    monkeypatch.setattr(toxicity, "PAIR_BLOCK", 5)
+    monkeypatch.setattr(toxicity, "PAIR_SLAB", 64)
+    examples = spark.createDataFrame(list(zip(labels, texts)), "label int, words array<int>")
+    found = [r["hash"] for r in toxicity.pair_words(examples).collect()]
+    assert {3, 7} <= want and sorted(found) == sorted(want)
+    assert toxicity.pair_words(examples.limit(0)).count() == 0
 
 
 def test_awkward_rows_and_no_labels(spark):
