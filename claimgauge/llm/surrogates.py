@@ -5,7 +5,8 @@ entity agree, and given a keyed replacement of the same type and format: digits
 digits, letters of the same case for letters, card numbers with a valid check digit,
 addresses of four octets, names of the same gender and script. Replacements are checked
 against each other and against all originals, and drawn again where they collide; so
-different entities stay different and mentions of one stay the same, in all documents.
+different entities stay different and mentions of one stay the same, in all documents. A name's parts are replaced each by itself, so a person
+has one surname in full and in short.
 """
 
 from __future__ import annotations
@@ -130,17 +131,25 @@ def _pick(choices: list[str], drawn: Column) -> Column:
     return F.get(F.array(*[F.lit(c) for c in choices]), drawn % len(choices))
 
 
-def _name(value: Column, gender: Column, digest: Column) -> Column:
-    """Given name and surname, or the surname alone, as the original has; more syllables on
-    later draws."""
+def _syllables(script: str, digest: Column, n: Column) -> Column:
+    return F.array_join(F.transform(F.sequence(F.lit(1), n), lambda i: _pick(
+        SYLLABLES[script], _nth(digest, i + 1))), "")
+
+
+def _surname(value: Column, digest: Column) -> Column:
+    """A surname in the script of the original; more syllables on later draws."""
+    of = {script: F.initcap(_syllables(script, digest, F.col("draw") + 3)) for script in SYLLABLES}
+    return F.when(value.rlike(r"\p{IsCyrillic}"), of["cyrillic"]).otherwise(of["latin"])
+
+
+def _given(value: Column, gender: Column, digest: Column) -> Column:
+    """A given name of the script and gender; later draws lengthen it by syllables."""
     def of(script: str) -> Column:
-        given = F.when(F.when(gender == "", F.pmod(_nth(digest, F.lit(0)), F.lit(2)) == 0)
-                       .otherwise(gender == "f"), _pick(GIVEN[script, "f"], _nth(digest, F.lit(1)))
-                       ).otherwise(_pick(GIVEN[script, "m"], _nth(digest, F.lit(1))))
-        syllables = F.transform(F.sequence(F.lit(0), F.lit(2) + F.col("draw")), lambda i: _pick(
-            SYLLABLES[script], _nth(digest, i + 2)))
-        last = F.initcap(F.array_join(syllables, ""))
-        return F.when(value.contains(" "), F.concat_ws(" ", given, last)).otherwise(last)
+        female = F.when(gender == "", F.pmod(_nth(digest, F.lit(0)), F.lit(2)) == 0).otherwise(gender == "f")
+        plain = F.when(female, _pick(GIVEN[script, "f"], _nth(digest, F.lit(1)))).otherwise(
+            _pick(GIVEN[script, "m"], _nth(digest, F.lit(1))))
+        return F.when(F.col("draw") == 0, plain).otherwise(
+            F.concat(plain, _syllables(script, digest, F.col("draw"))))
 
     return F.when(value.rlike(r"\p{IsCyrillic}"), of("cyrillic")).otherwise(of("latin"))
 
@@ -161,7 +170,8 @@ def draw(entities: DataFrame, key: str) -> DataFrame:
                 _like(F.substring_index(canon, "@", 1), digest, F.lit(0)),
                 _like(F.substring(domain, F.lit(1), F.length(domain) - F.length(top)),
                       F.reverse(digest), F.lit(0)), top))
-            .when(kind == "name", _name(canon, F.col("gender"), digest))
+            .when(kind == "surname", _surname(canon, digest))
+            .when(kind == "given", _given(canon, F.col("gender"), digest))
             .otherwise(_like(canon, digest, F.lit(0))))
     late = F.when(F.col("draw") >= DRAWS, F.concat(
         F.when(kind == "email", F.concat(F.lit("x"), F.substring(digest, 1, 8), made))
@@ -195,6 +205,27 @@ def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
         turn += 1
 
 
+def with_names(entities: DataFrame, key: str) -> DataFrame:
+    """As ``surrogate_table``, but names get theirs by parts: the surname's from the surname alone,
+    so that full and short forms of a person agree, the given name's from the given name.
+    Each part is replaced one to one, so different full names stay different."""
+    names = entities.where(F.col("kind") == "name").select(
+        "canon", "gender", F.substring_index("canon", " ", -1).alias("last"),
+        F.when(F.col("canon").contains(" "), F.substring_index("canon", " ", 1)).alias("first"))
+    parts = names.select(F.lit("surname").alias("kind"), F.lit("").alias("gender"), F.col("last").alias("canon")
+                         ).unionByName(names.where(F.col("first").isNotNull()).select(
+                             F.lit("given").alias("kind"), "gender", F.col("first").alias("canon")))
+    parts = parts.groupBy("kind", "canon").agg(F.max("gender").alias("gender"))
+    settled = surrogate_table(entities.where(F.col("kind") != "name").unionByName(parts), key)
+    last = settled.where(F.col("kind") == "surname").select(
+        F.col("canon").alias("last"), F.col("surrogate").alias("new_last"))
+    first = settled.where(F.col("kind") == "given").select(
+        F.col("canon").alias("first"), F.col("surrogate").alias("new_first"))
+    whole = names.join(last, "last").join(first, "first", "left").select(
+        F.lit("name").alias("kind"), "canon", F.concat_ws(" ", "new_first", "new_last").alias("surrogate"))
+    return settled.where(~F.col("kind").isin("surname", "given")).unionByName(whole)
+
+
 def poured(kind: Column, mention: Column, surrogate: Column) -> Column:
     """The surrogate in the spelling of the mention: separators and case as there."""
     def step(state: Column, char: Column) -> Column:
@@ -240,7 +271,7 @@ def with_surrogates(docs: DataFrame, key: str) -> DataFrame:
     """
     found = written(mentions(docs).distinct(), "mentions")
     entities = written(found.groupBy("kind", "canon").agg(F.max("gender").alias("gender")), "entities")
-    table = surrogate_table(entities, key).select(
+    table = with_names(entities, key).select(
         F.col("kind").alias("of_kind"), F.col("canon").alias("of_canon"), "surrogate")
     replaced = found.join(table, (found["kind"] == table["of_kind"])
                           & (found["canon"] == table["of_canon"])).select(

@@ -91,7 +91,18 @@ def test_full_names_are_replaced_before_their_last_words(spark):
     new = s.with_surrogates(documents(spark, [(1, text)]), "k").first()["text"]
     assert "John" not in new and "Smith" not in new
     full = re.search(r"Mr\. (\w+ \w+) spoke", new).group(1)
-    assert new.endswith(f"{full} left.")
+    assert new == f"Mr. {full.split()[1]} came. Mr. {full} spoke. {full} left."
+
+
+def test_names_share_parts_and_stay_different(spark):
+    given, last = [f"G{'abcdefghij'[i]}n" for i in range(10)] * 2, [f"L{'abcdefghij'[i]}st" for i in range(10)]
+    canon = sorted({f"{g} {x}" for g in given for x in last} | set(last) | {"Иван Петров", "Петров"})
+    frame = spark.createDataFrame([("name", "m", c) for c in canon], "kind string, gender string, canon string")
+    found = {r["canon"]: r["surrogate"] for r in s.with_names(frame, "k").collect()}
+    assert set(found) == set(canon) and len(set(found.values())) == len(canon)
+    for name, new in found.items():
+        assert new.split()[-1] == found[name.split()[-1]] and len(new.split()) == len(name.split())
+    assert all(re.fullmatch(r"[А-Я][а-я]+", w) for w in found["Иван Петров"].split())
 
 
 @pytest.mark.parametrize("blanks", ["", " ", "  "])
