@@ -131,7 +131,7 @@ def pair_words(examples: DataFrame, least_texts: int = PAIR_TEXTS) -> DataFrame:
     """``hash`` of the words that work in a pair, whatever their single effects.
 
     ``examples`` has ``label`` and ``words`` (hashes) of a bounded sample. Each task takes a
-    block of words and keeps, for each of them, the clearest contrast with any other word:
+    block of words and looks at their contrasts with the words of this block and the later ones:
     p11 - p10 - p01 + p00 over the four cells of texts that have both, one or none of them.
     No table of pairs is made.
     """
@@ -141,25 +141,25 @@ def pair_words(examples: DataFrame, least_texts: int = PAIR_TEXTS) -> DataFrame:
     blocks = -(-len(vocabulary) // PAIR_BLOCK)
 
     def contrasts(key: tuple, sample: pd.DataFrame) -> pd.DataFrame:
-        block = slice(key[0] * PAIR_BLOCK, (key[0] + 1) * PAIR_BLOCK)
-        mine, size = vocabulary[block], len(vocabulary)
-        both, toxic_both = (np.zeros((len(mine), size)) for _ in range(2))
+        later = vocabulary[key[0] * PAIR_BLOCK:]
+        size, n_mine = len(later), min(PAIR_BLOCK, len(later))
+        both, toxic_both = (np.zeros((n_mine, size), np.float32) for _ in range(2))
         all_, toxic = np.zeros(size), np.zeros(size)
         for at in range(0, len(sample), PAIR_SLAB):
             slab = sample.iloc[at:at + PAIR_SLAB]
             flat, row, n = _flat(list(slab["words"]))
-            place = np.searchsorted(vocabulary, flat)
-            known = vocabulary[np.minimum(place, size - 1)] == flat
+            place = np.searchsorted(later, flat)
+            known = later[np.minimum(place, size - 1)] == flat
             has = np.zeros((n, size), np.float32)
             has[row[known], place[known]] = 1
-            bad = slab["label"].to_numpy(np.float32)
-            both += has[:, block].T @ has
-            toxic_both += (has[:, block] * bad[:, None]).T @ has
+            bad = has[slab["label"].to_numpy() == 1]
+            both += has[:, :n_mine].T @ has
+            toxic_both += bad[:, :n_mine].T @ bad
             all_ += has.sum(axis=0)
-            toxic += bad @ has
+            toxic += bad.sum(axis=0)
         total, total_bad = len(sample), float(sample["label"].sum())
-        cells = [both, all_[block][:, None] - both, all_ - both]
-        bad_in = [toxic_both, toxic[block][:, None] - toxic_both, toxic - toxic_both]
+        cells = [both, all_[:n_mine, None] - both, all_ - both]
+        bad_in = [toxic_both, toxic[:n_mine, None] - toxic_both, toxic - toxic_both]
         cells.append(total - sum(cells))
         bad_in.append(total_bad - sum(bad_in))
         full = np.minimum.reduce(cells) >= PAIR_CELL
@@ -167,12 +167,15 @@ def pair_words(examples: DataFrame, least_texts: int = PAIR_TEXTS) -> DataFrame:
         overall = total_bad / total
         spread = np.sqrt(overall * (1 - overall) * sum(1 / np.maximum(c, 1) for c in cells))
         clear = np.abs(one - left - right + none) >= PAIR_ERRORS * spread
-        return pd.DataFrame({"hash": mine[(full & clear & (spread > 0)).any(axis=1)].astype(np.int32)})
+        found = full & clear & (spread > 0)
+        hit = found.any(axis=0)
+        hit[:n_mine] |= found.any(axis=1)
+        return pd.DataFrame({"hash": later[hit].astype(np.int32)})
 
     tried = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))) if blocks else F.explode(
         F.array().cast("array<int>"))
     return (examples.select("label", "words", tried.alias("block")).groupBy("block")
-            .applyInPandas(contrasts, "hash int"))
+            .applyInPandas(contrasts, "hash int").distinct())
 
 
 def train(docs: DataFrame, labels: DataFrame, target: str = "toxic", folds: int = FOLDS,
