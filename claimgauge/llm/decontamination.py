@@ -6,6 +6,9 @@ punctuation. Windows of five template tokens are hash-joined. Where enough windo
 of an item are found in a document, the two are aligned and the values in the slots
 compared: one item value must stand for one document value throughout. So a question with
 other numbers and names is caught, while a text that only shares its form is not.
+
+A window of placeholders alone has no form: every table of numbers would meet every such item.
+It is hashed by its values instead, and counts only for items that have no other window.
 """
 
 from __future__ import annotations
@@ -61,27 +64,39 @@ def template_tokens(text: Column) -> Column:
 
 def windows_of(tokens: Column, raw: Column, window: int = WINDOW) -> Column:
     """Windows of template tokens in order: ``hash``, and ``said``, their words as written,
-    for windows with a slot (else null). ``raw`` may be null for a text without slots."""
+    for windows with a slot (else null). The hash is of the tokens, or of the values if there is no
+    other token. ``raw`` may be null for a text without slots."""
     count = F.size(tokens)
     part = lambda words, i: F.slice(words, i, window)
-    said = lambda i: F.when(raw.isNotNull() & F.exists(
-        part(tokens, i), lambda x: x.isin(NUMBER, NAME, UNIT)), part(raw, i))
+    slot = lambda x: x.isin(NUMBER, NAME, UNIT)
+    said = lambda i: F.when(raw.isNotNull() & F.exists(part(tokens, i), slot), part(raw, i))
+    key = lambda i: F.when(raw.isNotNull() & F.forall(part(tokens, i), slot),
+                           F.transform(part(raw, i), F.lower)).otherwise(part(tokens, i))
     return F.when(count >= window, F.transform(
         F.sequence(F.lit(1), F.greatest(count - (window - 1), F.lit(1))),
-        lambda i: F.struct(F.xxhash64(part(tokens, i)).alias("hash"), said(i).alias("said")))
+        lambda i: F.struct(F.xxhash64(key(i)).alias("hash"), said(i).alias("said")))
     ).otherwise(F.array().cast("array<struct<hash: bigint, said: array<string>>>"))
 
 
+def _has_form(tokens: Column) -> Column:
+    return F.exists(tokens, lambda x: ~x.isin(NUMBER, NAME, UNIT))
+
+
 def _item_templates(benchmark: DataFrame, window: int) -> DataFrame:
-    """One row per distinct item: id, tokens raw and as template, number of windows."""
+    """One row per distinct item: id, tokens raw and as template, its windows and whether they have
+    a form. Windows without count only if the item has no others."""
+    places = F.when(F.size("item_tokens") >= window, F.sequence(
+        F.lit(1), F.greatest(F.size("item_tokens") - (window - 1), F.lit(1))))
+    formed = F.size(F.filter(places, lambda i: _has_form(F.slice("item_tokens", i, window))))
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text").where(
         F.col("text").isNotNull()).distinct()
     return written(
         items.select("item_id", F.xxhash64("text").alias("item_hash"),
                      raw_tokens(F.col("text")).alias("item_raw"),
                      template_tokens(F.col("text")).alias("item_tokens"))
-        .withColumn("windows", F.size("item_tokens") - (window - 1))
-        .where(F.col("windows") > 0), "items")
+        .where(F.size("item_tokens") >= window)
+        .withColumn("formed", formed > 0)
+        .withColumn("windows", F.when(F.col("formed"), formed).otherwise(F.size(places))), "items")
 
 
 def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
@@ -95,16 +110,19 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     wherever the item repeats a value, the document repeats its own. They are judged for
     each offset that has ``coverage`` of the windows, or the most of any if an item is
     scattered; of those that agree the one with most windows, then the first, is given.
+    Windows of placeholders alone are not counted, but for items that have no other ones; those
+    are found by their values, so only as they are.
     Items and documents of fewer than ``window`` tokens, null and empty texts are in no
     pair. Items without id still count. Rows alike in id and text give one pair. Empty
     tables give none.
     """
     items = _item_templates(benchmark, window)
-    places = items.select("item_id", "item_hash", "item_tokens", F.posexplode(windows_of(
+    places = items.select("item_id", "item_hash", "item_tokens", "formed", F.posexplode(windows_of(
         F.col("item_tokens"), F.col("item_raw"), window)).alias("item_at", "one")).select(
-            "item_id", "item_hash", "item_at", "one.hash",
+            "item_id", "item_hash", "item_at", "one.hash", "formed",
             F.slice("item_tokens", F.col("item_at") + 1, window).alias("form"),
             F.col("one.said").alias("item_said"))
+    places = places.where(~F.col("formed") | _has_form(F.col("form"))).drop("formed")
     tokens = with_row_key(docs).select(*ROW_KEY, template_tokens(F.col("text")).alias("tokens"), F.when(
         F.col("text").rlike(_SLOT_HINT), raw_tokens(F.col("text"))).alias("raw"))
     # Windows of a document take their values along, so its text is not needed again.
@@ -151,7 +169,8 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without those that contain a benchmark item; columns stay as they are.
 
     Null and empty texts contain none and stay. Repeated rows stay or go together. An empty
-    table stays empty; with an empty benchmark all rows stay. Columns named as those of
+    table stays empty; with an empty benchmark all rows stay. Very long texts are windowed
+    whole. Columns named as those of
     ``ROW_KEY`` are the only ones that must not be there.
     """
     pairs = contaminated_pairs(docs, benchmark).select(*ROW_KEY).distinct()

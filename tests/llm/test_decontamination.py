@@ -1,5 +1,7 @@
 import re
 
+from pyspark.sql import functions as F
+
 from claimgauge.llm import decontamination as d
 from claimgauge.llm.queries import op4_template_decontamination
 from tests.llm.helpers import awkward, clashing, documents, rows
@@ -55,6 +57,24 @@ def test_case_marks_and_place_do_not_hide_an_item(spark):
     assert {(0, 0), (1, 1)} <= set(found)
 
 
+def test_tables_of_numbers_meet_no_item_by_form(spark):
+    """Only the values of windows of numbers are joined: a long table meets an item of numbers
+    where the values are the same, and a question around numbers by its words (18 windows, 5 of them
+    numbers only)."""
+    sort = "Please sort in ascending order the numbers 5 3 9 1 7 4 2 8 6 and print each of them once"
+    table = " ".join(str(1000 + i) for i in range(3_000))
+    texts = [table, f"{table} 12 30 45 60 75 90 {table}", sort.replace("5 3 9 1 7 4 2 8 6", "11 12 13 14 15 16 17 18 19"),
+             "12 30 45 61 75 90", sort]
+    questions = ["12 30 45 60 75 90", sort]
+    found = pairs(spark, texts, questions)
+    assert set(found) == {(1, 0), (2, 1), (4, 1)}
+    assert found[1, 0]["windows"] == found[1, 0]["matched"] == 2 and found[1, 0]["offset"] == 3_000
+    assert found[4, 1]["windows"] == found[4, 1]["matched"] == 13 and found[4, 1]["changed"] == 0
+    tokens = documents(spark, [(0, table)]).select(
+        d.template_tokens(F.col("text")).alias("tokens"), d.raw_tokens(F.col("text")).alias("raw"))
+    assert tokens.select(F.explode(d.windows_of(F.col("tokens"), F.col("raw"))["hash"])).distinct().count() == 2_996
+
+
 def test_awkward_rows(spark):
     docs = clashing(awkward(spark), "hash", "tokens", "offset", "item_id")
     bench = spark.createDataFrame([(1, "one two three four five six"), (2, None), (None, "word5x word6x word7x "
