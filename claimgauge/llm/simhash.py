@@ -17,6 +17,9 @@ its members share (mask and value). Pairs of nodes descend together: the differe
 in the shared bits of both are added up level by level, and a pair of groups is dropped
 once the sum exceeds the distance. Groups already known to be one component are dropped
 too. Each bucket yields a forest, at most one link per fingerprint, never all pairs.
+
+The index takes fingerprints of one word or of several (``wide_fingerprint``), and can tell
+the pairs through which it linked; ``near_copies`` uses both.
 """
 
 from __future__ import annotations
@@ -41,7 +44,10 @@ BUCKET_ROWS = 20_000
 LEVELS = 3
 LEAF = 32
 FANOUT = 8
+#: 64-bit words of a wide fingerprint.
+WORDS = 4
 
+_KEYS = np.random.default_rng(SEED).integers(0, 1 << 63, WORDS, np.uint64)
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
@@ -75,6 +81,19 @@ def fingerprint(text: str | None, width: int = SHINGLE, seed: int = SEED) -> int
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
+def wide_fingerprint(hashes: np.ndarray) -> np.ndarray:
+    """The majority bits of a set of 64-bit hashes, each mixed anew for each of ``WORDS`` words."""
+    ones = np.zeros(64 * WORDS, np.int64)
+    for at in range(0, len(hashes), 1 << 12):
+        mixed = hashes[at:at + (1 << 12), None] ^ _KEYS
+        mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        mixed = (mixed ^ (mixed >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        mixed ^= mixed >> np.uint64(31)
+        part = mixed.astype("<u8").view(np.uint8).reshape(-1, 8 * WORDS)
+        ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.uint16)
+    return np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")
+
+
 @F.pandas_udf(T.LongType())
 def _fingerprint_udf(texts: pd.Series) -> pd.Series:
     known: dict[str | None, int] = {}
@@ -90,8 +109,36 @@ def fingerprint_hex(fingerprint_column: Column) -> Column:
 
 # ---- the index inside one bucket --------------------------------------------------
 
-def _merge(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Labels (least index of the component) after linking ``a`` to ``b``."""
+def gray_ranks(fps: np.ndarray) -> list[np.ndarray]:
+    """Places of wide fingerprints (words by fingerprints) in the Gray code, one sort key per word: the
+    parity of a word goes on into the next one."""
+    ranks, odd = [], np.uint64(0)
+    for word in fps:
+        rank = reduce(lambda g, k: g ^ (g >> np.uint64(k)), (1, 2, 4, 8, 16, 32), word)
+        ranks.append(np.where(odd, ~rank, rank))
+        odd = ranks[-1] & np.uint64(1)
+    return ranks
+
+
+def _bits(words: np.ndarray) -> np.ndarray:
+    """Set bits over the words, which are the first axis."""
+    counts = np.bitwise_count(words[0])
+    if len(words) > 1:
+        counts = counts.astype(np.uint16)
+        for word in words[1:]:
+            counts += np.bitwise_count(word)
+    return counts
+
+
+def _merge(labels: np.ndarray, a: np.ndarray, b: np.ndarray, links: list | None = None) -> np.ndarray:
+    """Labels (least index of the component) after linking ``a`` to ``b``; one pair for each two
+    components that meet is added to ``links``."""
+    if links is not None and len(a):
+        one, two = labels[a], labels[b]
+        meeting = np.minimum(one, two) * len(labels) + np.maximum(one, two)
+        met = np.flatnonzero(one != two)
+        first = met[np.unique(meeting[met], return_index=True)[1]]
+        links.append((a[first], b[first]))
     while True:
         one, two = labels[a], labels[b]
         apart = one != two
@@ -110,15 +157,15 @@ def _nodes(fps: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, int]]:
     """Levels from the leaves up: (shared mask, shared value, fingerprints per node)."""
     levels, step = [], LEAF
     every = low = fps
-    cuts = np.arange(0, len(fps), LEAF)
+    cuts = np.arange(0, fps.shape[1], LEAF)
     while True:
-        every = np.bitwise_or.reduceat(every, cuts)
-        low = np.bitwise_and.reduceat(low, cuts)
+        every = np.bitwise_or.reduceat(every, cuts, axis=1)
+        low = np.bitwise_and.reduceat(low, cuts, axis=1)
         mask = ~(every ^ low)
         levels.append((mask, low & mask, step))
-        if len(mask) <= FANOUT:
+        if mask.shape[1] <= FANOUT:
             return levels
-        cuts, step = np.arange(0, len(mask), FANOUT), step * FANOUT
+        cuts, step = np.arange(0, mask.shape[1], FANOUT), step * FANOUT
 
 
 def _one_label(labels: np.ndarray, step: int) -> np.ndarray:
@@ -128,56 +175,66 @@ def _one_label(labels: np.ndarray, step: int) -> np.ndarray:
     return np.where(low == high, low, -1)
 
 
-def link_bucket(fps: np.ndarray, distance: int = DISTANCE) -> np.ndarray:
-    """Component labels of the fingerprints of a bucket, given in Gray order."""
-    n = len(fps)
+def link_bucket(fps: np.ndarray, distance: int = DISTANCE, links: list | None = None) -> np.ndarray:
+    """Component labels of the fingerprints of a bucket, given in Gray order.
+
+    ``fps`` has one axis, or words by fingerprints. Pairs of indexes (two arrays), each within
+    ``distance``, that connect the components are added to ``links``.
+    """
+    fps = np.atleast_2d(fps)
+    n = fps.shape[1]
     labels = np.arange(n)
     for k in range(1, min(LEAF, n)):
-        near = np.flatnonzero(np.bitwise_count(fps[k:] ^ fps[:-k]) <= distance)
-        labels = _merge(labels, near, near + k)
+        near = np.flatnonzero(_bits(fps[:, k:] ^ fps[:, :-k]) <= distance)
+        labels = _merge(labels, near, near + k, links)
     if n <= LEAF:
         return labels
     levels = _nodes(fps)
     top = len(levels) - 1
-    a, b = np.triu_indices(len(levels[top][0]))
-    stack = [(top, a, b, np.zeros(len(a), np.int64), np.zeros(len(a), np.uint64))]
+    a, b = np.triu_indices(levels[top][0].shape[1])
+    stack = [(top, a, b, np.zeros(len(a), np.int64), np.zeros((len(fps), len(a)), np.uint64))]
     while stack:
         level, a, b, differ, counted = stack.pop()
         mask, value, step = levels[level]
-        shared = mask[a] & mask[b]
-        differ = differ + np.bitwise_count((value[a] ^ value[b]) & shared & ~counted)
+        shared = mask[:, a] & mask[:, b]
+        differ = differ + _bits((value[:, a] ^ value[:, b]) & shared & ~counted)
         one = _one_label(labels, step)
         keep = (differ <= distance) & ((one[a] < 0) | (one[a] != one[b]))
-        a, b, differ, shared = a[keep], b[keep], differ[keep], shared[keep]
+        a, b, differ, shared = a[keep], b[keep], differ[keep], shared[:, keep]
         if not len(a):
             continue
         if level == 0:
-            labels = _link_leaves(fps, labels, a, b, distance)
+            labels = _link_leaves(fps, labels, a, b, distance, links)
             continue
-        below = len(levels[level - 1][0])
+        below = levels[level - 1][0].shape[1]
         i, j = np.meshgrid(np.arange(FANOUT), np.arange(FANOUT), indexing="ij")
         ca = (a[:, None] * FANOUT + i.ravel()).ravel()
         cb = (b[:, None] * FANOUT + j.ravel()).ravel()
         real = (ca < below) & (cb < below) & (ca <= cb)
         ca, cb = ca[real], cb[real]
         differ = np.repeat(differ, FANOUT * FANOUT)[real]
-        shared = np.repeat(shared, FANOUT * FANOUT)[real]
+        shared = np.repeat(shared, FANOUT * FANOUT, axis=1)[:, real]
         for at in range(0, len(ca), 1 << 15):
             cut = slice(at, at + (1 << 15))
-            stack.append((level - 1, ca[cut], cb[cut], differ[cut], shared[cut]))
+            stack.append((level - 1, ca[cut], cb[cut], differ[cut], shared[:, cut]))
     return labels
 
 
-def _link_leaves(fps, labels, a, b, distance) -> np.ndarray:
-    n, within = len(fps), np.arange(LEAF)
+def _link_leaves(fps, labels, a, b, distance, links) -> np.ndarray:
+    n, within, half = fps.shape[1], np.arange(LEAF), (len(fps) + 1) // 2
     for at in range(0, len(a), 256):
         left = a[at:at + 256, None] * LEAF + within
         right = b[at:at + 256, None] * LEAF + within
-        apart = fps[np.minimum(left, n - 1)][:, :, None] ^ fps[np.minimum(right, n - 1)][:, None, :]
-        pair, i, j = np.nonzero(np.bitwise_count(apart) <= distance)
+        one, two = fps[:, np.minimum(left, n - 1)], fps[:, np.minimum(right, n - 1)]
+        # Pairs too far apart in the first words are not compared in the others.
+        apart = _bits(one[:half, :, :, None] ^ two[:half, :, None, :])
+        pair, i, j = np.nonzero(apart <= distance)
+        if half < len(fps):
+            apart = apart[pair, i, j] + _bits(one[half:, pair, i] ^ two[half:, pair, j])
+            pair, i, j = (x[apart <= distance] for x in (pair, i, j))
         i, j = left[pair, i], right[pair, j]
         real = (i < n) & (j < n) & (i != j)
-        labels = _merge(labels, i[real], j[real])
+        labels = _merge(labels, i[real], j[real], links)
     return labels
 
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from claimgauge.llm import near_copies
+from claimgauge.llm import near_copies, simhash
 from tests.llm.helpers import awkward, documents, rows
 
 
@@ -49,6 +49,37 @@ def test_stage_drops_edited_copies(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == want
 
 
+def test_simhash_index_alone_drops_edited_copies(spark, monkeypatch):
+    """The named method does the work: without the MinHash way that follows, few copies stay."""
+    monkeypatch.setattr(near_copies, "set_links", lambda sets, members, known, part_rows: known)
+    texts = edited_copies(11, 60, 6)
+    roots = plain_roots(texts)
+    kept = {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, documents(spark, list(enumerate(texts))), "").collect()}
+    firsts = {i for i, root in enumerate(roots) if i == root}
+    assert firsts <= kept                               # links are checked, so nothing else goes
+    copies = len(texts) - len(firsts)
+    assert copies > 200 and len(kept - firsts) <= 0.1 * copies
+
+
+@pytest.mark.parametrize("bucket_rows", [20_000, 3])
+def test_close_pairs_are_close_and_connect_pairs_that_share_a_block(spark, bucket_rows):
+    texts = edited_copies(12, 12, 8)
+    prints = [simhash.wide_fingerprint(near_copies.shingle_set(t)) for t in texts]
+    frame = spark.createDataFrame([(i, p.view(np.int64).tolist()) for i, p in enumerate(prints)],
+                                  "node long, print array<long>")
+    pairs = [(r["a"], r["b"]) for r in near_copies.close_pairs(frame, bucket_rows).collect()]
+    roots = list(range(len(texts)))
+    for i, j in pairs:
+        assert np.bitwise_count(prints[i] ^ prints[j]).sum() <= near_copies.RADIUS
+        low, high = sorted((roots[i], roots[j]))
+        roots = [low if r == high else r for r in roots]
+    blocks = [{(k, int(w) >> 12 * at & 4095, at) for k, w in enumerate(p) for at in range(5)} for p in prints]
+    met = [(i, j) for j in range(len(texts)) for i in range(j) if blocks[i] & blocks[j]
+           and np.bitwise_count(prints[i] ^ prints[j]).sum() <= near_copies.RADIUS]
+    apart = [p for p in met if roots[p[0]] != roots[p[1]]]
+    assert len(met) > 200 and (not apart if bucket_rows > 3 else len(apart) < 0.1 * len(met))
+
+
 @pytest.mark.parametrize("part_rows", [1_000, 8])
 def test_chain_of_copies_in_small_parts(spark, part_rows):
     dice = random.Random(1)

@@ -88,6 +88,35 @@ def test_index_of_one_bucket_finds_every_link(n):
     assert labels_of(np.array(fps, np.uint64)) == {frozenset(x) for x in want.values()}
 
 
+@pytest.mark.parametrize("n", [2, 33, 700])
+def test_index_of_wide_fingerprints_tells_its_links(n):
+    dice = np.random.default_rng(n)
+    fps = dice.integers(0, 1 << 63, (4, n), np.uint64)
+    for i in range(n):                                  # copies of earlier ones, up to 60 bits off
+        if i % 3:
+            fps[:, i] = fps[:, dice.integers(0, i)]
+            for bit in dice.integers(0, 256, dice.integers(0, 60)):
+                fps[bit // 64, i] ^= np.uint64(1) << np.uint64(bit % 64)
+    fps = fps[:, np.lexsort(simhash.gray_ranks(fps)[::-1])]
+    links = []
+    labels = simhash.link_bucket(fps, 56, links)
+    apart = sum(np.bitwise_count(w[:, None] ^ w[None]).astype(int) for w in fps)
+    want, found = np.arange(n), np.arange(n)
+    while (want != (least := np.where(apart <= 56, want, n).min(axis=1))).any():
+        want = least
+    for a, b in links:
+        assert (apart[a, b] <= 56).all()
+        found = simhash._merge(found, a, b)
+    assert (labels == want).all() and (found == want).all() and sum(len(a) for a, _ in links) < 2 * n
+
+
+def test_gray_ranks_of_several_words():
+    steps = [i ^ i >> 1 for i in range(300)]            # neighbours in Gray order are one bit apart
+    fps = np.array([[s >> 5 for s in steps], [s << 59 & (1 << 64) - 1 for s in steps]], np.uint64)[:, ::-1]
+    fps = fps[:, np.lexsort(simhash.gray_ranks(fps)[::-1])]
+    assert (np.bitwise_count(fps[:, 1:] ^ fps[:, :-1]).sum(axis=0) == 1).all()
+
+
 def test_finer_masks_meet_all_pairs_within_distance():
     dice = random.Random(2)
     masks = simhash.finer_masks(0, 4)
