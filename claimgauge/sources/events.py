@@ -50,7 +50,9 @@ def _base64_text(data: Column) -> Column:
         return F.when(plain, F.try_to_binary(text, F.lit("base64"))).otherwise(otherwise)
 
     def cleaned(text: Column) -> Column:
-        clean = F.regexp_replace(F.regexp_replace(text, r"[^A-Za-z0-9+/=]", ""), "^=+", "")
+        # whole stretches at a time: a search for single characters is tens of times slower
+        known = F.regexp_replace(text, r"\G([A-Za-z0-9+/=]*+)[^A-Za-z0-9+/=]+", "$1")
+        clean = F.ltrim(F.when(text.rlike(r"^[A-Za-z0-9+/=]*\z"), text).otherwise(known), F.lit("="))
         return once(once(clean, mended), lambda m: F.when(
             F.length(m) % 4 == 0, F.try_to_binary(m, F.lit("base64"))))
 
