@@ -126,9 +126,15 @@ def new_entity_pct_by_run(spine: Spine, batch: DataFrame, history: DataFrame, en
     batch_items = items.join(links, keys).select(*keys, *_beyond(history_keys, keys), item, "_at")
     wanted = batch_items.select(*history_keys, item).distinct()
     small = fits(wanted) if items_fit is None else items_fit
-    own = linked(recent, wanted, [*history_keys, item], small, "left_semi")
-    touched = own.groupBy(*history_keys, item, "_entity", "_at").agg(
-        F.count(F.lit(1)).alias("_n"))
+    per_day = [*history_keys, item, "_entity", "_at"]
+    if small:
+        own = linked(recent, wanted, [*history_keys, item], True, "left_semi")
+        touched = own.groupBy(*per_day).agg(F.count(F.lit(1)).alias("_n"))
+    else:
+        # rolled up first, so an item of many rows is one row per entity and day when it is joined
+        rolled = recent.where(F.col(item).isNotNull()).groupBy(*per_day).agg(
+            F.count(F.lit(1)).alias("_n"))
+        touched = rolled.join(wanted, [*history_keys, item], "left_semi")
     known_as = touched.select(*history_keys, item, "_entity").distinct()
     own_rows = _running(
         touched, batch_items.join(known_as, [*history_keys, item]).select(

@@ -6,7 +6,7 @@ shuffle. ``bindings`` then gives one row per event and route for the metrics.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -25,6 +25,7 @@ from claimgauge.functions.variants import (
     text_at,
 )
 from claimgauge.schemas import COMPLETED
+from claimgauge.session import settled
 from claimgauge.sources.events import DECODED, UNDECODABLE
 
 # What a missing table does to a route (besides being counted as empty).
@@ -198,20 +199,29 @@ def _pairs(read: Callable[[Column, str], Column]) -> Column:
                      for name in _VARIABLES])
 
 
-def _given(pairs: Column) -> Column:
-    """What the event gives, as a map from check to text: its variables, and the other
-    checks that hold. Only events with a doubtful text are read by type."""
+def _read_pairs(pairs: Column) -> Column:
+    """``pairs`` with the texts that count as given. Only events with a doubtful text are read by
+    type."""
+    doubtful = F.exists(pairs, lambda p: p["value"].isin(DOUBTFUL_TEXT))
+    return F.when(F.coalesce(doubtful, F.lit(False)), _pairs(given_text)).otherwise(pairs)
+
+
+def _held() -> Column:
+    """The checks that hold besides the variables, as pairs."""
     variables = F.col("_fields.variables")
     parents = [get(variables, f"$.{p}") for p in _PARENT_NAMES]
     parents_fit = ~reduce(lambda a, b: a | b,
                           [p.isNotNull() & ~is_object(p) for p in parents])
     shape_fits = variables.isNull() | is_object(variables)
-    held = F.array(*[F.struct(F.lit(check).alias("key"), F.when(holds, F.lit("")).alias("value"))
+    return F.array(*[F.struct(F.lit(check).alias("key"), F.when(holds, F.lit("")).alias("value"))
                      for check, holds in ((SHAPE, shape_fits), (PARENTS, parents_fit),
                                           (TIME, F.col("as_of").isNotNull()))])
-    doubtful = F.exists(pairs, lambda p: p["value"].isin(DOUBTFUL_TEXT))
-    read = F.when(F.coalesce(doubtful, F.lit(False)), _pairs(given_text)).otherwise(pairs)
-    return F.map_from_entries(F.filter(F.concat(read, held), lambda p: p["value"].isNotNull()))
+
+
+def _given() -> Column:
+    """What the event gives, as a map from check to text: its variables, and the other
+    checks that hold."""
+    return F.map_from_entries(F.filter(F.concat("_read", "_held"), lambda p: p["value"].isNotNull()))
 
 
 def _handled(matched: Column) -> Column:
@@ -236,9 +246,9 @@ def _names(values: list[str]) -> Column:
     return F.array(*[F.lit(v) for v in values])
 
 
-def route_events(decoded: DataFrame) -> DataFrame:
-    """Add to decoded events their fields, ``match_errors`` (handlers that failed to
-    match) and ``handlers`` (those matched, each with its tables and outcome)."""
+def _read_events(decoded: DataFrame) -> DataFrame:
+    """Add to decoded events their fields and ``match_errors`` (handlers that failed to match), and
+    what decides on their handlers: ``_read`` and ``_held`` (see :func:`_given`), ``_counts``."""
     every = [r.handler for r in ROUTES]
     failing = [r.handler for r in ROUTES if r.fails_on_no_payload]
     doc = F.col("doc")
@@ -255,9 +265,7 @@ def route_events(decoded: DataFrame) -> DataFrame:
                 as_of.alias("as_of"),
                 F.when(as_of.isNotNull(), parse_day(stamp)).alias("as_of_day")))))))
         .withColumn("_pairs", _pairs(text_at))
-        .withColumn("_given", _given(F.col("_pairs")))
-        .withColumn("partner", F.try_element_at("_given", F.lit("partner")))
-        .withColumn("submission_run_id", F.try_element_at("_given", F.lit("submission_run_id")))
+        .withColumn("_read", _read_pairs(F.col("_pairs"))).withColumn("_held", _held())
     )
     given = F.col("_payload").isNotNull()
     holds_keys = F.col("_fields").isNotNull()
@@ -273,22 +281,74 @@ def route_events(decoded: DataFrame) -> DataFrame:
         .when(is_missing(F.col("_payload")), _names(failing)).otherwise(_names(every))
     )
     count_error = F.when(has_time & no_container, _names([RUN_COUNT_HANDLER])).otherwise(no_errors)
-    no_handlers = F.array().cast(f"array<{_HANDLER}>")
-    routes = F.broadcast(routes_frame(decoded.sparkSession))
     usable = F.col("decoding") == DECODED
     return (
-        fields.join(routes, ["pipeline_uuid", "status"], "left")
-        .withColumn("match_errors", F.when(usable, F.concat(count_error, match_errors))
-                    .otherwise(no_errors))
-        .withColumn("_matched", F.when(usable, F.concat(
-            F.when(counts_runs, F.array(_run_count_handler())).otherwise(no_handlers),
+        fields.withColumn("match_errors", F.when(usable, F.concat(count_error, match_errors))
+                          .otherwise(no_errors))
+        .withColumn("_counts", usable & counts_runs)
+        .drop("_payload", "_fields", "_pairs", "doc", "doc_is_object")
+    )
+
+
+def _with_handlers(read: DataFrame) -> DataFrame:
+    """``handlers`` (those matched, each with its tables and outcome) of what events give."""
+    no_handlers = F.array().cast(f"array<{_HANDLER}>")
+    routes = F.broadcast(routes_frame(read.sparkSession))
+    given = (
+        read.withColumn("_given", _given())
+        .withColumn("partner", F.try_element_at("_given", F.lit("partner")))
+        .withColumn("submission_run_id", F.try_element_at("_given", F.lit("submission_run_id")))
+    )
+    return (
+        given.join(routes, ["pipeline_uuid", "status"], "left")
+        .withColumn("_matched", F.when(F.col("decoding") == DECODED, F.concat(
+            F.when(F.col("_counts"), F.array(_run_count_handler())).otherwise(no_handlers),
             F.coalesce("_routes", no_handlers))).otherwise(no_handlers))
         .withColumn("handlers", _handled(F.col("_matched")))
-        .drop("_payload", "_fields", "_pairs", "_given", "_routes", "_matched", "doc",
-              "doc_is_object")
+        .drop("_read", "_held", "_counts", "_given", "_routes", "_matched")
     )
 
 
+def route_events(decoded: DataFrame) -> DataFrame:
+    """Add to decoded events their fields, ``match_errors`` (handlers that failed to
+    match) and ``handlers`` (those matched, each with its tables and outcome)."""
+    return _with_handlers(_read_events(decoded))
+
+
+#: Pipelines with a metric that depends on the instant of an event and not only on its day.
+_BY_INSTANT = (SUBMISSION, RELEASE)
+
+
+def shared_asks(decoded: DataFrame, pipelines: Sequence[str] | None = None) -> DataFrame:
+    """Decoded events with what they ask, written once: ``event_id``, ``ask``, ``as_of``,
+    ``as_of_day``, ``decoding``, ``raw`` (if they could not be decoded) and ``asked``.
+
+    Events that agree in all that decides on their metrics (variables, pipeline and status, day,
+    and the instant where a metric depends on it) have one ``ask``, which is routed, checked and
+    evaluated once (:func:`asks_of`). With ``pipelines`` the events of others are left out.
+    """
+    read = _read_events(decoded)
+    if pipelines is not None:
+        read = read.where(F.col("pipeline_uuid").isin(*pipelines))
+    instant = F.when(F.col("pipeline_uuid").isin(*_BY_INSTANT), F.col("as_of"))
+    asked = F.struct(*[F.col(c) for c in (
+        "decoding", "pipeline_uuid", "status", "as_of_day", "match_errors", "_read", "_held",
+        "_counts")], instant.alias("as_of"))
+    raw = F.when(F.col("decoding") != DECODED, F.col("raw"))
+    events = read.select("event_id", "as_of", "as_of_day", "decoding", raw.alias("raw"),
+                         asked.alias("asked"))
+    # JSON leaves out what is less than a millisecond
+    whole = F.struct("asked", F.unix_micros("asked.as_of").alias("at"))
+    return settled(events.withColumn("ask", F.md5(F.to_json(whole))), "asks")
+
+
+def asks_of(events: DataFrame) -> DataFrame:
+    """The distinct asks of :func:`shared_asks`, routed as by :func:`route_events`: each is a row
+    with the ``ask`` for its ``event_id``. ``as_of`` is null where only the day counts."""
+    asks = events.select(F.col("ask").alias("event_id"), "asked.*").distinct()
+    return settled(_with_handlers(asks), "routed-asks")
+
+
 def event_outcomes(routed: DataFrame) -> DataFrame:
     """The outcome of each event and the reply code that goes with it."""
     def any_with(kind: str) -> Column:
@@ -312,6 +372,12 @@ def event_outcomes(routed: DataFrame) -> DataFrame:
                                   .alias("reason"))
 
 
+def outcomes_of(events: DataFrame, checked: DataFrame) -> DataFrame:
+    """:func:`event_outcomes` of the events of :func:`shared_asks`, of their ``checked`` asks."""
+    of_asks = event_outcomes(checked).withColumnRenamed("event_id", "ask")
+    return events.select("event_id", "ask").join(of_asks, "ask").drop("ask")
+
+
 def failures(routed: DataFrame) -> DataFrame:
     """One row per failed handler of an event: at matching or at handling."""
     matching = F.transform("match_errors", lambda h: F.struct(

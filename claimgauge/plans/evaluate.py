@@ -68,12 +68,16 @@ class Evaluation:
     The work list, an event-sized frame, is settled once in the scratch folder and the
     bytes of its links are summed per role: links of the roles a metric reads are broadcast
     within the bound, and salted beyond it, as one table may hold most rows.
+
+    ``checked`` has a row per event; or, with ``events`` (see ``routing.shared_asks``), a row per
+    ask of theirs. Then families give the points of asks, and :meth:`of_events` gives them to events.
     """
 
-    def __init__(self, checked: DataFrame, tables: Tables, project: str):
+    def __init__(self, checked: DataFrame, tables: Tables, project: str,
+                 events: DataFrame | None = None):
         spark = checked.sparkSession
         require_utc(spark)
-        self.tables, self.project = tables, project
+        self.tables, self.project, self.events = tables, project, events
         self.routed = settled(checked, "routed")
         self.work = bindings(self.routed).where(F.col("error").isNull())
         refs = self.routed.select("event_id", F.explode(F.flatten(F.transform(
@@ -367,7 +371,21 @@ class Evaluation:
         result = None
         for frame in frames:
             result = frame if result is None else result.unionByName(frame)
-        return result
+        return result if result is None else self.of_events(result)
+
+    def of_events(self, points: DataFrame) -> DataFrame:
+        """The points of asks, given to each event that asks so; points of events as they are.
+
+        The points of asks are written once and broadcast within the bound; beyond it
+        adaptive execution splits the events of an ask that many have.
+        """
+        if self.events is None:
+            return points
+        answers = settled(points.withColumnRenamed("event_id", "ask"), "answers")
+        small = fits(answers)
+        asking = self.events.select("event_id", "ask", "as_of")
+        return asking.join(F.broadcast(answers) if small else answers, "ask").withColumn(
+            "event_time", F.coalesce("event_time", "as_of")).select(*names.METRIC.names)
 
 
 def write_families(evaluation: Evaluation, write: Callable[[DataFrame, str], None]
@@ -380,13 +398,14 @@ def write_families(evaluation: Evaluation, write: Callable[[DataFrame, str], Non
     failed: dict[str, Exception] = {}
     for family in evaluation.wanted():
         try:
-            write(getattr(evaluation, family)(), family)
+            write(evaluation.of_events(getattr(evaluation, family)()), family)
         except Exception as error:  # noqa: BLE001 - one family must not stop the others
             failed[family] = error
             lost = evaluation.work.where(F.col("metric") == family).withColumn(
                 "as_of", F.current_timestamp())
-            write(to_points(lost, {names.EXECUTION_FAILURE: F.lit(1.0)},
-                            {"handler_class": F.col("handler")}, evaluation.project), family)
+            write(evaluation.of_events(to_points(
+                lost, {names.EXECUTION_FAILURE: F.lit(1.0)},
+                {"handler_class": F.col("handler")}, evaluation.project)), family)
     return failed
 
 

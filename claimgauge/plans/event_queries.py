@@ -87,12 +87,11 @@ def _flat(points: DataFrame, *more: str) -> DataFrame:
 
 def _evaluation(spark, sf_dir, *pipelines: str, gaps: bool = False) -> Evaluation:
     """The run events of some pipelines, out of all that come in, and the tables they read."""
-    routed = routing.route_events(decode_events(standin_events.run_events(spark, sf_dir)))
-    routed = routed.where(F.col("pipeline_uuid").isin(*pipelines))
+    events = routing.shared_asks(decode_events(standin_events.run_events(spark, sf_dir)), pipelines)
     shapes = sorted({shape for p in pipelines for shape in standin_events.READS[p]})
     tables, manifest = standin_events.publish_run_tables(spark, sf_dir, shapes, gaps)
-    checked = routing.check_tables(routed, manifest, standin_events.NAMESPACE)
-    return Evaluation(checked, tables, PROJECT)
+    checked = routing.check_tables(routing.asks_of(events), manifest, standin_events.NAMESPACE)
+    return Evaluation(checked, tables, PROJECT, events)
 
 
 def pipeline_points(spark, sf_dir, *pipelines: str, gaps: bool = False) -> DataFrame:
@@ -104,11 +103,11 @@ def pipeline_points(spark, sf_dir, *pipelines: str, gaps: bool = False) -> DataF
 
 def table_policy_outcomes(spark, sf_dir) -> DataFrame:
     """Outcomes, codes and refusals of all run events where tables are missing or empty."""
-    routed = routing.route_events(decode_events(standin_events.run_events(spark, sf_dir)))
+    events = routing.shared_asks(decode_events(standin_events.run_events(spark, sf_dir)))
     _, manifest = standin_events.publish_run_tables(
         spark, sf_dir, ("claims", "savings", "validation", "submitted"), gaps=True)
-    checked = routing.check_tables(routed, manifest, standin_events.NAMESPACE)
-    return routing.event_outcomes(checked)
+    checked = routing.check_tables(routing.asks_of(events), manifest, standin_events.NAMESPACE)
+    return routing.outcomes_of(events, checked)
 
 
 def failed_family_points(spark, sf_dir) -> DataFrame:

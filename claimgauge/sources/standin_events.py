@@ -19,7 +19,7 @@ from claimgauge.operators.routing import (
 )
 from claimgauge.plans.evaluate import Tables
 from claimgauge.schemas import COMPLETED
-from claimgauge.session import scratch_dir
+from claimgauge.session import scratch_dir, scratch_scope, settled
 from claimgauge.sources import standin
 from claimgauge.sources.standin import table
 from claimgauge.sources.store import SHAPES, TableStore
@@ -112,7 +112,10 @@ def as_noisy_events(events: DataFrame) -> DataFrame:
 
 
 def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_run_events(table(spark, sf_dir, "events"), table(spark, sf_dir, "region"))
+    # as for noisy_events
+    events = table(spark, sf_dir, "events").repartition(
+        spark.sparkContext.defaultParallelism, "event_id")
+    return as_run_events(events, table(spark, sf_dir, "region"))
 
 
 def _namespace(day: Column) -> Column:
@@ -168,19 +171,25 @@ def publish_run_tables(spark: SparkSession, sf_dir: str, shapes: Iterable[str],
     """The stand-in claims published under their names in a store of its own, and the
     manifest. With ``gaps`` some tables are empty and some are retired (see :func:`gap_of`);
     else the tables are those that have rows."""
-    views = _run_views(spark, sf_dir)
+    rows = standin.claims(spark, sf_dir, partner=True, agent=True)
+    views = {shape: _run_view(rows, shape) for shape in VIEW_COLUMNS}
     kept = {name: T.StructType([f for f in rows.schema.fields if f.name in SHAPES[name].names])
             for name, rows in views.items()}
     store = TableStore(spark, scratch_dir(spark, "run-tables"), kept)
-    for shape in shapes:
-        if not gaps:
-            store.publish(shape, views[shape])
-            continue
-        names = table_names(spark, sf_dir).where(F.col("shape") == shape)
-        filled = names.where(F.col("gap").isNull())
-        store.publish(shape, views[shape].join(filled.select("table_ref"), "table_ref", "left_semi"),
-                      names.select("table_ref"))
-        store.retire(shape, names.where(F.col("gap") == "missing").select("table_ref"))
+    shapes = list(shapes)
+    used = dict.fromkeys(c for shape in shapes for c in VIEW_COLUMNS[shape])
+    with scratch_scope(spark):  # the tables are joined once for all shapes
+        rows = settled(rows.select(*used), "claims")
+        for shape in shapes:
+            view = _run_view(rows, shape)
+            if not gaps:
+                store.publish(shape, view)
+                continue
+            names = table_names(spark, sf_dir).where(F.col("shape") == shape)
+            filled = names.where(F.col("gap").isNull())
+            store.publish(shape, view.join(F.broadcast(filled.select("table_ref")), "table_ref", "left_semi"),
+                          names.select("table_ref"))
+            store.retire(shape, names.where(F.col("gap") == "missing").select("table_ref"))
     return Tables(**{name: store.rows(name) for name in views}), store.manifest()
 
 
@@ -226,11 +235,23 @@ def table_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batches.unionByName(others)
 
 
-def _run_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+# The columns of claims that each view is made of.
+VIEW_COLUMNS = {
+    "claims": ("item_id", "invoice_id", "provider_id", "member_id", "paid_value", "reported_value",
+               "created_at", "ingested_at", "processable", "partner"),
+    "savings": ("item_id", "agent_id", "saving_value", "created_at", "ingested_at", "l_suppkey",
+                "l_returnflag", "partner"),
+    "validation": ("item_id", "invoice_id", "saving_value", "ingested_at", "updated_at",
+                   "processable", "l_linenumber", "l_suppkey", "l_returnflag", "partner"),
+    "submitted": ("item_id", "saving_value", "created_at", "ingested_at", "l_tax", "order_id",
+                  "o_orderstatus", "partner"),
+}
+
+
+def _run_view(rows: DataFrame, shape: str) -> DataFrame:
     """Batches by day of the month; histories, validation and submissions by partner."""
-    rows = standin.claims(spark, sf_dir, partner=True, agent=True)
-    rows = rows.withColumn("ingested_at", F.col("ingested_at").cast("timestamp")).withColumn(
-        "created_at", F.col("created_at").cast("timestamp"))
+    rows = rows.withColumns({c: F.col(c).cast("timestamp") for c in ("ingested_at", "created_at")
+                             if c in rows.columns})
     partner, day = F.col("partner"), F.dayofmonth("created_at")
     side = F.when(F.col("processable"), "processable").otherwise("unprocessable")
 
@@ -245,13 +266,15 @@ def _run_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         name = F.lit(role) if isinstance(role, str) else role
         return F.concat(F.lit("hist."), name, F.lit("_"), partner)
 
-    chosen = F.col("l_suppkey") % 3 == 0
-    claims = tagged(rows, batch(side), history(side))
-    savings = tagged(
-        rows, batch("savings"), F.when(F.col("l_returnflag") == "R", batch("excluded")),
-        F.when(chosen, batch("selected")), F.when(chosen, history("selected")))
-    kind = F.when(F.col("processable"), "internal").otherwise("manual")
-    checked = standin.validation(rows).withColumn(
-        "table_ref", F.concat(F.lit("val."), kind, F.lit("_validation_"), partner))
-    sent = standin.submitted(rows).withColumn("table_ref", history("submitted"))
-    return {"claims": claims, "savings": savings, "validation": checked, "submitted": sent}
+    if shape == "claims":
+        return tagged(rows, batch(side), history(side))
+    if shape == "savings":
+        chosen = F.col("l_suppkey") % 3 == 0
+        return tagged(
+            rows, batch("savings"), F.when(F.col("l_returnflag") == "R", batch("excluded")),
+            F.when(chosen, batch("selected")), F.when(chosen, history("selected")))
+    if shape == "validation":
+        kind = F.when(F.col("processable"), "internal").otherwise("manual")
+        return standin.validation(rows).withColumn(
+            "table_ref", F.concat(F.lit("val."), kind, F.lit("_validation_"), partner))
+    return standin.submitted(rows).withColumn("table_ref", history("submitted"))

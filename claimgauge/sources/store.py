@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimgauge import schemas
+from claimgauge.session import shuffles_dropped
 from claimgauge.sources.tables import conform
 
 SHAPES = {"claims": schemas.CLAIMS, "savings": schemas.SAVINGS,
@@ -63,11 +64,12 @@ class TableStore:
         """
         version = time.time_ns()
         kept = conform(rows, self._schema(shape)).where(F.col("table_ref").isNotNull())
-        # by size at run time: small parts share a task, a large one is cut into many; rows of
-        # a table lie together, so that row groups of others are skipped
-        (kept.withColumn("part", self._part(F.col("table_ref"), F.lit(version)))
-         .hint("rebalance", "part").sortWithinPartitions("part", "table_ref")
-         .write.mode("append").partitionBy("part").parquet(f"{self.root}/{shape}"))
+        # each task writes its own file of a part, so rows are not shuffled; those of a table lie
+        # together, so that row groups of others are skipped
+        with shuffles_dropped(self.spark):
+            (kept.withColumn("part", self._part(F.col("table_ref"), F.lit(version)))
+             .sortWithinPartitions("part", "table_ref")
+             .write.mode("append").partitionBy("part").parquet(f"{self.root}/{shape}"))
         filled = (self.rows(shape).where(F.col("part").startswith(f"{version}-"))
                   .groupBy("table_ref").agg(F.count(F.lit(1)).alias("rows")))
         listed = filled if names is None else names.select("table_ref").distinct().join(
@@ -86,7 +88,8 @@ class TableStore:
         entries = listed.where(F.col("table_ref").isNotNull()).select(
             "table_ref", F.lit(shape).alias("shape"), F.lit(version).alias("version"),
             F.lit(present).alias("present"), F.coalesce("rows", F.lit(0).cast("long")).alias("rows"))
-        entries.write.mode("append").parquet(f"{self.root}/manifest")
+        with shuffles_dropped(self.spark):
+            entries.write.mode("append").parquet(f"{self.root}/manifest")
 
     def manifest(self, *shapes: str) -> DataFrame:
         """The tables there are: ``table_ref``, ``shape``, ``part`` (that of their rows) and

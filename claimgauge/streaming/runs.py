@@ -17,10 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from claimgauge.operators.routing import check_tables, event_outcomes, route_events
+from claimgauge.operators.routing import asks_of, check_tables, outcomes_of, shared_asks
 from claimgauge.plans.evaluate import Evaluation, Tables, write_families
 from claimgauge.schemas import METRIC
-from claimgauge.session import scratch_scope
+from claimgauge.session import scratch_scope, settled
 from claimgauge.sinks.metrics import write_points
 from claimgauge.sources.events import decode_events, quarantined, unique_events
 
@@ -76,17 +76,17 @@ def committed(spark: SparkSession, path: str, what: str = "points") -> DataFrame
     return rows.join(commits(spark, path).select("batch"), "batch", "left_semi")
 
 
-def _unseen(routed: DataFrame, job: Job) -> DataFrame:
+def _unseen(came: DataFrame, job: Job) -> DataFrame:
     """Events that no committed batch had. The days a batch names are read back to select
     the folders of their ids: a handful, or as many as the days of a backfill."""
-    spark = routed.sparkSession
-    days = [r["day"] for r in routed.select("day").distinct().collect()]
+    spark = came.sparkSession
+    days = [r["day"] for r in came.select("day").distinct().collect()]
     if not days:
-        return routed
+        return came
     base = f"{job.path}/seen"
     known = _there(spark, SEEN, f"{base}/day={{{','.join(sorted(days))}}}", base)
     known = known.join(commits(spark, job.path).select("batch"), "batch", "left_semi")
-    return routed.join(known.select("event_id", "day"), ["event_id", "day"], "left_anti")
+    return came.join(known.select("event_id", "day"), ["event_id", "day"], "left_anti")
 
 
 def evaluate_batch(events: DataFrame, batch_id: int, job: Job) -> None:
@@ -105,20 +105,22 @@ def evaluate_batch(events: DataFrame, batch_id: int, job: Job) -> None:
 
 
 def _evaluate(events: DataFrame, batch: str, job: Job) -> None:
-    decoded = decode_events(unique_events(events.select("event_id", "raw")))
-    routed = route_events(decoded).withColumn("day", F.coalesce(
-        F.col("as_of_day").cast("string"), F.current_date().cast("string")))
+    asked = shared_asks(decode_events(events.select("event_id", "raw")))
+    came = unique_events(asked.select(
+        "event_id", "ask", "as_of", "decoding", "raw", F.coalesce(
+            F.col("as_of_day").cast("string"), F.current_date().cast("string")).alias("day")))
+    new = settled(_unseen(came, job), "new-events")
+    asks = asks_of(asked.join(new.select("ask").distinct(), "ask", "left_semi"))
     if job.pipelines is not None:
         ours = F.coalesce(F.col("pipeline_uuid").isin(*job.pipelines), F.lit(False))
-        routed = routed.withColumn("handlers", F.filter("handlers", lambda h: ours))
-    checked = check_tables(_unseen(routed, job), job.manifest(), job.default_namespace)
-    evaluation = Evaluation(checked, job.tables(), job.project)
-    new = evaluation.routed
+        asks = asks.withColumn("handlers", F.filter("handlers", lambda h: ours))
+    checked = check_tables(asks, job.manifest(), job.default_namespace)
+    evaluation = Evaluation(checked, job.tables(), job.project, new)
 
     def write(frame: DataFrame, what: str) -> None:
         frame.write.mode("overwrite").parquet(f"{job.path}/{what}/batch={batch}")
 
-    write(event_outcomes(new), "outcomes")
+    write(outcomes_of(new, evaluation.routed), "outcomes")
     write(quarantined(new).select("event_id", "raw", "decoding"), "quarantine")
     failed = write_families(evaluation, lambda points, family: write_points(
         points, f"{job.path}/points/batch={batch}", family))
