@@ -140,3 +140,31 @@ def test_awkward_rows(spark):
     assert [r[0] for r in rows(kept, "doc_id", "text")].count(1) == 2
     assert {r["doc_id"] for r in kept.collect()} == {1, 3, 6, 7, None}
     assert near_copies.drop_near_copies(docs.limit(0)).count() == 0
+
+
+def test_a_bucket_that_is_cut_loses_no_pair(spark):
+    dice = np.random.default_rng(5)
+    prints, pairs = [], []
+    for k in range(12):  # alike in the first block only, and two by two within the radius
+        one = dice.integers(0, 1 << 63, simhash.WORDS, np.uint64)
+        one[0] = (one[0] >> np.uint64(12) << np.uint64(12)) | np.uint64(77)
+        two = one.copy()
+        for block in range(1, near_copies.BLOCKS):
+            word, place = divmod(block, near_copies.WORD_BLOCKS)
+            two[word] ^= np.uint64(1 << 12 * place)
+        pairs.append((2 * k, 2 * k + 1))
+        prints += [(2 * k, one.view(np.int64).tolist()), (2 * k + 1, two.view(np.int64).tolist())]
+    frame = spark.createDataFrame(prints, "node long, print array<long>")
+    for bucket_rows in (3, 10, 20_000):
+        found = near_copies.close_pairs(frame, bucket_rows).distinct()
+        assert sorted(map(tuple, found.collect())) == pairs, bucket_rows
+
+
+def test_a_pair_behind_links_that_fail_is_compared(spark):
+    sets = spark.createDataFrame([(1, list(range(20))), (2, list(range(8, 30))), (3, list(range(1, 21))),
+                                  (4, list(range(50, 60)))], "node long, hashes array<long>")
+    close = spark.createDataFrame([(1, 2), (2, 3), (3, 4)], "a long, b long")  # a tree: 1 and 3 are not a link
+    known = near_copies._checked(close, sets)
+    assert known.isEmpty()
+    links = near_copies.set_links(sets, near_copies.tree_members(close), known)
+    assert {tuple(sorted(r)) for r in links.collect()} == {(1, 3)}
